@@ -9,6 +9,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lexcorpus.session import new_path
+
 TABLES = frozenset(
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations".split()
@@ -227,24 +229,52 @@ JOIN [[supplier]] ON l_suppkey = s_suppkey JOIN [[nation]] ON s_nationkey = n_na
 """
 
 
-def render(template: str, table) -> str:
-    """Fill the ``[[name]]`` marks; ``table`` names a given table for the engine."""
+def render(template: str, table, derived=None) -> str:
+    """Fill the ``[[name]]`` marks; ``table`` names a given table for the engine, ``derived`` a
+    derived input (which is written out in place without it)."""
 
     def fill(match: re.Match) -> str:
         name = match.group(1)
-        return table(name) if name in TABLES else f"({render(INPUTS[name], table)})"
+        if name in TABLES:
+            return table(name)
+        return derived(name) if derived else f"({render(INPUTS[name], table)})"
 
     return re.sub(r"\[\[(\w+)\]\]", fill, template)
 
 
+_written: dict[tuple[str, str, str], str] = {}
+
+
+def _path(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """Folder of a derived input. It is written once per application, so that a job reads it as
+    it would read a stored table, and filters do not drag the derivation along."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _written:
+        path = new_path(spark, f"input-{name}")
+        _sql(spark, sf_dir, INPUTS[name]).write.parquet(path)
+        _written[key] = path
+    return _written[key]
+
+
+def _sql(spark: SparkSession, sf_dir: str, template: str) -> DataFrame:
+    return spark.sql(
+        render(
+            template,
+            lambda t: f"parquet.`{sf_dir}/{t}.parquet`",
+            lambda t: f"parquet.`{_path(spark, sf_dir, t)}`",
+        )
+    )
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table or a derived input."""
     if name in TABLES:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return run(spark, sf_dir, INPUTS[name])
+    return spark.read.parquet(_path(spark, sf_dir, name))
 
 
 def run(spark: SparkSession, sf_dir: str, template: str) -> DataFrame:
-    return spark.sql(render(template, lambda t: f"parquet.`{sf_dir}/{t}.parquet`"))
+    return _sql(spark, sf_dir, template)
 
 
 def oracle(template: str) -> str:

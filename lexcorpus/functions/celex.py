@@ -1,6 +1,8 @@
 """Legal identifiers: token search, parsing, splitting and classes.
 
-Parsing is staged over a few ``withColumns`` steps, so each pattern runs once per row.
+The three identifier patterns run one after another as replacements that turn a valid
+identifier into a list of its parts. Every field then reads one place of that list, which keeps
+the expressions small when Spark moves filters on them down to the scan.
 """
 
 from __future__ import annotations
@@ -13,14 +15,20 @@ from lexcorpus.functions.text import SPACE, strip
 
 # ---- fixed values: identifier patterns (on upper-case text without white space) ----------
 TOKEN = r"(?<![A-Z0-9])([0-9CE]\d{4}[A-Z]{1,2}[A-Z0-9/.-]+(?:R\(\d{2}\))?)(?![A-Z0-9])"
-MAIN = r"^([0-9CE])(\d{4})([A-Z]{1,4})([A-Z0-9/.-]+?)(R\(\d{2}\))?$"
-TRANSPOSITION = r"^7([0-9CE]\d{4}[A-Z]{1,2}\d{4})([A-Z]{3})_([0-9A-Z*]+)$"
-CONSOLIDATED = r"^0([0-9CE]\d{4}[A-Z]{1,2}\d{4})(?:-(\d{8}))?$"
-CORRIGENDUM = r"R\((\d{2})\)$"
-BASE = r"^([0-9CE])(\d{4})([A-Z]{1,2})(\d{4})$"
+BASE = r"([0-9CE])(\d{4})([A-Z]{1,2})(\d{4})"
+TRANSPOSITION = rf"^7{BASE}([A-Z]{{3}})_([0-9A-Z*]+)$"
+CONSOLIDATED = rf"^0{BASE}(?:-(\d{{8}}))?$"
+MAIN = r"^([0-9CE])(\d{4})([A-Z]{1,4})([A-Z0-9/.-]+?)(?:R\((\d{2})\))?$"
 LOOSE_CONSOLIDATED = r"^0\d{4}[A-Z]{1,4}.+\(\d{2}\)$"
+LEGAL_ACT = (
+    r"^(?:0(?=3\d{4}[A-Z]{1,3}\d+$))?"
+    r"(3\d{4}[A-Z]{1,3}\d+|3\d{4}[A-Z]{1,4}[A-Z0-9/.-]+$)"
+)
 URL_TOKEN = r"(?i)(?:CELEX:|celex%3A)([0-9A-Z]{4,}[0-9A-Z()./]+)"
 
+SEP = "\x01"
+KIND, SECTOR, YEAR, DESCRIPTOR, NUMBER, CORRECTION, DATE, STATE, UID = range(9)
+
 PARSED_FIELDS = (
     "raw", "normalized", "valid", "sector", "sector_label", "year", "descriptor",
     "descriptor_label", "document_number", "is_corrigendum", "corrigendum_number",
@@ -46,8 +54,17 @@ def from_url(c: Column) -> Column:
     return F.regexp_extract(F.coalesce(c, F.lit("")), URL_TOKEN, 1)
 
 
+def _parts(norm: Column) -> Column:
+    """Parts of a valid identifier, by the places above; one item for an invalid one."""
+    line = lambda kind, *groups: SEP.join((kind, *groups))
+    x = F.regexp_replace(norm, TRANSPOSITION, line("t", "$1", "$2", "$3", "$4", "", "", "$5", "$6"))
+    x = F.regexp_replace(x, CONSOLIDATED, line("c", "$1", "$2", "$3", "$4", "", "$5", "", ""))
+    x = F.regexp_replace(x, MAIN, line("m", "$1", "$2", "$3", "$4", "$5", "", "", ""))
+    return F.split(x, SEP, -1)
+
+
 def is_valid(norm: Column) -> Column:
-    return norm.rlike(MAIN) | norm.rlike(TRANSPOSITION) | norm.rlike(CONSOLIDATED)
+    return norm.rlike("|".join((TRANSPOSITION, CONSOLIDATED, MAIN)))
 
 
 def split_full(c: Column) -> Column:
@@ -76,72 +93,44 @@ def descriptor_label(sector: Column, descriptor: Column) -> Column:
 
 def with_parsed(df: DataFrame, col: str, out: str = "parsed") -> DataFrame:
     """Add struct ``out`` with the parts of the identifier in ``col``."""
-    norm = F.col("_norm")
-    staged = df.withColumn("_norm", normalized(F.col(col))).withColumn(
-        "_kind",
-        F.when(norm == "", "empty")
-        .when(norm.rlike(TRANSPOSITION), "transposition")
-        .when(norm.rlike(CONSOLIDATED), "consolidated")
-        .when(norm.rlike(MAIN), "main")
-        .otherwise("none"),
-    )
-    kind = F.col("_kind")
-    of_main = kind == "main"
-    based = kind.isin("transposition", "consolidated")
-    staged = staged.withColumns(
-        {
-            "_base": F.when(kind == "transposition", F.regexp_extract(norm, TRANSPOSITION, 1)).when(
-                kind == "consolidated", F.regexp_extract(norm, CONSOLIDATED, 1)
-            ),
-        }
-    )
-    base = F.col("_base")
-    pick = lambda i: F.when(of_main, _group(norm, MAIN, i)).when(
-        based, _group(base, BASE, i)
-    )
-    staged = staged.withColumns(
+    at = lambda i: F.nullif(F.get(F.col("_p"), F.lit(i)), F.lit(""))
+    staged = df.withColumn("_norm", normalized(F.col(col)))
+    staged = staged.withColumn("_p", _parts(F.col("_norm"))).withColumns(
         {
-            "_label_sector": pick(1),
-            "_year": pick(2).cast("int"),
-            "_descriptor": pick(3),
-            "_number": pick(4),
-            "_corr": F.when(of_main, _group(norm, CORRIGENDUM, 1)),
+            "_kind": F.when(F.size("_p") > 1, F.get("_p", F.lit(KIND))),
+            "_own": at(SECTOR),
+            "_code": at(DESCRIPTOR),
         }
     )
-    sector = (
-        F.when(kind == "transposition", "7")
-        .when(kind == "consolidated", "0")
-        .otherwise(F.col("_label_sector"))
-    )
-    transposed = lambda c: F.when(kind == "transposition", c)
+    kind = F.col("_kind")
+    sector = F.when(kind == "t", "7").when(kind == "c", "0").otherwise(F.col("_own"))
+    base = F.concat(at(SECTOR), at(YEAR), at(DESCRIPTOR), at(NUMBER))
     fields = {
         "raw": F.coalesce(F.col(col), F.lit("")),
-        "normalized": norm,
-        "valid": ~kind.isin("empty", "none"),
+        "normalized": F.col("_norm"),
+        "valid": kind.isNotNull(),
         "sector": sector,
         "sector_label": F.coalesce(
-            L.lookup(L.SECTOR_LABELS, sector), F.when(of_main, "Unknown sector")
-        ),
-        "year": F.col("_year"),
-        "descriptor": F.col("_descriptor"),
-        "descriptor_label": descriptor_label(F.col("_label_sector"), F.col("_descriptor")),
-        "document_number": F.col("_number"),
-        "is_corrigendum": F.col("_corr").isNotNull(),
-        "corrigendum_number": F.col("_corr").cast("int"),
-        "is_consolidated": kind == "consolidated",
-        "consolidated_date": F.when(
-            kind == "consolidated", _group(norm, CONSOLIDATED, 2)
+            L.lookup(L.SECTOR_LABELS, sector), F.when(kind == "m", "Unknown sector")
         ),
-        "transposed_base_celex": transposed(base),
-        "transposition_country": transposed(_group(norm, TRANSPOSITION, 2)),
-        "transposition_uid": transposed(_group(norm, TRANSPOSITION, 3)),
-        "notes": F.when(kind == "empty", "Empty input")
-        .when(kind == "none", "Pattern mismatch")
-        .when(kind == "transposition", "Sector 7 transposition CELEX")
-        .when(kind == "consolidated", "Sector 0 consolidated text"),
+        "year": at(YEAR).cast("int"),
+        "descriptor": F.col("_code"),
+        "descriptor_label": descriptor_label(F.col("_own"), F.col("_code")),
+        "document_number": at(NUMBER),
+        "is_corrigendum": at(CORRECTION).isNotNull(),
+        "corrigendum_number": at(CORRECTION).cast("int"),
+        "is_consolidated": F.coalesce(kind == "c", F.lit(False)),
+        "consolidated_date": at(DATE),
+        "transposed_base_celex": F.when(kind == "t", base),
+        "transposition_country": at(STATE),
+        "transposition_uid": at(UID),
+        "notes": F.when(F.col("_norm") == "", "Empty input")
+        .when(kind.isNull(), "Pattern mismatch")
+        .when(kind == "t", "Sector 7 transposition CELEX")
+        .when(kind == "c", "Sector 0 consolidated text"),
     }
     return staged.withColumn(out, F.struct(*[v.alias(k) for k, v in fields.items()])).drop(
-        "_norm", "_kind", "_base", "_label_sector", "_year", "_descriptor", "_number", "_corr"
+        "_norm", "_p", "_kind", "_own", "_code"
     )
 
 
@@ -161,9 +150,9 @@ def with_class(df: DataFrame, col: str = "celex_full") -> DataFrame:
     # a versioned identifier that is no valid whole is read through its base
     staged = staged.withColumn(
         "_read",
-        F.when(
-            (base != full) & ~is_valid(normalized(full)) & is_valid(normalized(base)), base
-        ).otherwise(full),
+        F.when(is_valid(normalized(full)), full)
+        .when(is_valid(normalized(base)), base)
+        .otherwise(full),
     )
     staged = with_parsed(staged, "_read", "_info")
     info = F.col("_info")
@@ -204,6 +193,12 @@ def with_class(df: DataFrame, col: str = "celex_full") -> DataFrame:
     ).drop("_full", "_full_base", "_read", "_info", "_sector")
 
 
+def legal_act(reference: Column) -> Column:
+    """Identifier of the legal act a reference points to, without date and correction tails;
+    null when it is none."""
+    return _group(F.regexp_replace(token(reference), r"-\d{8}$", ""), LEGAL_ACT, 1)
+
+
 def act_descriptor(act: Column) -> Column:
     return _group(act, MAIN, 3)
 
@@ -212,19 +207,10 @@ def act_year(act: Column) -> Column:
     return _group(act, MAIN, 2).cast("int")
 
 
-def with_legal_act(df: DataFrame, reference: Column, out: str, eligible: bool = False) -> DataFrame:
-    """Add the identifier of the legal act a reference points to, without date and correction
-    tails; null when it is none. ``eligible`` keeps directives, regulations and decisions only."""
-    x = F.regexp_replace(token(reference), r"-\d{8}$", "")
-    x = F.regexp_replace(x, r"R\(\d{2}\)$", "")
-    df = df.withColumn("_ref", F.regexp_replace(x, r"^0(3\d{4}[A-Z]{1,3}\d+)$", "$1"))
-    head = _group(F.col("_ref"), r"^(3\d{4}[A-Z]{1,3}\d+)", 1)
-    df = df.withColumn("_ref", F.coalesce(head, F.col("_ref")))
-    ref = F.col("_ref")
-    good = ref.rlike(MAIN) & F.startswith(ref, F.lit("3"))
-    if eligible:
-        good = good & act_descriptor(ref).isin(*L.ELIGIBLE_DESCRIPTORS)
-    return df.withColumn(out, F.when(good, ref)).drop("_ref")
+def eligible_act(reference: Column) -> Column:
+    """``legal_act`` where it is a directive, regulation or decision, else null."""
+    act = legal_act(reference)
+    return F.when(act_descriptor(act).isin(*L.ELIGIBLE_DESCRIPTORS), act)
 
 
 def member_state_of(nim_celex: Column) -> Column:

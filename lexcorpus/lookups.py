@@ -289,4 +289,4 @@ def literal_map(values: dict) -> Column:
 
 def lookup(values: dict, key: Column) -> Column:
     """Value for ``key``, null when the key is unknown or null."""
-    return F.when(key.isNotNull(), F.try_element_at(literal_map(values), key))
+    return F.try_element_at(literal_map(values), key)

@@ -303,9 +303,7 @@ def found_hits(hits: DataFrame, job: list[str], order: str = "ord") -> DataFrame
 def parse_notices(payloads: DataFrame, body: str = "body", act: str = "act_celex") -> DataFrame:
     """National measures listed in captured notices of an act, one row per notice."""
     keep = [c for c in payloads.columns if c not in (body, act)]
-    rows = celex.with_legal_act(payloads, F.col(act), "_act").withColumn(
-        "act_celex", F.coalesce("_act", empty())
-    )
+    rows = payloads.withColumn("act_celex", F.coalesce(celex.legal_act(F.col(act)), empty()))
     rows = rows.select(
         *keep, "act_celex", F.posexplode(F.pandas_udf(_notice_batch, NOTICE)(body)).alias("notice_idx", "n")
     )

@@ -43,8 +43,7 @@ def seeds(docs: DataFrame) -> DataFrame:
             )
         ),
     )
-    act = celex.with_legal_act(docs, candidate, "_act", eligible=True)
-    act = act.select("ord", F.col("_act").alias("celex"))
+    act = docs.select("ord", celex.eligible_act(candidate).alias("celex"))
     return ordered_distinct(act.where(F.col("celex").isNotNull()), "celex")
 
 
@@ -53,7 +52,7 @@ def eligible_acts(docs: DataFrame) -> DataFrame:
     the first in input order."""
     docs = schemas.with_missing(docs, SCORES, kind="double")
     act = F.col("celex")
-    rows = celex.with_legal_act(docs, act, "celex", eligible=True).where(act.isNotNull())
+    rows = docs.withColumn("celex", celex.eligible_act(act)).where(act.isNotNull())
     has_score = F.col("governance_gap_score").isNotNull()
     pick = F.min_by(
         F.struct("title", *SCORES),
@@ -80,10 +79,9 @@ def with_merge_keys(df: DataFrame) -> DataFrame:
     if "celex" not in df.columns and "act_celex" in df.columns:
         df = df.withColumn("celex", F.col("act_celex"))
     df = schemas.with_missing(df, ("celex", "nim_celex", "national_measure_id"), "")
-    df = celex.with_legal_act(df, F.col("celex"), "celex")
     return df.withColumns(
         {
-            "celex": F.coalesce("celex", empty()),
+            "celex": F.coalesce(celex.legal_act(F.col("celex")), empty()),
             "nim_celex": text_or_empty(F.col("nim_celex")),
             "national_measure_id": text_or_empty(F.col("national_measure_id")),
         }

@@ -23,7 +23,7 @@ def type_summary(results: DataFrame) -> DataFrame:
         F.sum("n").alias("attempted"), F.sum("ok").alias("successful")
     )
     failures = (
-        counted.where(F.col("failure_category").isNotNull())
+        counted.where(F.col("n") > F.col("ok"))
         .groupBy(*SHORT_TYPE, "failure_category")
         .agg(F.sum("n").alias("n"))
     )
@@ -40,7 +40,7 @@ def type_summary(results: DataFrame) -> DataFrame:
 
 def failure_counts(results: DataFrame) -> DataFrame:
     return (
-        results.where(F.col("failure_category").isNotNull())
+        results.where(~F.col("success"))
         .groupBy("failure_category")
         .agg(F.count("*").alias("n"))
     )
