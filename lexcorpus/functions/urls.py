@@ -120,7 +120,7 @@ def with_comparison(df: DataFrame, col: str, out: str) -> DataFrame:
 def with_canonical(df: DataFrame, col: str, out: str) -> DataFrame:
     """Add the https form with a lower-case host and no query, fragment or trailing slash."""
     u = F.col("_u")
-    df = df.withColumn("_u", cleaned(F.col(col)))
+    df = df.withColumns({"_u": cleaned(F.col(col)), "_given": F.coalesce(F.col(col), empty())})
     df = df.withColumns(
         {
             "_host": F.lower(part(u, NETLOC)),
@@ -129,8 +129,11 @@ def with_canonical(df: DataFrame, col: str, out: str) -> DataFrame:
     )
     path = F.when(F.col("_path") == "", "/").otherwise(F.col("_path"))
     return df.withColumn(
-        out, F.when(u != "", _rebuild(F.lit("https"), F.col("_host"), path)).otherwise(empty())
-    ).drop("_u", "_host", "_path")
+        out,
+        F.when(F.col("_given") != "", _rebuild(F.lit("https"), F.col("_host"), path)).otherwise(
+            empty()
+        ),
+    ).drop("_u", "_given", "_host", "_path")
 
 
 def host(c: Column) -> Column:
