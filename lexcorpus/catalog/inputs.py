@@ -203,7 +203,8 @@ FROM [[orders]]
 """
 
 INPUTS["measures"] = f"""
-SELECT cast(l_orderkey * 10 + l_linenumber AS bigint) AS ord, {act('l_partkey', 'LRD')} AS celex,
+SELECT cast((l_orderkey * 8 + l_linenumber) * 100000000
+    + l_partkey % 10000 * 10000 + l_suppkey % 10000 AS bigint) AS ord, {act('l_partkey', 'LRD')} AS celex,
   concat('Act on ', p_name) AS eu_act_title, p_type AS eu_act_type,
   cast(1990 + l_partkey % 30 AS int) AS year,
   {s('l_orderkey')} AS national_measure_id,

@@ -149,8 +149,9 @@ def ranked_routes(links: Column) -> Column:
     )
 
 
-def au_text_assets(read: DataFrame, wrapper: str = "url", body: str = "html") -> DataFrame:
-    """Addresses of an Australian act's text parts found on its page, in part number order."""
+def au_text_assets(read: DataFrame, row_id: str, wrapper: str = "url", body: str = "html"):
+    """Addresses of an Australian act's text parts found on its page, each once per page row,
+    with the part number that orders them."""
     tail = r"[^\s\"'<>]+/document_\d+/document_\d+\.html(?:#[^\s\"'<>]*)?"
     linked = F.transform("page.links", lambda x: x["url"])
     full = F.regexp_extract_all(F.col(body), F.lit(f"(?i)(https?://{tail})"), F.lit(1))
@@ -159,25 +160,26 @@ def au_text_assets(read: DataFrame, wrapper: str = "url", body: str = "html") ->
         lambda u: F.concat(F.lit("https:"), u),
     )
     rows = read.select(
-        "*",
-        F.lower(part(F.col(wrapper), NETLOC)).alias("_host"),
-        step(part(F.col(wrapper), PATH), 0).alias("_doc"),
-        F.posexplode(F.concat(linked, full, bare)).alias("_pos", "_link"),
+        row_id,
+        F.lower(part(F.col(wrapper), NETLOC)).alias("home"),
+        step(part(F.col(wrapper), PATH), 0).alias("act"),
+        F.posexplode(F.concat(linked, full, bare)).alias("pos", "link"),
     )
-    at = lambda which: part(F.col("_link"), which)
-    number = F.regexp_extract(at(PATH), r"(?i)/document_(\d+)/document_\1\.html$", 1)
-    asset = F.concat(at(SCHEME), F.lit("://"), at(NETLOC), at(PATH))
+    at = lambda which: part(F.col("link"), which)
     rows = rows.select(
-        *read.columns, "_pos", asset.alias("asset_url"), F.lower(at(NETLOC)).alias("_at"),
-        step(at(PATH), 0).alias("_of"), number.alias("_n"), "_host", "_doc",
-        F.lower("_link").rlike(r"/text/(original|\d+)/epub/").alias("_epub"),
+        "*",
+        F.concat(at(SCHEME), F.lit("://"), at(NETLOC), at(PATH)).alias("asset_url"),
+        F.regexp_extract(at(PATH), r"(?i)/document_(\d+)/document_\1\.html$", 1).alias("part"),
+        step(at(PATH), 0).alias("of"),
+        F.lower(at(NETLOC)).alias("host"),
     ).where(
-        (F.col("_at") == F.col("_host"))
-        & (F.col("_doc").isNull() | (F.col("_of") == F.col("_doc")))
-        & F.col("_epub") & (F.col("_n") != "")
+        (F.col("host") == F.col("home"))
+        & (F.col("act").isNull() | (F.col("of") == F.col("act")))
+        & F.lower("link").rlike(r"/text/(original|\d+)/epub/")
+        & (F.col("part") != "")
     )
-    return rows.groupBy(wrapper, "asset_url").agg(
-        F.min("_pos").alias("pos"), F.first(F.col("_n").cast("int")).alias("part")
+    return rows.groupBy(row_id, "asset_url").agg(
+        F.min("pos").alias("pos"), F.min(F.col("part").cast("int")).alias("part")
     )
 
 
