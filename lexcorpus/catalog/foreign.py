@@ -15,7 +15,7 @@ from lexcorpus.operators import noneu, reports
 EDGE = "trim({}, ' -|:' || chr(10) || chr(9))"
 
 
-def keyed(table: str) -> str:
+def keyed(table: str, dk: str = "dk") -> str:
     """CTE chain ending in ``dk``: rows of ``table`` with column ``doc_key``."""
     seg = "list_filter(string_split(pth, '/'), lambda x: x <> '')"
     own = R.sub("replace(replace(pth, '.html', ''), '.htm', '')", "^/+|/+$")
@@ -27,12 +27,12 @@ def keyed(table: str) -> str:
         f"cast(cast({R.cut('nm', p, 3)} AS bigint) AS varchar) END"
     )
     return f"""
-dk0 AS (SELECT *, {R.mapped(R.full('source'), L.SOURCE_COUNTRY, f"CASE WHEN {R.full('source')} = '' THEN 'UNKNOWN' ELSE {R.full('source')} END")} AS land,
+{dk}0 AS (SELECT *, {R.mapped(R.full('source'), L.SOURCE_COUNTRY, f"CASE WHEN {R.full('source')} = '' THEN 'UNKNOWN' ELSE {R.full('source')} END")} AS land,
   coalesce(nullif(url, ''), nullif(doc_url, ''), '') AS lnk, coalesce(title, '') AS nm FROM {table}),
-dk1 AS (SELECT *, {R.canonical('lnk')} AS canon FROM dk0),
-dk2 AS (SELECT *, {R.cut('canon', '^https://[^/]*(.*)$')} AS pth FROM dk1),
-dk3 AS (SELECT *, {seg} AS sg, {own} AS own FROM dk2),
-dk AS (SELECT * EXCLUDE (land, lnk, nm, pth, sg, own), CASE
+{dk}1 AS (SELECT *, {R.canonical('lnk')} AS canon FROM {dk}0),
+{dk}2 AS (SELECT *, {R.cut('canon', '^https://[^/]*(.*)$')} AS pth FROM {dk}1),
+{dk}3 AS (SELECT *, {seg} AS sg, {own} AS own FROM {dk}2),
+{dk} AS (SELECT * EXCLUDE (land, lnk, nm, pth, sg, own), CASE
   WHEN land = 'US' THEN coalesce(nullif({R.cut('lnk', '(?i)/v4/documents/([^/?#]+)')}, ''), own)
   WHEN land = 'Australia' THEN coalesce(nullif(upper({R.cut('lnk', '(?i)/([CFL][0-9]{4}[A-Z][0-9]{5,})')}), ''), own)
   WHEN land IN ('UK', 'United Kingdom') THEN CASE WHEN len(sg) >= 3 THEN sg[1] || '_' || sg[2] || '_' || sg[3] ELSE own END
@@ -42,7 +42,7 @@ dk AS (SELECT * EXCLUDE (land, lnk, nm, pth, sg, own), CASE
   WHEN land = 'New Zealand' THEN CASE WHEN len(sg) >= 4 AND sg[1] IN ('act', 'regulation', 'bill')
       AND {R.has('sg[3]', '^(18|19|20)[0-9]{2}$')}
     THEN sg[1] || '_' || sg[3] || '_' || coalesce(nullif(ltrim(sg[4], '0'), ''), '0') ELSE own END
-  ELSE land || ':' || canon END AS doc_key FROM dk3)"""
+  ELSE land || ':' || canon END AS doc_key FROM {dk}3)"""
 
 
 def cleaned_title(t: str, land: str) -> str:

@@ -64,7 +64,7 @@ def filter_celex(spark, sf):
 )
 def nim_seeds(spark, sf):
     docs = load(spark, sf, "ids").withColumnRenamed("raw_id", "source_document_id")
-    return nim.seeds(docs)
+    return nim.seeds(nim.seed_references(docs))
 
 
 @query("legal_acts", f"SELECT ord, raw_id, {R.legal_act('raw_id')} AS act FROM [[ids]]")
@@ -114,7 +114,7 @@ d AS (SELECT 'EU:' || cf AS doc_key, cf AS celex_in, {R.first_filled('source')}
 
 @query("eu_docs", f"WITH {EU_DOCS} SELECT * FROM k")
 def eu_docs(spark, sf):
-    docs = eu.docs_from_hits(load(spark, sf, "hits"))
+    docs = eu.docs_from_hits(load(spark, sf, "hits")).drop("ord")
     lists = ("scopes", "query_langs", "query_term_groups")
     return docs.withColumns({c: F.array_join(c, " | ") for c in lists})
 

@@ -128,10 +128,12 @@ def _langs2(x: str) -> str:
     return f"list_filter({inner}, lambda t: t IS NOT NULL)"
 
 
-ENRICHED = f"""
+def enriched(table: str) -> str:
+    """CTE chain ending in ``en``: the measures of ``table`` with languages and their sources."""
+    return f"""
 m0 AS (SELECT *, {_langs2('available_expr_langs3')} AS l2, lower({_opt('nim_title_lang')}) AS tl,
   lower({R.cut('eurlex_url', '/legal-content/([A-Za-z]{2})/')}) AS ul,
-  {R.mapped('member_state_iso3', L.MEMBER_STATE_MAIN_LANG)} AS home FROM [[measures]]),
+  {R.mapped('member_state_iso3', L.MEMBER_STATE_MAIN_LANG)} AS home FROM {table}),
 m1 AS (SELECT *, CASE WHEN ul <> '' AND ul <> 'en' THEN {{'l': ul, 's': 'url'}}
   WHEN len(l2) > 0 THEN {{'l': l2[1], 's': 'metadata'}}
   WHEN length(tl) = 2 THEN {{'l': tl, 's': 'metadata'}}
@@ -146,6 +148,9 @@ en AS (SELECT ord, celex, nim_celex, national_measure_id, member_state_iso3, mem
 """
 
 
+ENRICHED = enriched("[[measures]]")
+
+
 @query(
     "detect_lang",
     f"""WITH {ENRICHED} SELECT ord, nim_title, lang_detected, lang_source, coalesce(available_langs, '') AS available_langs,

@@ -14,13 +14,22 @@ SPREAD = 64
 def keep_first(df: DataFrame, keys: Sequence[str], order: str = "ord") -> DataFrame:
     """First row per key in input order; missing key values equal each other.
 
-    Only the keys and the unique position are grouped (with a partial aggregate, so a hot key
-    sends one row per task), and the rows come back by a semi-join on the position.
+    For tables with texts: only the keys and the unique position are grouped (with a partial
+    aggregate, so a hot key sends one row per task), and the rows come back by a semi-join on
+    the position.
     """
     firsts = df.groupBy(*keys).agg(F.min(order).alias(order)).select(order)
     return df.join(firsts, order, "left_semi")
 
 
+def keep_first_narrow(df: DataFrame, keys: Sequence[str], order: str = "ord") -> DataFrame:
+    """``keep_first`` for tables of short columns: one pass, the row travels with its key. Each
+    task sends one row per key, so a hot key stays small."""
+    rest = [c for c in df.columns if c not in keys]
+    row = F.min_by(F.struct(*rest), order).alias("_row")
+    return df.groupBy(*keys).agg(row).select(*keys, "_row.*").select(*df.columns)
+
+
 def keep_best(
     df: DataFrame, keys: Sequence[str], rank: Sequence[Column], order: str = "ord"
 ) -> DataFrame:

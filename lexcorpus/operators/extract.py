@@ -15,7 +15,7 @@ from lexcorpus import lookups as L
 from lexcorpus.functions import celex, langs, markup, nation, quality
 from lexcorpus.functions.text import SPACE, collapse, empty, strip, text_or_empty
 from lexcorpus.functions.urls import NETLOC, PATH, SCHEME, part, step
-from lexcorpus.operators.dedup import cap_per_key, keep_first
+from lexcorpus.operators.dedup import cap_per_key, keep_first_narrow
 
 PAGE = (
     "text_lines string, text_visible string, text_plain string, "
@@ -299,7 +299,7 @@ def parse_hits(payloads: DataFrame, body: str = "body", lang: str = "EN") -> Dat
 
 def found_hits(hits: DataFrame, job: list[str], order: str = "ord") -> DataFrame:
     """Usable hits of search jobs: an identifier, and the first of each identifier per job."""
-    return keep_first(hits.where(F.col("celex").isNotNull()), [*job, "celex"], order)
+    return keep_first_narrow(hits.where(F.col("celex").isNotNull()), [*job, "celex"], order)
 
 
 def parse_notices(payloads: DataFrame, body: str = "body", act: str = "act_celex") -> DataFrame:
@@ -352,7 +352,7 @@ def parse_notices(payloads: DataFrame, body: str = "body", act: str = "act_celex
 
 def measures_of_acts(measures: DataFrame, order: str = "ord") -> DataFrame:
     """First row of each measure of an act."""
-    return keep_first(measures, ["act_celex", "national_measure_id", "nim_celex"], order)
+    return keep_first_narrow(measures, ["act_celex", "national_measure_id", "nim_celex"], order)
 
 
 def read_rdf(payloads: DataFrame, body: str = "body") -> DataFrame:

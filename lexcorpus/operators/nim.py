@@ -31,19 +31,19 @@ MEASURE_TEXTS = (
 )
 
 
-def seeds(docs: DataFrame) -> DataFrame:
-    """Eligible act identifiers of EU documents, each with its first position."""
+def seed_references(docs: DataFrame) -> DataFrame:
+    """What each EU document says it is: its own identifier, or the one in its raw record."""
     raw = F.col("raw_record") if "raw_record" in docs.columns else F.lit(None).cast("string")
-    candidate = F.coalesce(
-        blank_to_null(F.col("source_document_id")),
-        blank_to_null(
-            F.coalesce(
-                F.nullif(F.get_json_object(raw, "$.celex_full"), empty()),
-                F.get_json_object(raw, "$.celex"),
-            )
-        ),
+    field = lambda k: blank_to_null(F.get_json_object(raw, f"$.{k}"))
+    reference = F.coalesce(
+        blank_to_null(F.col("source_document_id")), field("celex_full"), field("celex")
     )
-    act = docs.select("ord", celex.eligible_act(candidate).alias("celex"))
+    return docs.select("ord", reference.alias("reference"))
+
+
+def seeds(references: DataFrame) -> DataFrame:
+    """Eligible act identifiers among references, each with its first position."""
+    act = references.select("ord", celex.eligible_act(F.col("reference")).alias("celex"))
     return ordered_distinct(act.where(F.col("celex").isNotNull()), "celex")
 
 

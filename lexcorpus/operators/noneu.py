@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lexcorpus import schemas
 from lexcorpus.functions import nation, quality, urls
 from lexcorpus.functions.text import blank_to_null, empty, parse_list, strip, text_or_empty
-from lexcorpus.operators.dedup import keep_first
+from lexcorpus.operators.dedup import keep_first_narrow
 from lexcorpus.operators.picks import first_filled, longest, sorted_values
 
 HIT_COLUMNS = (
@@ -67,7 +67,7 @@ def prepare_hits(hits: DataFrame) -> DataFrame:
 
 
 def distinct_hits(hits: DataFrame) -> DataFrame:
-    return keep_first(hits, ["doc_id", "term", "source", "url"])
+    return keep_first_narrow(hits, ["doc_id", "term", "source", "url"])
 
 
 def docs_from_hits(prepared: DataFrame) -> DataFrame:
@@ -137,7 +137,7 @@ def fulltext_docs(docs: DataFrame, texts: DataFrame) -> DataFrame:
             "url": F.coalesce("url", "doc_url", empty()),
         }
     )
-    return schemas.with_missing(df, FULLTEXT_ROW, "").select(*FULLTEXT_ROW)
+    return schemas.with_missing(df, FULLTEXT_ROW, "").select("ord", *FULLTEXT_ROW)
 
 
 def attach_terms(texts: DataFrame, docs: DataFrame) -> DataFrame:

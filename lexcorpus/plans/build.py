@@ -5,14 +5,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexcorpus import __version__, schemas
+from lexcorpus import __version__
 from lexcorpus import lookups as L
-from lexcorpus.functions.text import blank_to_null, text_or_empty
+from lexcorpus.functions.text import text_or_empty
 from lexcorpus.operators import cache, dedup, eu, harmonize, matching, nim, noneu, records
 from lexcorpus.operators.skew import number_within
+from lexcorpus.session import written
 from lexcorpus.sinks import writers
 
 LOCAL_FIELDS = {
@@ -55,24 +56,32 @@ def nim_documents(
     source_name: str = "eu-nim",
     max_rows: int | None = None,
 ) -> DataFrame:
-    """National measures of the eligible acts among EU documents, as documents. Without
-    ``texts`` the documents have no full text. ``max_rows`` caps the measures per act."""
-    seeds = nim.seeds(docs).withColumnRenamed("ord", "seed_ord")
-    found = nim.with_merge_keys(measures).join(seeds, "celex")
-    found = nim.enrich(dedup.keep_first(found, ["celex", "national_measure_id", "nim_celex"]))
+    """National measures of the eligible acts among EU documents, as cleaned documents. ``texts``
+    has one row per measure; without it the documents have no full text. ``max_rows`` caps the
+    measures per act."""
+    # one short column is stored, so that the documents' own plan ends here
+    seeds = nim.seeds(written(nim.seed_references(docs))).select("celex")
+    found = nim.with_merge_keys(measures).join(seeds, "celex", "left_semi")
+    found = dedup.keep_first_narrow(found, ["celex", "national_measure_id", "nim_celex"])
+    found = nim.enrich(found)
     if log is not None:
         found = nim.fill_from_cache(found, log)
     if max_rows is not None:
         found = dedup.cap_per_key(found, ["celex"], [F.col("ord")], max_rows)
+    # one document per state and measure, before any text is joined
+    number = F.coalesce(F.nullif("national_measure_id", F.lit("")), F.col("nim_celex"))
+    found = found.withColumns({"number": number, "place": F.struct("celex", "ord")})
+    found = dedup.keep_first_narrow(found, ["member_state_iso3", "number"], "place")
+    found = found.drop("number", "place")
     rows = found if texts is None else nim.join_fulltext(found, texts)
-    rows = nim.to_records(rows.drop("seed_ord"), source_name)
-    cleaned = records.clean(records.normalize(rows, source_name, "eurlex-nim"))
-    return dedup.keep_first(cleaned, ["document_id"])
+    rows = nim.to_records(rows, source_name)
+    return records.clean(records.normalize(rows, source_name, "eurlex-nim"))
 
 
 def non_eu_rows(hits: DataFrame, texts: DataFrame) -> DataFrame:
     """Harmonized rows of one or more countries from search hits and captured texts."""
-    kept = noneu.distinct_hits(noneu.prepare_hits(hits))
+    # hits are short rows that are read three ways from here on: they are stored once
+    kept = written(noneu.distinct_hits(noneu.prepare_hits(hits)))
     full = noneu.fulltext_docs(noneu.one_row_per_doc(kept), texts)
     return harmonize.harmonize(noneu.attach_terms(full, noneu.docs_from_hits(kept)))
 
@@ -122,21 +131,27 @@ def record_build(
     return dedup.keep_first_merged(merged, list(dedup_fields), "place").drop("place")
 
 
-def corpus_build(parts: dict[str, DataFrame]) -> DataFrame:
-    """One cleaned corpus from normalized documents per jurisdiction code, in the given order;
-    the first document of each id is kept. Documents need a position ``ord``."""
-    cleaned = [
-        records.clean(docs, code).withColumn("jurisdiction_code", F.lit(code))
-        for code, docs in parts.items()
-    ]
-    return dedup.keep_first_merged(dedup.merge_sources(cleaned), ["document_id"])
+def store_parts(parts: dict[str, DataFrame], folder: str) -> dict[str, DataFrame]:
+    """Clean the documents of each jurisdiction and store them; returns the stored tables."""
+    stored = {}
+    for code, docs in parts.items():
+        cleaned = records.clean(docs, code).withColumn("jurisdiction_code", F.lit(code))
+        path = f"{folder}/{code.lower()}"
+        cleaned.write.mode("overwrite").parquet(path)
+        stored[code] = docs.sparkSession.read.parquet(path)
+    return stored
+
 
+def merge_parts(stored: dict[str, DataFrame]) -> DataFrame:
+    """One corpus from stored jurisdictions, in the given order; the first document of each id
+    is kept. ``ord`` must be unique within each part."""
+    merged = dedup.merge_sources(list(stored.values()))
+    return dedup.keep_first_merged(merged, ["document_id"])
 
-def with_positions(docs: DataFrame, *order: Column) -> DataFrame:
-    """Give documents their place in the run."""
-    from lexcorpus.operators.skew import number_rows
 
-    return number_rows(docs.drop("ord"), [*order, F.col("document_id")], "ord", start=0)
+def corpus_build(parts: dict[str, DataFrame], folder: str) -> DataFrame:
+    """Clean and store every jurisdiction's documents under ``folder``, and merge them."""
+    return merge_parts(store_parts(parts, folder))
 
 
 def counts(docs: DataFrame) -> dict[str, tuple[int, int]]:
@@ -165,25 +180,17 @@ def run_corpus(
     if nim_max_rows is not None and nim_max_rows <= 0:
         raise ValueError("nim_max_rows must be positive")
     spark = next(iter(parts.values())).sparkSession
-    paths, read, per_part = {}, {}, {}
-    for code, docs in parts.items():
-        paths[code] = f"{out}/jurisdictions/{code.lower()}"
-        cleaned = records.clean(docs, code).withColumn("jurisdiction_code", F.lit(code))
-        store = f"{out}/work/{code.lower()}"
-        cleaned.write.mode("overwrite").parquet(store)
-        read[code] = spark.read.parquet(store)
-        writers.write_documents(read[code], paths[code])
-        per_part |= counts(read[code])
-    merged = dedup.merge_sources(list(read.values()))
-    final = dedup.keep_first_merged(merged, ["document_id"])
-    final.write.mode("overwrite").parquet(f"{out}/work/final")
+    paths = {code: f"{out}/jurisdictions/{code.lower()}" for code in parts}
+    read = store_parts(parts, f"{out}/work")
+    per_part = {}
+    for code, docs in read.items():
+        writers.write_documents(docs, paths[code])
+        per_part |= counts(docs)
+    merge_parts(read).write.mode("overwrite").parquet(f"{out}/work/final")
     final = spark.read.parquet(f"{out}/work/final")
     writers.write_documents(final, f"{out}/final")
-    audit_paths = writers.write_audit(
-        final.withColumn("_at", F.struct("part_ord", "ord")).drop("ord").withColumn(
-            "ord", F.xxhash64("part_ord", F.col("_at.ord"))).drop("_at"),
-        f"{out}/audit",
-    )
+    placed = final.withColumn("ord", F.struct("part_ord", "ord"))
+    audit_paths = writers.write_audit(placed, f"{out}/audit")
     kept = final.count()
     total = sum(n for n, _ in per_part.values())
     status, seeds, eligible, nim_count, nim_path = "not_requested", 0, 0, 0, None
@@ -191,10 +198,9 @@ def run_corpus(
         status = "skipped_eu_not_selected"
     elif measures is not None:
         eu_docs = read["EU"]
-        seeds = eu_docs.select(blank_to_null(F.col("source_document_id")).alias("s")).where(
-            "s is not null"
-        ).distinct().count()
-        eligible = nim.seeds(eu_docs).count()
+        references = nim.seed_references(eu_docs)
+        seeds = references.where("reference is not null").select("reference").distinct().count()
+        eligible = nim.seeds(references).count()
         status = "ran" if eligible else "skipped_no_eligible_eu_legal_acts"
         if eligible:
             docs = nim_documents(eu_docs, measures, measure_texts, max_rows=nim_max_rows)
