@@ -9,7 +9,7 @@ from lexcorpus.catalog import rules as R
 from lexcorpus.catalog.cleaning import QUERY_SQL, QUERY_TERMS
 from lexcorpus.catalog.foreign import EDGE, PREPARED, cleaned_title, keyed, title_year
 from lexcorpus.catalog.identifiers import EU_DOCS, TEXTS
-from lexcorpus.catalog.inputs import load, run
+from lexcorpus.catalog.inputs import load, run, stored
 from lexcorpus.catalog.measures import MEASURE_TEXTS, enriched
 from lexcorpus.catalog.registry import query
 from lexcorpus.catalog.retrieval import STATE, _files
@@ -90,8 +90,8 @@ def nim_build(spark, sf):
     )
 
 
-def _texts(spark, sf):
-    """Captured texts by document key."""
+def _captured(spark, sf):
+    """Texts by document key, made from the keys of the hits."""
     kept = noneu.distinct_hits(noneu.prepare_hits(load(spark, sf, "foreign_hits")))
     key, size = F.col("doc_key"), F.length("doc_key")
     return noneu.one_row_per_doc(kept).select(
@@ -104,6 +104,10 @@ def _texts(spark, sf):
     )
 
 
+def _texts(spark, sf):
+    return spark.read.parquet(stored(spark, sf, "captured", lambda: _captured(spark, sf)))
+
+
 TEXT2 = "'Text  of ' || k1 || ' from 1999'"
 GIVEN = cleaned_title("title", "jurisdiction")
 FOREIGN = f"""
@@ -214,9 +218,8 @@ FROM (SELECT *, row_number() OVER (PARTITION BY document_id ORDER BY part_ord, o
 """,
 )
 def corpus_build(spark, sf):
-    path = new_path(spark, "foreign")
     code = F.get_json_object("raw_record", "$.source")
-    _foreign(spark, sf).withColumn("code", code).write.parquet(path)
+    path = stored(spark, sf, "foreign", lambda: _foreign(spark, sf).withColumn("code", code))
     foreign = spark.read.parquet(path)
     parts = {"EU": _eu(spark, sf)}
     for code in COUNTRIES:

@@ -6,6 +6,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -246,17 +247,22 @@ def render(template: str, table, derived=None) -> str:
 _written: dict[tuple[str, str, str], str] = {}
 
 
-def _path(spark: SparkSession, sf_dir: str, name: str) -> str:
-    """Folder of a derived input. It is written once per application, so that a job reads it as
-    it would read a stored table, and filters do not drag the derivation along."""
+def stored(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> str:
+    """Folder of an input built by ``build``. It is written once per application, in as many
+    parts as there are cores, so that a job reads it as it would read a stored table, and
+    filters do not drag the derivation along."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _written:
         path = new_path(spark, f"input-{name}")
-        _sql(spark, sf_dir, INPUTS[name]).write.parquet(path)
+        build().repartition(spark.sparkContext.defaultParallelism).write.parquet(path)
         _written[key] = path
     return _written[key]
 
 
+def _path(spark: SparkSession, sf_dir: str, name: str) -> str:
+    return stored(spark, sf_dir, name, lambda: _sql(spark, sf_dir, INPUTS[name]))
+
+
 def _sql(spark: SparkSession, sf_dir: str, template: str) -> DataFrame:
     return spark.sql(
         render(

@@ -6,11 +6,16 @@ from pyspark.sql import functions as F
 
 from lexcorpus import lookups as L
 from lexcorpus.catalog import rules as R
-from lexcorpus.catalog.inputs import act, load, pick, run
+from lexcorpus.catalog.inputs import act, load, pick, run, stored
 from lexcorpus.catalog.registry import query
 from lexcorpus.functions import quality
 from lexcorpus.operators import extract
 
+def _payload(spark, sf, name, template):
+    """Captured payloads as a stored table."""
+    return spark.read.parquet(stored(spark, sf, name, lambda: run(spark, sf, template)))
+
+
 # ---- pages -----------------------------------------------------------------------------
 
 
@@ -195,7 +200,7 @@ ph AS (SELECT * FROM p WHERE ord % 29 <> 5)
   'https://eur-lex.europa.eu/legal-content/EN/TXT/?uri=CELEX:' || celex AS url FROM ph""",
 )
 def parse_hits(spark, sf):
-    return extract.parse_hits(run(spark, sf, ANSWERS))
+    return extract.parse_hits(_payload(spark, sf, "answers", ANSWERS))
 
 
 @query(
@@ -204,7 +209,7 @@ def parse_hits(spark, sf):
   ORDER BY ord, result_idx) AS rn FROM ph WHERE celex IS NOT NULL) t WHERE rn = 1""",
 )
 def found_hits(spark, sf):
-    hits = extract.parse_hits(run(spark, sf, ANSWERS)).withColumn(
+    hits = extract.parse_hits(_payload(spark, sf, "answers", ANSWERS)).withColumn(
         "place", F.col("ord") * 1000 + F.col("result_idx")
     )
     return extract.found_hits(hits, ["job"], "place").select("job", "celex", "title")
@@ -232,7 +237,7 @@ SELECT o_orderkey AS ord, {CX} AS act_celex, '7' || substr({CX}, 2) || 'DNK_' ||
 """,
 )
 def parse_notices(spark, sf):
-    rows = extract.parse_notices(run(spark, sf, NOTICES), act="act")
+    rows = extract.parse_notices(_payload(spark, sf, "notices", NOTICES), act="act")
     return rows.select(
         "ord", "act_celex", "nim_celex", "national_measure_id", "nim_date", "nim_title",
         "nim_title_lang", "available_expr_langs3", "cellar_uri", "nim_resource_uri",
@@ -256,7 +261,7 @@ SELECT o_orderkey AS ord, 'Lov ' || cast(o_custkey AS varchar) AS title, 'da' AS
 """,
 )
 def rdf_links(spark, sf):
-    return extract.read_rdf(run(spark, sf, RECORDS)).select(
+    return extract.read_rdf(_payload(spark, sf, "records", RECORDS)).select(
         "ord", "title", "title_lang", F.array_join("available_languages", ",").alias("languages"),
         F.array_join(
             F.transform("links", lambda x: F.concat_ws(" ", x["url"], x["link_type"])), " | "
@@ -276,7 +281,7 @@ FROM [[documents]]
     f"SELECT doc_id AS ord, {R.strip(R.collapse('concat(' + chr(39) + 'Act ' + chr(39) + ', cast(doc_id AS varchar), ' + chr(39) + ' tail ' + chr(39) + ', text, ' + chr(39) + ' after' + chr(39) + ')'))} AS text FROM documents",
 )
 def legislation_text(spark, sf):
-    return extract.legislation_texts(run(spark, sf, ACT_XML))
+    return extract.legislation_texts(_payload(spark, sf, "act_xml", ACT_XML))
 
 
 # ---- API answers -----------------------------------------------------------------------
@@ -303,7 +308,7 @@ SELECT ord, term, url, text_url, title, doc_uid FROM (SELECT *, row_number() OVE
 """,
 )
 def nz_rows(spark, sf):
-    return extract.nz_rows(run(spark, sf, NZ), cap=2).select(
+    return extract.nz_rows(_payload(spark, sf, "nz", NZ), cap=2).select(
         "ord", "term", "url", "text_url", "title", "doc_uid"
     )
 
@@ -325,7 +330,7 @@ SELECT term, ord, api_id, url, title FROM (SELECT *, row_number() OVER (PARTITIO
 """,
 )
 def us_rows(spark, sf):
-    return extract.us_rows(run(spark, sf, US), cap=7).select("term", "ord", "api_id", "url", "title")
+    return extract.us_rows(_payload(spark, sf, "us", US), cap=7).select("term", "ord", "api_id", "url", "title")
 
 
 DETAIL = """
@@ -351,7 +356,7 @@ SELECT ord, cast(row_number() OVER (PARTITION BY ord ORDER BY s DESC, f DESC, b
 """,
 )
 def rank_downloads(spark, sf):
-    details = extract.us_detail(run(spark, sf, DETAIL))
+    details = extract.us_detail(_payload(spark, sf, "detail", DETAIL))
     return extract.us_downloads(details, "ord").drop("attachment_order")
 
 
@@ -361,7 +366,7 @@ def rank_downloads(spark, sf):
   'About ' || o_orderpriority AS text FROM orders""",
 )
 def us_texts(spark, sf):
-    return extract.us_detail(run(spark, sf, DETAIL)).select("ord", "text")
+    return extract.us_detail(_payload(spark, sf, "detail", DETAIL)).select("ord", "text")
 
 
 # ---- links of result pages -------------------------------------------------------------
@@ -389,7 +394,7 @@ UNION ALL SELECT 'au text', o_orderkey, 'https://www.legislation.gov.au/C2004A'
 """,
 )
 def result_links(spark, sf):
-    captured = run(spark, sf, RESULT_PAGE).withColumnRenamed("url", "page_url")
+    captured = _payload(spark, sf, "result_page", RESULT_PAGE).withColumnRenamed("url", "page_url")
     read = extract.read_pages(captured, url="page_url")
     kind = lambda df, k, u, t: df.select(F.lit(k).alias("kind"), "ord", F.col(u).alias("url"), t.alias("title"))
     assets = extract.au_text_assets(read, "ord", "page_url")

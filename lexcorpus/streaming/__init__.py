@@ -1,0 +1 @@
+"""Streaming forms of ingest and of the retrieval log."""
