@@ -7,12 +7,11 @@ read are column expressions.
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexcorpus import lookups as L
-from lexcorpus.functions import celex, langs, markup, nation, quality
+from lexcorpus.functions import batches, celex, langs, markup, nation, quality
 from lexcorpus.functions.text import SPACE, collapse, empty, strip, text_or_empty
 from lexcorpus.functions.urls import NETLOC, PATH, SCHEME, part, step
 from lexcorpus.operators.dedup import cap_per_key, keep_first_narrow
@@ -40,28 +39,10 @@ NOTICE = (
 RDF = "array<struct<name: string, text: string, lang: string, urls: array<string>>>"
 
 
-def _page_batch(bodies: pd.Series, bases: pd.Series) -> pd.DataFrame:
-    rows = [markup.read_page(b, u) for b, u in zip(bodies, bases)]
-    names = ("text_lines", "text_visible", "text_plain", "places", "links", "metas")
-    return pd.DataFrame(rows, columns=names)
-
-
-def _hit_batch(bodies: pd.Series) -> pd.DataFrame:
-    none = {"totalhits": None, "numhits": None, "results": []}
-    rows = [markup.search_hits(b) or none for b in bodies]
-    return pd.DataFrame(rows, columns=("totalhits", "numhits", "results"))
-
-
-def _notice_batch(bodies: pd.Series) -> pd.Series:
-    return bodies.map(markup.notices)
-
-
-def _rdf_batch(bodies: pd.Series) -> pd.Series:
-    return bodies.map(markup.rdf_elements)
-
-
-def _legislation_batch(bodies: pd.Series) -> pd.Series:
-    return bodies.map(markup.legislation_text)
+def _reader(batch, kind: str):
+    """An Arrow reader that runs once per payload. It is marked as not deterministic, because
+    Spark would otherwise run it again for the filters it derives from an explode."""
+    return F.pandas_udf(batch, kind).asNondeterministic()
 
 
 # ---- pages -----------------------------------------------------------------------------
@@ -69,7 +50,7 @@ def _legislation_batch(bodies: pd.Series) -> pd.Series:
 
 def read_pages(pages: DataFrame, body: str = "html", url: str = "url") -> DataFrame:
     """Add struct ``page``: texts, title places, links and meta tags."""
-    return pages.withColumn("page", F.pandas_udf(_page_batch, PAGE)(body, url))
+    return pages.withColumn("page", _reader(batches.page_batch, PAGE)(body, url))
 
 
 def page_title(fallback: Column | None = None) -> Column:
@@ -242,7 +223,7 @@ def parse_hits(payloads: DataFrame, body: str = "body", lang: str = "EN") -> Dat
     names no identifier."""
     keep = [c for c in payloads.columns if c != body]
     rows = (
-        payloads.withColumn("_h", F.pandas_udf(_hit_batch, HITS)(body))
+        payloads.withColumn("_h", _reader(batches.hit_batch, HITS)(body))
         .select(*keep, F.posexplode("_h.results").alias("result_idx", "_r"))
     )
     fields = F.col("_r.fields")
@@ -307,7 +288,7 @@ def parse_notices(payloads: DataFrame, body: str = "body", act: str = "act_celex
     keep = [c for c in payloads.columns if c not in (body, act)]
     rows = payloads.withColumn("act_celex", F.coalesce(celex.legal_act(F.col(act)), empty()))
     rows = rows.select(
-        *keep, "act_celex", F.posexplode(F.pandas_udf(_notice_batch, NOTICE)(body)).alias("notice_idx", "n")
+        *keep, "act_celex", F.posexplode(_reader(batches.notice_batch, NOTICE)(body)).alias("notice_idx", "n")
     )
     ids = F.transform("n.ids", lambda x: F.upper(strip(x)))
     prefix = F.concat(F.lit("7"), F.substring("act_celex", 2, 100))
@@ -358,7 +339,7 @@ def measures_of_acts(measures: DataFrame, order: str = "ord") -> DataFrame:
 def read_rdf(payloads: DataFrame, body: str = "body") -> DataFrame:
     """Title, languages and classified links of captured metadata records."""
     keep = [c for c in payloads.columns if c != body]
-    df = payloads.withColumn("_e", F.pandas_udf(_rdf_batch, RDF)(body))
+    df = payloads.withColumn("_e", _reader(batches.rdf_batch, RDF)(body))
     title = _first(
         F.filter("_e", lambda e: e["name"].isin("title", "work_title") & (e["text"] != ""))
     )
@@ -391,7 +372,7 @@ def read_rdf(payloads: DataFrame, body: str = "body") -> DataFrame:
 
 
 def legislation_texts(payloads: DataFrame, body: str = "body", out: str = "text") -> DataFrame:
-    return payloads.withColumn(out, F.pandas_udf(_legislation_batch, "string")(body)).drop(body)
+    return payloads.withColumn(out, _reader(batches.legislation_batch, "string")(body)).drop(body)
 
 
 # ---- API answers -----------------------------------------------------------------------
