@@ -6,11 +6,12 @@ from pyspark.sql import functions as F
 
 from lexcorpus import lookups as L
 from lexcorpus.catalog import rules as R
-from lexcorpus.catalog.inputs import load, run
+from lexcorpus.catalog.inputs import act, load, run
 from lexcorpus.catalog.registry import query
 from lexcorpus.functions import nation, text
 from lexcorpus.operators import harmonize as corpus
 from lexcorpus.operators import noneu, reports
+from lexcorpus.sources import records as sources
 
 EDGE = "trim({}, ' -|:' || chr(10) || chr(9))"
 
@@ -400,3 +401,28 @@ def construct_corpora(spark, sf):
 def english_subset(spark, sf):
     docs = corpus.english(corpus.construct(run(spark, sf, EU_ROWS), run(spark, sf, OTHER_ROWS)))
     return docs.groupBy("retrieval_track", "text_missing").agg(F.count("*").alias("documents"))
+
+
+CACHED = f"""
+SELECT ord, CASE WHEN ord % 2 = 0 THEN 'European Union' ELSE jurisdiction END AS jurisdiction,
+  concat('https://x.example/?uri=', {act('ord')}, CASE WHEN ord % 10 = 0 THEN '-20200101' ELSE '' END) AS doc_uid,
+  full_text AS full_text_clean FROM [[docs]]
+"""
+
+
+@query(
+    "corpus_part",
+    f"""
+SELECT true AS is_eu, ord, {act('ord')} || CASE WHEN ord % 10 = 0 THEN '-20200101' ELSE '' END AS celex_full, {act('ord')} AS celex,
+  {R.full('full_text_clean')} = '' AS text_missing, cast(length(coalesce(full_text_clean, '')) AS int) AS text_len
+FROM ({CACHED}) t WHERE jurisdiction = 'European Union'
+UNION ALL SELECT false, ord, NULL, NULL, NULL, NULL FROM ({CACHED}) t WHERE jurisdiction IS DISTINCT FROM 'European Union'
+""",
+)
+def corpus_part(spark, sf):
+    docs = run(spark, sf, CACHED)
+    eu = sources.corpus_part(docs, eu=True).withColumn("is_eu", F.lit(True))
+    other = sources.corpus_part(docs, eu=False).withColumn("is_eu", F.lit(False))
+    return eu.unionByName(other, allowMissingColumns=True).select(
+        "is_eu", "ord", "celex_full", "celex", "text_missing", "text_len"
+    )

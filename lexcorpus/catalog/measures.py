@@ -391,3 +391,28 @@ def nim_join_fulltext(spark, sf):
         "ord", "document_id", "title", "summary", "language", "jurisdiction", "download_url",
         "full_text",
     )
+
+
+PAGE_RECORDS = """
+SELECT ord, concat('http://publications.europa.eu/resource/nim/', national_measure_id) AS nim_resource_uri,
+  concat('Page ', nim_celex) AS page_title, CASE WHEN ord % 2 = 0 THEN 'it' ELSE '' END AS page_title_lang,
+  'sv,en' AS page_langs FROM [[measures]]
+"""
+
+
+@query(
+    "fill_from_page",
+    f"""
+WITH {ENRICHED},
+p AS (SELECT nim_resource_uri, arg_min(page_title, ord) AS pt, arg_min(page_title_lang, ord) AS pl FROM ({PAGE_RECORDS}) x GROUP BY 1)
+SELECT ord, CASE WHEN nim_title = '' THEN pt ELSE nim_title END AS nim_title,
+  CASE WHEN lang_source IN ('country_fallback', 'default_en') THEN coalesce(nullif(pl, ''), 'sv') ELSE lang_detected END AS lang_detected,
+  CASE WHEN lang_source IN ('country_fallback', 'default_en') THEN 'page_metadata' ELSE lang_source END AS lang_source,
+  CASE WHEN coalesce(available_langs, '') = '' AND (nim_title = '' OR coalesce(available_langs, '') = '') THEN 'sv,en' ELSE available_langs END AS available_langs
+FROM en JOIN p USING (nim_resource_uri)
+""",
+)
+def fill_from_page(spark, sf):
+    enriched_rows = nim.enrich(load(spark, sf, "measures"))
+    filled = nim.fill_from_page(enriched_rows, run(spark, sf, PAGE_RECORDS))
+    return filled.select("ord", "nim_title", "lang_detected", "lang_source", "available_langs")
