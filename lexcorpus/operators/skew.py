@@ -11,13 +11,6 @@ from lexcorpus.session import written
 
 HOT_ROWS = 1_000_000
 HOT_KEYS = 10_000
-SMALL_ROWS = 100_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast when a count shows it is small; else leave the join to Spark."""
-    few = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if few else df
 
 
 def join_sized(

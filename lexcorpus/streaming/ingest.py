@@ -29,16 +29,6 @@ def clean_documents(stream: DataFrame, code: str | None = None, delay: str | Non
     return timed.withWatermark("seen_at", delay).dropDuplicatesWithinWatermark(["document_id"])
 
 
-def counts_per_window(stream: DataFrame, window: str, delay: str) -> DataFrame:
-    """Documents per jurisdiction and time window of ``retrieved_at``."""
-    timed = stream.withColumn("seen_at", F.to_timestamp("retrieved_at")).withWatermark(
-        "seen_at", delay
-    )
-    return timed.groupBy(F.window("seen_at", window), "jurisdiction").agg(
-        F.count("*").alias("documents")
-    )
-
-
 def keep_log(stream: DataFrame, folder: str) -> DataStreamWriter:
     """Keep a retrieval log up to date: each batch of attempts is merged into the newest version
     of the log and written as the next one. A batch that is run again after a failure reads the

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from lexcorpus import session
 from lexcorpus.functions import markup
-from lexcorpus.operators import audit, cache, dedup, eu, extract, matching, nim, noneu, records, skew
+from lexcorpus.operators import audit, cache, dedup, extract, matching, nim, noneu, records, skew
 from lexcorpus.plans import build
 from lexcorpus.sinks import writers
 from lexcorpus.sources import records as sources
@@ -263,6 +263,24 @@ def test_text_files(spark, tmp_path):
     assert (got["celex"], got["celex_version"], got["file_text_len"]) == ("32014L0089", "2020", 10)
 
 
+def test_stored_tables_and_logs(spark, tmp_path):
+    (tmp_path / "t.csv").write_text('celex,text\n32014L0089,"two\nlines ""quoted"""\n')
+    schema = spark.createDataFrame([], "celex string, text string").schema
+    rows = sources.read_table(spark, str(tmp_path / "t.csv"), schema)
+    assert rows.first()["text"] == 'two\nlines "quoted"'
+    first = writers.replace_log(rows, str(tmp_path / "log"), 1)
+    writers.replace_log(spark.read.parquet(first), str(tmp_path / "log"), 2)
+    assert spark.read.parquet(str(tmp_path / "log")).count() == 2
+    with pytest.raises(Exception):
+        writers.replace_log(rows, str(tmp_path / "log"), 1)
+    ordered = sources.with_order(spark.createDataFrame([("b",), ("a",)], "id string"), ["id"])
+    assert {r["id"]: r["ord"] for r in ordered.collect()} == {"a": 0, "b": 1}
+    (tmp_path / "txt").mkdir()
+    (tmp_path / "txt" / "270540.txt").write_text("abc")
+    files = sources.nim_files(sources.text_files(sources.read_text_files(spark, str(tmp_path / "txt"))))
+    assert files.first()["cache_key"] == "270540"
+
+
 def test_whole_run(spark, tmp_path):
     base = docs(
         spark,
