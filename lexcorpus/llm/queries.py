@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexcorpus.llm import chat, embed_dedup, sharding, simhash
+from lexcorpus.llm import chat, decontaminate, embed_dedup, lang_id, sharding, simhash, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -101,3 +101,38 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
     )
+
+
+def remainder(divisor: int) -> F.Column:
+    """crc32 of the document id as text, modulo ``divisor``; null for a null id."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % divisor
+
+
+@query("op1_language")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of all documents, learned from four of five."""
+    docs = read(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    model = lang_id.train(docs.where(remainder(5) != 0))
+    held_out = F.coalesce(remainder(5) == 0, F.lit(True)).alias("held_out")
+    rows = lang_id.identified(docs.select("doc_id", "text"), model)
+    return rows.select("doc_id", held_out, "lang_pred", "score", "rejected")
+
+
+@query("op3_toxicity")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents, learned from the labels of three of four."""
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    labels = read(spark, sf_dir, "labels", "doc_id", "toxic")
+    rows = toxicity.scored(docs, toxicity.train(docs, labels, remainder(4) != 2))
+    held_out = F.coalesce(remainder(4) == 2, F.lit(True)).alias("held_out")
+    return rows.select("doc_id", held_out, "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@query("op9_decontaminate")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that cover a benchmark item, one row each, with the item they cover most."""
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    found = decontaminate.leaks(docs, read(spark, sf_dir, "benchmark", "item_id", "text"))
+    best = F.max_by(F.struct("item_id", "coverage", "tiles"), F.struct("coverage", -F.col("item_id")))
+    rows = found.groupBy("doc_id").agg(F.countDistinct("item_id").alias("n_items"), best.alias("best"))
+    return rows.select("doc_id", "n_items", "best.*")

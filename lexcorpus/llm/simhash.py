@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexcorpus.llm import texts as T
+from lexcorpus.llm.batches import extended
 from lexcorpus.llm.components import components, forest
 from lexcorpus.llm.grouping import whole_groups
 from lexcorpus.llm.store import own_names, stored, without
@@ -64,15 +65,11 @@ def fingerprint(text: str | None, words: int = 3) -> int:
 
 def fingerprints(docs: DataFrame, out: str, text: str = "text", words: int = 3) -> DataFrame:
     """``docs`` without its texts and with the fingerprint of each, as a signed long, in ``out``."""
-    kept = [c for c in docs.columns if c != text]
 
-    def hashed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            values = np.fromiter((fingerprint(t, words) for t in frame[text]), np.uint64, len(frame))
-            yield frame[kept].assign(**{out: values.view(np.int64)})
+    def hashed(texts: list[str | None]) -> list[np.ndarray]:
+        return [np.fromiter((fingerprint(t, words) for t in texts), np.uint64, len(texts)).view(np.int64)]
 
-    schema = docs.select(*kept, F.lit(0).cast("long").alias(out)).schema
-    return docs.mapInPandas(hashed, schema)
+    return extended(docs, text, f"`{out}` long", hashed)
 
 
 def _spread(bits: Iterable[int]) -> int:
