@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexcorpus.llm import chat, decontaminate, embed_dedup, lang_id, sharding, simhash, toxicity
+from lexcorpus.llm import chat, decontaminate, embed_dedup, lang_id, packing, sharding, simhash, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -136,3 +136,9 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     best = F.max_by(F.struct("item_id", "coverage", "tiles"), F.struct("coverage", -F.col("item_id")))
     rows = found.groupBy("doc_id").agg(F.countDistinct("item_id").alias("n_items"), best.alias("best"))
     return rows.select("doc_id", "n_items", "best.*")
+
+
+@query("op5_packing")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as pieces of sequences of at most 2048 tokens."""
+    return packing.packed(read(spark, sf_dir, "documents", "doc_id", "text"))
