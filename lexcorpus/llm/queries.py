@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexcorpus.llm import chat, decontaminate, embed_dedup, lang_id, packing, sharding, simhash, toxicity
+from lexcorpus.llm import (
+    chat, decontaminate, embed_dedup, lang_id, packing, sharding, simhash, suffix_tree_lm, toxicity,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -142,3 +144,13 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as pieces of sequences of at most 2048 tokens."""
     return packing.packed(read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query("op4_language_model")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents scored by the suffix tree and the unigram of six of seven."""
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    model, counts = suffix_tree_lm.train(docs.where(F.coalesce(remainder(7) != 2, F.lit(False))))
+    rows = suffix_tree_lm.scored(docs, model, counts)
+    held_out = F.coalesce(remainder(7) == 2, F.lit(True)).alias("held_out")
+    return rows.select("doc_id", held_out, "n_tokens", "n_known", "train_tokens", "base_score", "score", "spelled_score")
