@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexcorpus.llm import (
-    chat, decontaminate, embed_dedup, lang_id, packing, sharding, simhash, suffix_tree_lm, toxicity,
+    chat, decontaminate, embed_dedup, lang_id, packing, sharding, simhash, suffix_dedup, suffix_tree_lm, toxicity,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -154,3 +154,10 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = suffix_tree_lm.scored(docs, model, counts)
     held_out = F.coalesce(remainder(7) == 2, F.lit(True)).alias("held_out")
     return rows.select("doc_id", held_out, "n_tokens", "n_known", "train_tokens", "base_score", "score", "spelled_score")
+
+
+@query("op2_suffix_dedup")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of all documents without the 200-byte strings that start at two places."""
+    rows = suffix_dedup.deduplicated(read(spark, sf_dir, "documents", "doc_id", "text"))
+    return rows.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
