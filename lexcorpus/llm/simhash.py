@@ -264,6 +264,19 @@ def _verified(rows: DataFrame, distance: int) -> DataFrame:
     return dealt.mapInPandas(check, "a long, b long")
 
 
+def _grouped(docs: DataFrame, doc_id: str, text: str, words: int, distance: int, fp: str, root: str, low: str) -> DataFrame:
+    """``docs`` without its texts and with fingerprint, group and smallest id of the group."""
+    hashed = stored(fingerprints(docs, fp, text, words), "fingerprints")
+    prints = stored(hashed.groupBy(F.col(fp).alias("fp")).agg(F.min(doc_id).alias("low")), "prints")
+    roots = components(linked(prints.select("fp"), distance), "a", "b")
+    grouped = prints.join(roots, prints["fp"] == roots["node"], "left").select(
+        "fp", F.coalesce("root", "fp").alias("root"), "low"
+    )
+    lows = grouped.groupBy("root").agg(F.min("low").alias("low"))
+    labels = grouped.drop("low").join(lows, "root").select(F.col("fp").alias(fp), F.col("root").alias(root), F.col("low").alias(low))
+    return hashed.join(labels, fp)
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 3, distance: int = 2) -> DataFrame:
     """``docs`` without its texts, with ``fingerprint`` (16 hexadecimal digits) and
     ``component_id``: the smallest id that a chain of fingerprints, each within ``distance`` bits
@@ -275,18 +288,30 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     any length are hashed a piece at a time. Columns called like the results are replaced.
     """
     docs = without(docs, {"fingerprint", "component_id"} - {doc_id, text})
-    fp, low = own_names(docs, "_fp", "_low")
-    hashed = stored(fingerprints(docs, fp, text, words), "fingerprints")
-    prints = stored(hashed.groupBy(F.col(fp).alias("fp")).agg(F.min(doc_id).alias("low")), "prints")
-    roots = components(linked(prints.select("fp"), distance), "a", "b")
-    grouped = prints.join(roots, prints["fp"] == roots["node"], "left").select(
-        "fp", F.coalesce("root", "fp").alias("root"), "low"
-    )
-    lows = grouped.groupBy("root").agg(F.min("low").alias(low))
-    labels = grouped.select("root", F.col("fp").alias(fp)).join(lows, "root").select(fp, low)
+    fp, root, low = own_names(docs, "_fp", "_root", "_low")
     return (
-        hashed.join(labels, fp)
+        _grouped(docs, doc_id, text, words, distance, fp, root, low)
         .withColumn("fingerprint", F.lpad(F.lower(F.hex(fp)), 16, "0"))
         .withColumn("component_id", F.col(low))
-        .drop(fp, low)
+        .drop(fp, root, low)
+    )
+
+
+def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 3, distance: int = 2) -> DataFrame:
+    """One row of each group of near duplicates, with all columns of ``docs``: the one with the
+    smallest id; of several with that id, or without ids, the one whose columns hash lowest. Rows
+    that are alike in all columns count once. Texts are read twice and shuffled once, by keys of
+    which each stands for few rows."""
+    fp, root, low, own, at = own_names(docs, "_fp", "_root", "_low", "_hash", "_at")
+    key = docs.withColumn(own, F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])).withColumn(
+        at, F.coalesce(F.expr(f"try_cast(`{doc_id}` as long)"), F.lit(0))
     )
+    rows = _grouped(key.select(doc_id, text, own, at), doc_id, text, words, distance, fp, root, low)
+    order = F.struct(F.col(doc_id).isNull(), F.col(at), F.col(own))
+    best = rows.groupBy(root).agg(F.min(F.struct(order.alias("o"), F.col(at), F.col(own))).alias("b")).select(f"b.{at}", f"b.{own}")
+    best = stored(best, "kept")
+    kept = key.join(best, [at, own], "left_semi")
+    repeated = rows.join(best, [at, own], "left_semi").groupBy(at, own).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    if not repeated.isEmpty():
+        kept = kept.dropDuplicates([at, own])
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
