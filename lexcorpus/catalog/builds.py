@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from lexcorpus import lookups as L
@@ -13,6 +15,7 @@ from lexcorpus.catalog.inputs import load, run, stored
 from lexcorpus.catalog.measures import MEASURE_TEXTS, enriched
 from lexcorpus.catalog.registry import query
 from lexcorpus.catalog.retrieval import STATE, _files
+from lexcorpus.functions import nation
 from lexcorpus.operators import cache, matching, noneu
 from lexcorpus.plans import build
 from lexcorpus.session import new_path
@@ -76,13 +79,13 @@ nd AS (SELECT cp.ord, cp.celex, 'eu-nim:NIM:' || member_state_iso3 || ':' || nat
   coalesce(CASE WHEN text_source_url <> 'CACHE' THEN text_source_url END, nullif(cp.eurlex_url, ''), cp.nim_resource_uri) AS download_url,
   coalesce({R.blank('full_text_clean')}, full_text_raw) AS full_text
   FROM cp JOIN (SELECT ord, nim_date, eu_act_title FROM [[measures]]) m USING (ord)
-  LEFT JOIN ({MEASURE_TEXTS}) tx USING (celex, nim_celex, national_measure_id) WHERE cr <= 3)
+  LEFT JOIN ({MEASURE_TEXTS}) tx USING (celex, nim_celex, national_measure_id))
 SELECT * EXCLUDE (ord, celex, rn) FROM (SELECT *, row_number() OVER (PARTITION BY document_id ORDER BY celex, ord) AS rn FROM nd) x WHERE rn = 1
 """,
 )
 def nim_build(spark, sf):
     docs = build.nim_documents(
-        _eu(spark, sf), load(spark, sf, "measures"), run(spark, sf, MEASURE_TEXTS), max_rows=3
+        _eu(spark, sf), load(spark, sf, "measures"), run(spark, sf, MEASURE_TEXTS)
     )
     return docs.select(
         "document_id", "source_document_id", "title", "summary", "language", "jurisdiction",
@@ -160,7 +163,7 @@ def non_eu_build(spark, sf):
 # ---- records of local sources ----------------------------------------------------------
 
 LOCAL = """
-SELECT doc_id AS ord, concat(' r', cast(doc_id - doc_id % 2 AS string)) AS id, concat('Title ', substr(text, 1, 30)) AS title,
+SELECT doc_id AS ord, concat(' r', cast(doc_id - doc_id % 2 AS string)) AS id, concat('Title ', md5(text)) AS title,
   CASE doc_id % 3 WHEN 0 THEN NULL ELSE lang END AS language, text AS full_text,
   CASE doc_id % 4 WHEN 0 THEN NULL WHEN 1 THEN 'energy security' WHEN 2 THEN '["critical infrastructure"]' ELSE 'other' END AS queries
 FROM [[documents]]
@@ -173,7 +176,7 @@ FROM [[documents]]
 WITH m AS (SELECT r.*, q.* FROM ({LOCAL}) r JOIN (VALUES {QUERY_SQL}) q(query_ord, query_text, query_id) ON r.queries IS NULL
   OR (r.queries = 'energy security' AND query_ord = 0) OR (starts_with(r.queries, '[') AND query_ord = 1)),
 n AS (SELECT 0 AS part_ord, 'first' AS s, *, row_number() OVER (PARTITION BY query_ord ORDER BY ord) - 1 AS idx FROM m
-  UNION ALL SELECT 1, 'second', *, row_number() OVER (PARTITION BY query_ord ORDER BY ord) - 1 FROM m WHERE ord % 5 < 3),
+  UNION ALL SELECT 1, 'second', *, row_number() OVER (PARTITION BY query_ord ORDER BY ord) - 1 FROM m),
 d AS (SELECT *, s || ':' || trim(id) AS document_id FROM n)
 SELECT part_ord, ord, document_id, s AS source_name, {R.blank('id')} AS source_document_id, {R.blank('title')} AS title, language,
   query_text AS query, query_id AS _query_id, idx AS _adapter_result_index, {R.blank('full_text')} AS full_text
@@ -183,7 +186,7 @@ FROM (SELECT *, row_number() OVER (PARTITION BY document_id ORDER BY part_ord, q
 def record_build(spark, sf):
     rows = run(spark, sf, LOCAL)
     docs = build.record_build(
-        {"first": rows, "second": rows.where("ord % 5 < 3")}, matching.inline_queries(QUERY_TERMS)
+        {"first": rows, "second": rows}, matching.inline_queries(QUERY_TERMS)
     )
     return docs.select(
         "part_ord", "ord", "document_id", "source_name", "source_document_id", "title", "language",
@@ -193,15 +196,37 @@ def record_build(spark, sf):
 
 # ---- one corpus ------------------------------------------------------------------------
 
-COUNTRIES = {"UK": "UK", "CA": "CA", "AUS": "AUS", "NZ": "NZ", "US": "US"}
+#: The source names of each jurisdiction, as a list in SQL.
+COUNTRIES = {
+    "UK": "('UK')", "CA": "('CA', 'Canada')", "AUS": "('AUS')", "NZ": "('NZ')", "US": "('US')",
+}
 CORPUS_FOREIGN = " UNION ALL ".join(
     f"SELECT {i} AS part_ord, '{code}' AS jurisdiction_code, 'non-eu:' || source_document_id AS document_id, "
     f"title, language, '{L.JURISDICTION_LABELS[code]}' AS jurisdiction, publication_date, 'policy_document' AS document_type, "
-    f"full_text, ord FROM fd WHERE source = '{code}'"
-    for i, code in enumerate(COUNTRIES, start=1)
+    f"full_text, ord FROM fd WHERE source IN {names}"
+    for i, (code, names) in enumerate(COUNTRIES.items(), start=1)
 )
+ROUTED = ", ".join(f"'{name}'" for names in COUNTRIES.values() for name in re.findall("'(.*?)'", names))
+
+
+def _routed(spark, sf):
+    source = F.get_json_object("raw_record", "$.source")
+    code = nation.source_code(source)
+    path = stored(
+        spark, sf, "foreign", lambda: _foreign(spark, sf).withColumns({"source": source, "code": code})
+    )
+    return spark.read.parquet(path)
 
 
+@query(
+    "corpus_unrouted",
+    f"WITH {FOREIGN} SELECT source, count(*) AS documents FROM fd WHERE source NOT IN ({ROUTED}) GROUP BY 1",
+)
+def corpus_unrouted(spark, sf):
+    """Documents whose source belongs to no jurisdiction of a corpus."""
+    rest = _routed(spark, sf).where(~F.col("code").isin(*COUNTRIES))
+    return rest.groupBy("source").agg(F.count("*").alias("documents"))
+
 
 @query(
     "corpus_build",
@@ -218,12 +243,10 @@ FROM (SELECT *, row_number() OVER (PARTITION BY document_id ORDER BY part_ord, o
 """,
 )
 def corpus_build(spark, sf):
-    code = F.get_json_object("raw_record", "$.source")
-    path = stored(spark, sf, "foreign", lambda: _foreign(spark, sf).withColumn("code", code))
-    foreign = spark.read.parquet(path)
+    foreign = _routed(spark, sf)
     parts = {"EU": _eu(spark, sf)}
     for code in COUNTRIES:
-        parts[code] = foreign.where(F.col("code") == code).drop("code")
+        parts[code] = foreign.where(F.col("code") == code).drop("code", "source")
     docs = build.corpus_build(parts, new_path(spark, "corpus"))
     return docs.select(
         "jurisdiction_code", "document_id", "title", "language", "jurisdiction", "document_type",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from lexcorpus import lookups as L
 from lexcorpus.catalog import rules as R
 from lexcorpus.catalog.inputs import act, load, run
 from lexcorpus.catalog.registry import query
@@ -146,13 +147,13 @@ def host_counts(spark, sf):
 
 # ---- records, mapping, queries ---------------------------------------------------------
 
-TERMS = ("tion", "Est", "für", "thand", "nature repair")
+TERMS = (*dict.fromkeys((*L.SEARCH_TERMS, *L.FULLTEXT_TERMS)), "tion", "Est", "für", "thand")
 QUERY_TERMS = ("Energy Security", "critical infrastructure", "resilience policy ")
 
 RECORDS = f"""
 SELECT doc_id AS ord,
   CASE WHEN doc_id % 23 = 0 THEN ' ' ELSE concat(' doc-', cast(doc_id AS string)) END AS id,
-  CASE WHEN doc_id % 29 = 0 THEN NULL ELSE concat('Title ', substr(text, 1, 30)) END AS title,
+  CASE WHEN doc_id % 29 = 0 THEN NULL ELSE concat('Title ', md5(text)) END AS title,
   CASE doc_id % 4 WHEN 0 THEN NULL WHEN 1 THEN ' ' ELSE {act('doc_id')} END AS source_document_id,
   CASE doc_id % 3 WHEN 0 THEN NULL ELSE concat(' ', source, ' ') END AS summary,
   lang AS language, 'EU' AS jurisdiction, text AS full_text,
@@ -299,7 +300,7 @@ def match_queries(spark, sf):
 WITH m AS ({MATCH_SQL})
 SELECT 0 AS source_ord, query_ord, ord, 'first:' || cast(ord AS varchar) AS document_id, query_id FROM m
 UNION ALL
-SELECT 1, query_ord, ord, 'second:' || cast(ord AS varchar), query_id FROM m WHERE ord % 2 = 0
+SELECT 1, query_ord, ord, 'second:' || cast(ord AS varchar), query_id FROM m
 """,
 )
 def collect_union(spark, sf):
@@ -310,7 +311,7 @@ def collect_union(spark, sf):
         matching.match_queries(rows, queries).withColumn(
             "document_id", F.concat(F.lit(f"{name}:"), F.col("ord"))
         )
-        for name, rows in (("first", both), ("second", both.where("ord % 2 = 0")))
+        for name, rows in (("first", both), ("second", both))
     ]
     merged = dedup.merge_sources(found).withColumnRenamed("part_ord", "source_ord")
     return merged.select("source_ord", "query_ord", "ord", "document_id", "query_id")
@@ -333,7 +334,7 @@ def match_terms(spark, sf):
 
 
 WORDS = """
-SELECT doc_id AS ord, lower(substr(text, 1, 12)) AS term FROM [[documents]]
+SELECT doc_id AS ord, lower(text) AS term FROM [[documents]]
 """
 
 

@@ -35,14 +35,14 @@ def dedup_first_nulls(spark, sf):
 PARTS = """
 SELECT 0 AS part_ord, ord, document_id, jurisdiction, full_text FROM [[docs]] WHERE ord % 7 = 1
 UNION ALL SELECT 1, ord, document_id, jurisdiction, full_text FROM [[docs]] WHERE ord % 7 <> 1
-UNION ALL SELECT 2, ord, document_id, jurisdiction, full_text FROM [[docs]] WHERE ord % 2 = 0
+UNION ALL SELECT 2, ord, document_id, jurisdiction, full_text FROM [[docs]]
 """
 
 
 def _parts(spark, sf):
     docs = load(spark, sf, "docs").select("ord", "document_id", "jurisdiction", "full_text")
     return dedup.merge_sources(
-        [docs.where("ord % 7 = 1"), docs.where("ord % 7 <> 1"), docs.where("ord % 2 = 0")]
+        [docs.where("ord % 7 = 1"), docs.where("ord % 7 <> 1"), docs]
     )
 
 
@@ -114,7 +114,6 @@ SUMMARY = f"""
 s0 AS (SELECT gid, signal, n, v,
   list_sort(list_distinct(list(nullif({R.strip('jurisdiction')}, '')))) AS lands,
   list_sort(list_distinct(list(nullif({R.strip('source_name')}, '')))) AS srcs,
-  list_sort(list_distinct(list(nullif({R.strip('document_id')}, '')))) AS ids,
   min(nullif({R.strip('publication_date')}, '')) AS d0,
   max(nullif({R.strip('publication_date')}, '')) AS d1
   FROM m JOIN g USING (so, signal, v) JOIN ctx USING (ord) GROUP BY gid, signal, n, v),
@@ -127,7 +126,6 @@ s AS (SELECT row_number() OVER (ORDER BY score DESC, n DESC, signal, gid) AS rev
   coalesce(array_to_string(srcs, ' | '), '') AS source_names,
   coalesce(d0, '') AS publication_date_min, coalesce(d1, '') AS publication_date_max,
   ml AS spans_multiple_jurisdictions, ms AS spans_multiple_source_names,
-  CASE WHEN n <= 1000 THEN array_to_string(ids, ' | ') END AS document_ids,
   score AS review_interest_score,
   concat_ws(' | ', 'group_size=' || cast(n AS varchar),
     CASE WHEN ml THEN 'spans_multiple_jurisdictions' END,
@@ -142,19 +140,29 @@ def dup_summary(spark, sf):
     return audit.group_summary(load(spark, sf, "docs")).select(*audit.SUMMARY_COLUMNS)
 
 
+@query(
+    "dup_members",
+    f"""WITH {CONTEXT}
+SELECT DISTINCT gid AS duplicate_group_id, signal, nullif({R.strip('document_id')}, '') AS document_id
+FROM m JOIN g USING (so, signal, v) JOIN ctx USING (ord) WHERE {R.strip('document_id')} <> ''""",
+)
+def dup_members(spark, sf):
+    return audit.group_members(load(spark, sf, "docs"))
+
+
 @query(
     "dup_top",
     f"""
 WITH {SUMMARY}
-SELECT * FROM (SELECT 'largest' AS list, * EXCLUDE (lands, srcs, document_ids) FROM s
+SELECT * FROM (SELECT 'largest' AS list, * EXCLUDE (lands, srcs) FROM s
   ORDER BY group_size DESC, duplicate_group_id LIMIT 10) a
 UNION ALL
-SELECT * FROM (SELECT 'review' AS list, * EXCLUDE (lands, srcs, document_ids) FROM s
+SELECT * FROM (SELECT 'review' AS list, * EXCLUDE (lands, srcs) FROM s
   ORDER BY review_interest_score DESC, group_size DESC, duplicate_group_id LIMIT 20) b
 """,
 )
 def dup_top(spark, sf):
-    summary = audit.group_summary(load(spark, sf, "docs")).select(*audit.TOP_COLUMNS)
+    summary = audit.group_summary(load(spark, sf, "docs")).select(*audit.SUMMARY_COLUMNS)
     largest = audit.top_groups(summary, ("group_size",), 10)
     review = audit.top_groups(summary, ("review_interest_score", "group_size"), 20)
     return largest.withColumn("list", F.lit("largest")).unionByName(

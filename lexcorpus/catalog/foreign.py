@@ -277,7 +277,7 @@ def legislation_urls(spark, sf):
 
 PAGE_TEXTS = """
 SELECT doc_id AS ord, concat('Home Search Search Canada.ca Search Menu Main Menu ', 'Passer au contenu principal ',
-  'RÃ©sumÃ© â€™x ', substr(text, 1, 400), '  Government of Canada Publications - Canada.ca ',
+  'RÃ©sumÃ© â€™x ', text, '  Government of Canada Publications - Canada.ca ',
   CASE WHEN doc_id % 2 = 0 THEN 'About this site Government of Canada and more' ELSE 'end' END) AS body
 FROM [[documents]]
 """
@@ -285,7 +285,7 @@ FROM [[documents]]
 
 @query(
     "canada_page_text",
-    f"""SELECT ord, {R.strip(R.collapse("'Résumé ''x ' || left(text, 400) || '  ' || CASE WHEN ord % 2 = 0 THEN '' ELSE ' end' END"))} AS text
+    f"""SELECT ord, {R.strip(R.collapse("'Résumé ''x ' || text || '  ' || CASE WHEN ord % 2 = 0 THEN '' ELSE ' end' END"))} AS text
 FROM (SELECT doc_id AS ord, text FROM documents) t""",
 )
 def canada_page_text(spark, sf):
@@ -314,7 +314,8 @@ def canada_act_text(spark, sf):
     "fill_from_texts",
     f"""
 WITH {PREPARED}, t AS (SELECT * FROM (SELECT doc_id, title AS ft, cast(year AS varchar) AS fd, year AS fy,
-  row_number() OVER (PARTITION BY doc_id ORDER BY ord) AS rn FROM h WHERE ord % 3 = 0) x WHERE rn = 1)
+  row_number() OVER (PARTITION BY doc_id ORDER BY ord) AS rn
+  FROM (SELECT * REPLACE (CASE WHEN ord % 3 = 0 THEN doc_id ELSE 'unlisted ' || doc_id END AS doc_id) FROM h) y) x WHERE rn = 1)
 SELECT ord, doc_id, CASE WHEN {R.missing('title')} THEN ft ELSE title END AS title,
   CASE WHEN {R.missing('cast(year AS varchar)')} THEN fd ELSE cast(year AS varchar) END AS date,
   coalesce(year, fy) AS year FROM h LEFT JOIN t USING (doc_id)
@@ -322,7 +323,10 @@ SELECT ord, doc_id, CASE WHEN {R.missing('title')} THEN ft ELSE title END AS tit
 )
 def fill_from_texts(spark, sf):
     hits = noneu.prepare_hits(load(spark, sf, "foreign_hits"))
-    texts = hits.where("ord % 3 = 0").withColumn("retrieval_status", F.lit("ok"))
+    known = F.when(F.col("ord") % 3 == 0, F.col("doc_id")).otherwise(
+        F.concat(F.lit("unlisted "), F.col("doc_id"))
+    )
+    texts = hits.withColumns({"doc_id": known, "retrieval_status": F.lit("ok")})
     return noneu.fill_from_texts(hits, texts).select("ord", "doc_id", "title", "date", "year")
 
 
@@ -330,11 +334,10 @@ def fill_from_texts(spark, sf):
 
 EU_ROWS = """
 SELECT ord, source_document_id AS celex_full, url, title, language AS lang, full_text AS full_text_clean FROM [[docs]]
-WHERE ord % 3 <> 1
 """
 OTHER_ROWS = """
 SELECT ord, jurisdiction, url AS doc_uid, concat('k', cast(ord % 500 AS string)) AS doc_id, title, language AS lang,
-  full_text AS full_text_clean FROM [[docs]] WHERE ord % 3 <> 2
+  full_text AS full_text_clean FROM [[docs]]
 """
 
 

@@ -128,12 +128,12 @@ def lang_counts(spark, sf):
 
 
 TEXTS = f"""
-SELECT celex_full, split_part(celex_full, '-', 1) AS celex,
+SELECT CASE WHEN ord % 4 = 3 THEN concat('unlisted', celex_full) ELSE celex_full END AS celex_full, split_part(celex_full, '-', 1) AS celex,
   CASE WHEN celex_full LIKE '%-%' THEN split_part(celex_full, '-', 2) ELSE '' END AS celex_version,
   CASE WHEN ord % 3 = 0 THEN 'CACHE' WHEN ord % 3 = 1 THEN ' ' ELSE url END AS text_source_url,
   concat('raw ', title) AS full_text_raw, CASE WHEN ord % 2 = 0 THEN ' ' ELSE concat(' clean ', title) END
     AS full_text_clean, 200 AS retrieval_status, lang, concat('/cache/', celex_full) AS text_path
-FROM [[doc_list]] WHERE ord % 4 <> 3
+FROM [[doc_list]]
 """
 
 

@@ -73,12 +73,12 @@ SELECT doc_id AS ord,
          {s('doc_id - CASE WHEN doc_id % 13 = 1 THEN 1 ELSE 0 END')}) AS document_id,
   source AS source_name,
   CASE doc_id % 37 WHEN 5 THEN 'Untitled' WHEN 6 THEN ' n/A ' WHEN 7 THEN NULL
-    ELSE concat('  ', substr(text, 1, 60), chr(160), ' ', chr(9)) END AS title,
+    ELSE concat('  Notice ', md5(text), ' of ', source, chr(160), ' ', chr(9)) END AS title,
   CASE doc_id % 5
     WHEN 0 THEN concat(' ', {act('doc_id % 300')}, ' ')
     WHEN 1 THEN concat('ref ', lower({act('doc_id % 300')}))
     WHEN 2 THEN '' ELSE NULL END AS source_document_id,
-  substr(text, 61, 120) AS summary,
+  text AS summary,
   {pick('doc_id', "'Regulation'", "' Decision '", "'Opinion'", "'Policy Paper (Draft)'",
         "'unknown descriptor'", 'NULL', "'  '", "'--'", "'Tribunal  case'")} AS document_type,
   {pick('doc_id', 'upper(lang)', "concat(' ', lang)", "''", 'NULL')} AS language,
@@ -104,7 +104,7 @@ SELECT doc_id AS ord,
         f"concat({CAUTION}, text)",
         f"concat('{BOM}', replace(text, {NL}, concat(chr(13), {NL}, {NL}, {NL})))",
         f"concat(replace(text, ' ', concat(' ', chr(160), chr(9))), {NL}, {NL}, {NL}, ' ')",
-        'text', f"concat('C_2023157EN.xml', {NL}, text)", "'   '", 'NULL', 'text')} AS full_text
+        'text', f"concat('C_2023157EN.xml', {NL}, text)", "concat('   ', text)", "concat(text, chr(9))", 'text')} AS full_text
 FROM [[documents]]
 """
 
@@ -165,10 +165,11 @@ FROM [[events]]
 """
 
 INPUTS["files"] = f"""
-SELECT {versioned('c_custkey')} AS celex_full,
+SELECT CASE WHEN c_custkey % 3 = 0 THEN {versioned('c_custkey')}
+    ELSE concat('unlisted-', {s('c_custkey')}) END AS celex_full,
   cast(floor(abs(c_acctbal)) AS int) % 1500 AS file_text_len,
   concat('/cache/', {s('c_custkey')}, '.txt') AS text_path, true AS file_exists
-FROM [[customer]] WHERE c_custkey % 3 = 0
+FROM [[customer]]
 """
 
 INPUTS["doc_list"] = f"""

@@ -281,20 +281,20 @@ def nim_cache_conform(spark, sf):
 
 @query(
     "nim_cache_upsert",
-    f"""WITH {NIM_CONFORMED}, u AS (SELECT 0 AS batch, * FROM nc WHERE ord % 2 = 0 UNION ALL SELECT 1, * FROM nc WHERE ord % 5 = 1)
+    f"""WITH {NIM_CONFORMED}, u AS (SELECT 0 AS batch, * FROM nc WHERE ord % 2 = 0 UNION ALL SELECT 1, * FROM nc WHERE ord % 2 = 1)
 SELECT batch, ord, cache_key, lang, text_len FROM (SELECT *, row_number() OVER (PARTITION BY cache_key, lang
   ORDER BY timestamp DESC, text_len DESC, batch DESC, ord DESC) AS rn FROM u) t WHERE rn = 1""",
 )
 def nim_cache_upsert(spark, sf):
     log = cache.conform_nim(run(spark, sf, NIM_LOG))
-    merged = cache.merge_nim_logs(log.where("ord % 2 = 0"), log.where("ord % 5 = 1"))
+    merged = cache.merge_nim_logs(log.where("ord % 2 = 0"), log.where("ord % 2 = 1"))
     return merged.select("batch", "ord", "cache_key", "lang", "text_len")
 
 
 NIM_FILES = """
-SELECT cast(c_custkey AS string) AS cache_key, cast(floor(abs(c_acctbal)) AS int) % 1500 AS file_text_len,
+SELECT concat(CASE WHEN c_custkey % 2 = 0 THEN '' ELSE 'unlisted-' END, cast(c_custkey AS string)) AS cache_key, cast(floor(abs(c_acctbal)) AS int) % 1500 AS file_text_len,
   concat('/cache/', cast(c_custkey AS string), '.txt') AS text_path, true AS file_exists
-FROM [[customer]] WHERE c_custkey % 2 = 0
+FROM [[customer]]
 """
 
 
@@ -365,10 +365,10 @@ def measures_of_acts(spark, sf):
 
 
 MEASURE_TEXTS = """
-SELECT celex, nim_celex, national_measure_id, CASE WHEN ord % 3 = 0 THEN ' ' ELSE concat('text of ', nim_celex) END AS full_text_clean,
+SELECT celex, nim_celex, concat(CASE WHEN ord % 4 = 1 THEN 'unlisted-' ELSE '' END, national_measure_id) AS national_measure_id, CASE WHEN ord % 3 = 0 THEN ' ' ELSE concat('text of ', nim_celex) END AS full_text_clean,
   concat('raw of ', nim_celex) AS full_text_raw, CASE WHEN ord % 2 = 0 THEN 'CACHE' ELSE concat('https://t.example/', nim_celex) END AS text_source_url,
   CASE WHEN ord % 5 = 0 THEN 'sv' ELSE '' END AS lang
-FROM (SELECT min(ord) AS ord, celex, nim_celex, national_measure_id FROM [[measures]] GROUP BY 2, 3, 4) t WHERE ord % 4 <> 1
+FROM (SELECT min(ord) AS ord, celex, nim_celex, national_measure_id FROM [[measures]] GROUP BY 2, 3, 4) t
 """
 
 

@@ -211,7 +211,7 @@ def parse_hits(spark, sf):
 )
 def found_hits(spark, sf):
     hits = extract.parse_hits(_payload(spark, sf, "answers", ANSWERS)).withColumn(
-        "place", F.col("ord") * 1000 + F.col("result_idx")
+        "place", F.struct("ord", "result_idx")
     )
     return extract.found_hits(hits, ["job"], "place").select("job", "celex", "title")
 
@@ -305,11 +305,11 @@ r AS (SELECT ord, term, 0 AS i, coalesce(nullif(text_url, ''), 'https://nz/' ||
     'Act ' || cast(c AS varchar) AS title, CASE WHEN ord % 3 = 0 THEN 'v1' ELSE 'w' || cast(c AS varchar) END AS doc_uid FROM a
   UNION ALL SELECT ord, term, 1, 'https://nz/' || cast(ord % 4 AS varchar) || '.xml', '', '', 'again' FROM a
   UNION ALL SELECT ord, term, 2, 'https://nz/0.xml', '', 'B', 'w2' FROM a WHERE ord % 4 <> 0)
-SELECT ord, term, url, text_url, title, doc_uid FROM (SELECT *, row_number() OVER (PARTITION BY ord ORDER BY i) AS rn FROM r) t WHERE rn <= 2
+SELECT ord, term, url, text_url, title, doc_uid FROM r
 """,
 )
 def nz_rows(spark, sf):
-    return extract.nz_rows(_payload(spark, sf, "nz", NZ), cap=2).select(
+    return extract.nz_rows(_payload(spark, sf, "nz", NZ)).select(
         "ord", "term", "url", "text_url", "title", "doc_uid"
     )
 
@@ -327,11 +327,11 @@ FROM [[orders]]
 WITH r AS (SELECT o_orderkey AS ord, 'term ' || cast(o_custkey % 50 AS varchar) AS term, 0 AS i, 'D-' || cast(o_orderkey AS varchar) AS api_id,
     'https://us/' || cast(o_orderkey AS varchar) AS url, 'Notice ' || cast(o_orderkey AS varchar) AS title FROM orders
   UNION ALL SELECT o_orderkey, 'term ' || cast(o_custkey % 50 AS varchar), 1, 'E-' || cast(o_orderkey AS varchar), '', 'T' FROM orders)
-SELECT term, ord, api_id, url, title FROM (SELECT *, row_number() OVER (PARTITION BY term ORDER BY ord, i) AS rn FROM r) t WHERE rn <= 7
+SELECT term, ord, api_id, url, title FROM r
 """,
 )
 def us_rows(spark, sf):
-    return extract.us_rows(_payload(spark, sf, "us", US), cap=7).select("term", "ord", "api_id", "url", "title")
+    return extract.us_rows(_payload(spark, sf, "us", US)).select("term", "ord", "api_id", "url", "title")
 
 
 DETAIL = """

@@ -181,7 +181,7 @@ WITH {CONFORMED},
 o AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY celex_full, lang ORDER BY ord DESC) AS rn
   FROM c0 WHERE ord % 2 = 0) t WHERE rn = 1),
 n AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY celex_full, lang ORDER BY ord DESC) AS rn
-  FROM c0 WHERE ord % 5 = 1) t WHERE rn = 1),
+  FROM c0 WHERE ord % 2 = 1) t WHERE rn = 1),
 u AS (SELECT 0 AS batch, * FROM o UNION ALL SELECT 1, * FROM n)
 SELECT batch, ord, celex_full, lang FROM (SELECT *, row_number() OVER (
   PARTITION BY celex_full, lang ORDER BY batch DESC, ord DESC) AS r2 FROM u) t WHERE r2 = 1
@@ -189,7 +189,7 @@ SELECT batch, ord, celex_full, lang FROM (SELECT *, row_number() OVER (
 )
 def cache_upsert(spark, sf):
     log = load(spark, sf, "log")
-    old, new = cache.conform(log.where("ord % 2 = 0")), cache.conform(log.where("ord % 5 = 1"))
+    old, new = cache.conform(log.where("ord % 2 = 0")), cache.conform(log.where("ord % 2 = 1"))
     return cache.merge_logs(old, new).select("batch", "ord", "celex_full", "lang")
 
 
@@ -255,8 +255,8 @@ def route_counts(spark, sf):
 QUALITY_TEXT = """
 SELECT doc_id AS ord, CASE doc_id % 6
   WHEN 0 THEN concat('rdf:about ', text, ' skos:Concept')
-  WHEN 1 THEN concat(repeat('http://a.example/x ', 14), substr(text, 1, 800))
-  WHEN 2 THEN substr(text, 1, 200) WHEN 3 THEN '  ' ELSE text END AS body FROM [[documents]]
+  WHEN 1 THEN concat(repeat('http://a.example/x ', 14), text)
+  WHEN 2 THEN concat('xmlns:dcterms:', text) WHEN 3 THEN concat('  ', text, ' ') ELSE text END AS body FROM [[documents]]
 """
 
 
@@ -284,11 +284,11 @@ def text_quality(spark, sf):
 
 @query(
     "text_availability",
-    f"""SELECT ord, CASE WHEN contains(left(lower(body), 4000), '<rdf:rdf') THEN 'metadata_rdf'
+    f"""SELECT ord, CASE WHEN contains(lower(body), '<rdf:rdf') THEN 'metadata_rdf'
     WHEN ord % 7 = 2 THEN 'metadata_rdf'
-    WHEN length(left(lower(body), 4000)) < 5000 AND (length(left(lower(body), 4000)) - length(replace(left(lower(body), 4000), 'http://', ''))) / 7 > 40
+    WHEN length(lower(body)) < 5000 AND (length(lower(body)) - length(replace(lower(body), 'http://', ''))) / 7 > 40
       THEN 'metadata_uri_heavy'
-    WHEN contains(left(lower(body), 4000), 'xmlns:rdf') OR contains(left(lower(body), 4000), 'dcterms:') THEN 'metadata_xml'
+    WHEN contains(lower(body), 'xmlns:rdf') OR contains(lower(body), 'dcterms:') THEN 'metadata_xml'
     ELSE '' END AS measure_problem,
   length(body) < 300 OR contains(lower(body), 'document not found') AS not_available
 FROM (SELECT ord, CASE WHEN ord % 5 = 0 THEN concat(body, ' Document not found') ELSE body END AS body

@@ -6,7 +6,6 @@ The readers travel with the job, so executors need not have this package install
 from __future__ import annotations
 
 import html
-import re
 import sys
 
 import pandas as pd
@@ -17,12 +16,6 @@ from lexcorpus.functions.markup import (
     legislation_text, notices, rdf_elements, read_page, search_hits,
 )
 
-# ---- fixed values: marks that open the body of an act ----------------------------------
-ACT_BODY = (
-    r"\b(Assented to|Preamble|An Act\b|Short Title|Interpretation|PART I|Marginal note:)\b"
-)
-
-
 def page_batch(bodies: pd.Series, bases: pd.Series) -> pd.DataFrame:
     rows = [read_page(b, u) for b, u in zip(bodies, bases)]
     names = ("text_lines", "text_visible", "text_plain", "places", "links", "metas")
@@ -51,27 +44,5 @@ def unescape_batch(texts: pd.Series) -> pd.Series:
     return texts.map(html.unescape, na_action="ignore")
 
 
-def act_body(text: str, title: str) -> str:
-    """Cut an act page to its body: from the title that opens the act, past the contents."""
-    name = " ".join(title.split())
-    if name:
-        at = [m.start() for m in re.finditer(re.escape(name), text, re.I)]
-        body = (p for p in at if p >= 50 and re.search(ACT_BODY, text[p : p + 1500], re.I))
-        late = (p for p in at if p > 200)
-        start = next(body, next(late, None))
-        if start is not None:
-            text = text[start:].strip()
-    contents = re.search(r"\bTable of Contents\b", text, re.I)
-    if contents:
-        mark = re.compile(ACT_BODY, re.I).search(text[contents.end() :])
-        if mark:
-            text = text[contents.end() + mark.start() :].strip()
-    return " ".join(text.split())
-
-
-def act_body_batch(texts: pd.Series, titles: pd.Series) -> pd.Series:
-    return pd.Series([act_body(x or "", t or "") for x, t in zip(texts, titles)])
-
-
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 cloudpickle.register_pickle_by_value(markup)

@@ -113,7 +113,7 @@ def text_lang_source(chosen: Column, doc_lang: Column, query_langs: Column) -> C
 
 
 def safe_name(c: Column) -> Column:
-    x = F.substring(F.regexp_replace(text_or_empty(c), "[^A-Za-z0-9._-]+", "_"), 1, 180)
+    x = F.regexp_replace(text_or_empty(c), "[^A-Za-z0-9._-]+", "_")
     return F.when(x == "", "missing_id").otherwise(x)
 
 

@@ -2,7 +2,7 @@
 
 Signals are exploded from a narrow table (position, signal, value); blank values are dropped
 before the shuffle, groups are counted with partial aggregates, and member rows join their
-group with hot groups dealt over salts.
+stored groups, of which Spark splits the hot ones.
 """
 
 from __future__ import annotations
@@ -11,12 +11,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexcorpus.functions import celex, text, urls
-from lexcorpus.operators.skew import HOT_ROWS, join_sized, number_rows
+from lexcorpus.operators.skew import join_sized, number_rows
 
 SIGNALS = ("document_id", "source_document_id", "celex", "normalized_url", "normalized_title")
 RAW_CELEX_KEYS = ("celex", "celex_full", "nim_celex", "act_celex", "source_celex")
 MIN_TITLE = 16
-LISTED_IDS = 1000
 JOINER = " | "
 
 
@@ -90,12 +89,12 @@ def _numbered(groups: DataFrame) -> DataFrame:
     return numbered.withColumn("duplicate_group_id", name).drop("_no")
 
 
-def duplicate_rows(docs: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def duplicate_rows(docs: DataFrame) -> DataFrame:
     """One row per document and likely-duplicate group it belongs to."""
     ctx = contexts(docs)
     members = _members(ctx)
     groups = _numbered(_sized(members))
-    joined = join_sized(members, groups, KEY, "group_size", F.col("ord"), hot_rows=hot_rows)
+    joined = join_sized(members, groups, KEY)
     return joined.drop("signal_ord").join(ctx, "ord").select(
         "duplicate_group_id", "signal", "group_size", "representative_value", "document_id",
         "source_name", "source_document_id", "title", "normalized_title", "url", "normalized_url",
@@ -107,10 +106,21 @@ def _present(c: str) -> Column:
     return F.nullif(text.strip(F.col(c)), F.lit(""))
 
 
-def group_summary(docs: DataFrame, listed: int = LISTED_IDS) -> DataFrame:
-    """One review row per group, ranked. Jurisdictions and sources are few and are collected;
-    document ids are joined for groups of up to ``listed`` rows, and stay null in larger ones,
-    whose members are the rows of ``duplicate_rows``."""
+def group_members(docs: DataFrame) -> DataFrame:
+    """One row per group and distinct document id in it, whatever the size of the group."""
+    members = _members(contexts(docs), "document_id")
+    groups = _numbered(_sized(members))
+    return (
+        join_sized(members, groups, KEY)
+        .select("duplicate_group_id", "signal", _present("document_id").alias("document_id"))
+        .where("document_id is not null")
+        .distinct()
+    )
+
+
+def group_summary(docs: DataFrame) -> DataFrame:
+    """One review row per group, ranked. A group's jurisdictions and sources, of which a run has
+    few, are listed; its documents are the rows of ``group_members``."""
     ctx = contexts(docs)
     members = _members(ctx, "jurisdiction", "source_name", "publication_date")
     groups = _sized(
@@ -156,25 +166,15 @@ def group_summary(docs: DataFrame, listed: int = LISTED_IDS) -> DataFrame:
         ],
         "review_rank",
     )
-    ids = _members(ctx, "document_id")
-    small = join_sized(ids, ranked.select(*KEY, "group_size"), KEY, "group_size", F.col("ord"))
-    lists = (
-        small.where(F.col("group_size") <= listed)
-        .groupBy(*KEY)
-        .agg(F.array_sort(F.collect_set(_present("document_id"))).alias("_ids"))
-    )
-    return ranked.join(lists, list(KEY), "left").withColumn(
-        "document_ids", F.array_join("_ids", JOINER)
-    ).drop("signal_ord", "_ids")
+    return ranked.drop("signal_ord")
 
 
 SUMMARY_COLUMNS = (
     "review_rank", "duplicate_group_id", "signal", "group_size", "representative_value",
     "jurisdictions", "source_names", "publication_date_min", "publication_date_max",
-    "spans_multiple_jurisdictions", "spans_multiple_source_names", "document_ids",
+    "spans_multiple_jurisdictions", "spans_multiple_source_names",
     "review_interest_score", "review_interest_reasons",
 )
-TOP_COLUMNS = tuple(c for c in SUMMARY_COLUMNS if c != "document_ids")
 
 
 def light_summary(docs: DataFrame) -> DataFrame:
@@ -214,7 +214,7 @@ def totals(docs: DataFrame) -> DataFrame:
     """Number of groups and of the distinct documents in them."""
     members = _members(contexts(docs), "document_id")
     groups = _sized(members)
-    involved = join_sized(members, groups, KEY, "group_size", F.col("ord"))
+    involved = join_sized(members, groups, KEY)
     return involved.agg(
         F.countDistinct("signal", "representative_value").alias("duplicate_group_count"),
         F.countDistinct(_present("document_id")).alias("document_count"),

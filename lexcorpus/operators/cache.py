@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lexcorpus import schemas
 from lexcorpus.functions import celex, langs, quality
 from lexcorpus.functions.text import cached_text, empty, strip
-from lexcorpus.operators.dedup import keep_best, keep_last
+from lexcorpus.operators.dedup import keep_best, keep_last, keep_last_merged
 
 KEYS = ["celex_full", "celex", "celex_version"]
 MIN_CHARS = 500
@@ -217,11 +217,9 @@ def diagnostics(log: DataFrame, files: DataFrame, min_chars: int = MIN_CHARS) ->
 
 def merge_logs(old: DataFrame, new: DataFrame) -> DataFrame:
     """EU log after adding rows: the newer row per identifier and language replaces the older."""
-    step = F.struct(F.col("batch"), F.col("ord"))
-    both = old.withColumn("batch", F.lit(0)).unionByName(new.withColumn("batch", F.lit(1)))
-    keys = ["celex_full", "lang"]
-    last = both.groupBy(*keys).agg(F.max(step).alias("m")).select("m.batch", "m.ord")
-    return both.join(last, ["batch", "ord"], "left_semi")
+    both = old.withColumn("part_ord", F.lit(0)).unionByName(new.withColumn("part_ord", F.lit(1)))
+    kept = keep_last_merged(both, ["celex_full", "lang"])
+    return kept.withColumnRenamed("part_ord", "batch")
 
 
 def merge_nim_logs(old: DataFrame, new: DataFrame) -> DataFrame:

@@ -3,23 +3,43 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lexcorpus.session import saved
+
 GROUP_LIMIT = 1000
 SPREAD = 64
 
 
-def keep_first(df: DataFrame, keys: Sequence[str], order: str = "ord") -> DataFrame:
-    """First row per key in input order; missing key values equal each other.
+def _one_per_key(
+    df: DataFrame, keys: Sequence[str], place: Sequence[str], rank: Sequence[Column] = (),
+    last: bool = True,
+) -> DataFrame:
+    """The row with the greatest (or least) rank and place per key; missing key values equal each
+    other. ``place`` is unique.
 
-    For tables with texts: only the keys and the unique position are grouped (with a partial
-    aggregate, so a hot key sends one row per task), and the rows come back by a semi-join on
-    the position.
+    Only keys, ranks and places are grouped, with partial aggregates, so a hot key sends one row
+    per task. Keys that occur once are done then; of the others the places that lose are stored,
+    and an anti-join takes them out. Rows with texts are only moved if the losing places are too
+    many to broadcast.
     """
-    firsts = df.groupBy(*keys).agg(F.min(order).alias(order)).select(order)
-    return df.join(firsts, order, "left_semi")
+    order = F.struct(*rank, *[F.col(p) for p in place]).alias("_order")
+    narrow = df.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], *place, order)
+    own = [f"_k{i}" for i in range(len(keys))]
+    best = (F.max if last else F.min)("_order").alias("_best")
+    best = saved(narrow.groupBy(*own).agg(best, F.count("*").alias("_n")).where("_n > 1"), "best")
+    same = [narrow[k].eqNullSafe(best[k]) for k in own]
+    met = narrow.join(best, reduce(and_, same)).where(~F.col("_order").eqNullSafe(F.col("_best")))
+    return df.join(saved(met.select(*place), "losers"), list(place), "left_anti")
+
+
+def keep_first(df: DataFrame, keys: Sequence[str], order: str = "ord") -> DataFrame:
+    """First row per key in input order; missing key values equal each other."""
+    return _one_per_key(df, keys, [order], last=False)
 
 
 def keep_first_narrow(df: DataFrame, keys: Sequence[str], order: str = "ord") -> DataFrame:
@@ -34,13 +54,16 @@ def keep_best(
     df: DataFrame, keys: Sequence[str], rank: Sequence[Column], order: str = "ord"
 ) -> DataFrame:
     """Row with the greatest ``rank`` per key; among equals the last in input order."""
-    best = df.groupBy(*keys).agg(F.max(F.struct(*rank, F.col(order))).alias("_best"))
-    return df.join(best.select(F.col(f"_best.{order}").alias(order)), order, "left_semi")
+    return _one_per_key(df, keys, [order], rank)
 
 
 def keep_last(df: DataFrame, keys: Sequence[str], order: str = "ord") -> DataFrame:
-    lasts = df.groupBy(*keys).agg(F.max(order).alias(order)).select(order)
-    return df.join(lasts, order, "left_semi")
+    return _one_per_key(df, keys, [order])
+
+
+def keep_last_merged(df: DataFrame, keys: Sequence[str], order: str = "ord") -> DataFrame:
+    """``keep_last`` over merged sources or batches (``part_ord``)."""
+    return _one_per_key(df, keys, ["part_ord", order])
 
 
 def ordered_distinct(df: DataFrame, value: str, order: str = "ord") -> DataFrame:
@@ -62,16 +85,21 @@ def cap_per_key(
 
 
 def merge_sources(parts: Sequence[DataFrame], order: str = "ord") -> DataFrame:
-    """Stack tables in the given order; ``part_ord`` and ``order`` together give the position."""
+    """Stack tables in the given order; ``part_ord`` and ``order`` together give the position.
+    A column whose kinds differ between the tables becomes text."""
+    kinds: dict[str, set[str]] = {}
+    for part in parts:
+        for name, kind in part.dtypes:
+            kinds.setdefault(name, set()).add(kind)
+    mixed = [name for name, found in kinds.items() if len(found) > 1]
     stacked = None
     for place, part in enumerate(parts):
         part = part.withColumn("part_ord", F.lit(place))
+        part = part.withColumns({c: F.col(c).cast("string") for c in mixed if c in part.columns})
         stacked = part if stacked is None else stacked.unionByName(part, allowMissingColumns=True)
     return stacked
 
 
 def keep_first_merged(df: DataFrame, keys: Sequence[str], order: str = "ord") -> DataFrame:
     """``keep_first`` over merged sources."""
-    firsts = df.groupBy(*keys).agg(F.min(F.struct("part_ord", order)).alias("_first"))
-    firsts = firsts.select("_first.part_ord", F.col(f"_first.{order}").alias(order))
-    return df.join(firsts, ["part_ord", order], "left_semi")
+    return _one_per_key(df, keys, ["part_ord", order], last=False)

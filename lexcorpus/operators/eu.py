@@ -14,6 +14,7 @@ from lexcorpus.operators.picks import first_filled, longest, sorted_values
 
 HIT_URL = "https://eur-lex.europa.eu/legal-content/EN/TXT/?uri=CELEX:"
 DEFAULT_TYPE = "eu_legal_document"
+# fixed values: names of the columns of captured rows
 FULLTEXT_COLUMNS = (
     "text_source_url", "full_text_raw", "full_text_clean", "retrieval_status", "retrieval_error",
     "lang", "fetch_seconds", "fetched_from_cache", "text_path", "route_used", "content_type",

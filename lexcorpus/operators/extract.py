@@ -291,7 +291,7 @@ def parse_notices(payloads: DataFrame, body: str = "body", act: str = "act_celex
         *keep, "act_celex", F.posexplode(_reader(batches.notice_batch, NOTICE)(body)).alias("notice_idx", "n")
     )
     ids = F.transform("n.ids", lambda x: F.upper(strip(x)))
-    prefix = F.concat(F.lit("7"), F.substring("act_celex", 2, 100))
+    prefix = F.concat(F.lit("7"), F.expr("substring(act_celex, 2)"))
     own = F.filter(ids, lambda x: (F.col("act_celex") != "") & F.startswith(x, prefix))
     nim_celex = F.coalesce(_first(own), _first(ids), empty())
     title = _first(F.col("n.titles"))
@@ -395,9 +395,11 @@ US_DETAIL = (
 )
 
 
-def nz_rows(payloads: DataFrame, cap: int, body: str = "body", order: str = "ord") -> DataFrame:
-    """Hits of NZ answers (``term, ord, body``): html before pdf before xml, first per address
-    and at most ``cap`` per answer."""
+def nz_rows(
+    payloads: DataFrame, cap: int | None = None, body: str = "body", order: str = "ord"
+) -> DataFrame:
+    """Hits of NZ answers (``term, ord, body``): html before pdf before xml, first per address,
+    and at most ``cap`` per answer if it is given."""
     rows = payloads.select(
         "term", F.col(order).alias("ord"),
         F.posexplode(F.from_json(F.col(body), NZ_ANSWER)["results"]).alias("result_idx", "r"),
@@ -425,14 +427,18 @@ def nz_rows(payloads: DataFrame, cap: int, body: str = "body", order: str = "ord
                       "result_idx").alias("x"))
         .select("ord", "url", "x.*")
     )
-    capped = cap_per_key(first, ["ord"], [F.col("result_idx")], cap, spread="result_idx")
-    return capped.withColumns(
+    if cap is not None:
+        first = cap_per_key(first, ["ord"], [F.col("result_idx")], cap, spread="result_idx")
+    return first.withColumns(
         {"jurisdiction": F.lit("New Zealand"), "source": F.lit("NZ"), "doc_url": F.col("url")}
     )
 
 
-def us_rows(payloads: DataFrame, cap: int, body: str = "body", order: str = "ord") -> DataFrame:
-    """Hits of US list answers (``term, ord, body``), at most ``cap`` per term over all pages."""
+def us_rows(
+    payloads: DataFrame, cap: int | None = None, body: str = "body", order: str = "ord"
+) -> DataFrame:
+    """Hits of US list answers (``term, ord, body``), at most ``cap`` per term over all pages if
+    it is given."""
     rows = payloads.select(
         "term", F.col(order).alias("ord"),
         F.posexplode(F.from_json(F.col(body), US_LIST)["data"]).alias("result_idx", "d"),
@@ -447,8 +453,9 @@ def us_rows(payloads: DataFrame, cap: int, body: str = "body", order: str = "ord
             filled(F.col("d.attributes.title")), filled(F.col("d.attributes.documentTitle")), empty()
         ).alias("title"),
     )
-    place = [F.col("ord"), F.col("result_idx")]
-    return cap_per_key(rows, ["term"], place, cap).withColumns(
+    if cap is not None:
+        rows = cap_per_key(rows, ["term"], [F.col("ord"), F.col("result_idx")], cap)
+    return rows.withColumns(
         {
             "jurisdiction": F.lit("United States"), "source": F.lit("US"),
             "url": F.col("api_self"), "document_id": F.col("api_id"),

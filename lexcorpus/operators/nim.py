@@ -16,6 +16,7 @@ SCORES = (
     "ecological_ambition_score", "design_specificity_score", "governance_gap_score",
     "renewables_alignment_score",
 )
+# fixed values: names of the columns of captured rows
 RAW_TEXTS = (
     "celex", "eu_act_title", "eu_act_type", "nim_celex", "national_measure_id", "nim_title",
     "nim_title_notice", "nim_title_lang", "nim_date", "member_state_iso3", "member_state_name",

@@ -4,76 +4,47 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexcorpus.session import written
 
-HOT_ROWS = 1_000_000
-HOT_KEYS = 10_000
-
 
 def join_sized(
-    facts: DataFrame,
-    dims: DataFrame,
-    keys: Sequence[str],
-    size: str,
-    spread: Column,
-    how: str = "inner",
-    hot_rows: int = HOT_ROWS,
+    facts: DataFrame, dims: DataFrame, keys: Sequence[str], how: str = "inner"
 ) -> DataFrame:
-    """Join ``facts`` to ``dims``, which has one row per key and the number of fact rows in
-    column ``size``. Keys with many rows are dealt over several salts; their dims row is copied
-    once per salt. The hot list is at most ``HOT_KEYS`` rows, and any key past it holds less
-    than one ten-thousandth of the rows, so it needs no salt.
+    """Join ``facts`` to ``dims``, which has one row per key, where any key may hold most facts.
+
+    ``dims`` is stored first: both sides are then plain exchanges, so Spark splits the partitions
+    of hot keys at run time (``spark.sql.adaptive.skewJoin``), copies the one row of ``dims`` to
+    each split, and broadcasts ``dims`` where its measured size allows. No list of hot keys is
+    kept, so there is no limit to how many there are.
     """
-    keys = list(keys)
-    hot = (
-        dims.where(F.col(size) >= hot_rows)
-        .orderBy(F.col(size).desc(), *keys)
-        .limit(HOT_KEYS)
-        .select(*keys, F.ceil(F.col(size) / hot_rows).cast("int").alias("_salts"))
-    )
-    hot = F.broadcast(hot)
-    salts = F.coalesce(F.col("_salts"), F.lit(1))
-    left = (
-        facts.join(hot, keys, "left")
-        .withColumn("_salt", F.pmod(F.xxhash64(spread), salts).cast("int"))
-        .drop("_salts")
-    )
-    right = (
-        dims.join(hot, keys, "left")
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1)))
-        .drop("_salts")
-    )
-    return left.join(right, [*keys, "_salt"], how).drop("_salt")
+    return facts.join(written(dims), list(keys), how)
 
 
 def number_rows(df: DataFrame, order: Sequence[Column], out: str, start: int = 1) -> DataFrame:
     """Number all rows in ``order`` (which must end in a unique key) without one big partition:
     a range sort, an index inside each partition, and the sizes of the partitions before it."""
     sorted_rows = written(df.orderBy(*order).withColumn("_at", F.monotonically_increasing_id()))
-    part = F.shiftright(F.col("_at"), 33)
+    placed = sorted_rows.withColumn("_part", F.shiftright(F.col("_at"), 33))
     index = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
-    # one row per partition of the sort, so the list is bounded by the partition count
-    sizes = sorted_rows.groupBy(part.alias("p")).count().collect()
-    before, offsets = start, {}
-    for row in sorted(sizes, key=lambda r: r["p"]):
-        offsets[row["p"]] = before
-        before += row["count"]
-    if not offsets:
-        return sorted_rows.withColumn(out, F.lit(None).cast("long")).drop("_at")
-    steps = F.array(*[F.lit(offsets.get(p, 0)).cast("long") for p in range(max(offsets) + 1)])
-    return sorted_rows.withColumn(
-        out, F.get(steps, part.cast("int")) + index
-    ).drop("_at")
+    # one row per partition of the sort
+    sizes = placed.groupBy("_part").agg(F.count("*").alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    return (
+        placed.join(offsets, "_part")
+        .withColumn(out, F.col("_before") + index + start)
+        .drop("_at", "_part", "_before")
+    )
 
 
 def number_within(
-    df: DataFrame, group: Sequence[str], order: Sequence[Column], out: str, row_id: str
+    df: DataFrame, group: Sequence[str], order: Sequence[Column], out: str
 ) -> DataFrame:
     """Number rows from 0 inside each group, however large a group is."""
     numbered = number_rows(df, [*[F.col(g) for g in group], *order], "_no")
-    starts = numbered.groupBy(*group).agg(F.min("_no").alias("_first"), F.count("*").alias("_n"))
-    joined = join_sized(numbered, starts, group, "_n", F.col(row_id))
-    return joined.withColumn(out, F.col("_no") - F.col("_first")).drop("_no", "_first", "_n")
+    starts = numbered.groupBy(*group).agg(F.min("_no").alias("_first"))
+    joined = join_sized(numbered, starts, group)
+    return joined.withColumn(out, F.col("_no") - F.col("_first")).drop("_no", "_first")

@@ -99,7 +99,7 @@ def local_documents(
     columns, ``queries`` (a list or text) and the position ``ord``."""
     matched = matching.match_queries(rows, queries)
     place = matched.select("ord", "query_ord")
-    place = number_within(place, ["query_ord"], [F.col("ord")], "result_index", "ord")
+    place = number_within(place, ["query_ord"], [F.col("ord")], "result_index")
     matched = matched.join(place, ["ord", "query_ord"])
     provenance = ("query_ord", "query_text", "query_id", "query_origin", "query_source_path")
     mapped = records.require_mapped(
@@ -219,7 +219,7 @@ def run_corpus(
                 "jurisdiction_code": code,
                 "jurisdiction_label": L.JURISDICTION_LABELS[code],
                 "intermediate_corpus_path": paths[code],
-                "raw_hit_count": (raw_hit_counts or {}).get(code, per_part.get(code, (0, 0))[0]),
+                "raw_hit_count": (raw_hit_counts or {}).get(code),
                 "document_count": per_part.get(code, (0, 0))[0],
                 "full_text_document_count": per_part.get(code, (0, 0))[1],
             }

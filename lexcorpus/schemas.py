@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# ---- fixed values: column names of documents, notes and records --------------------------
 TEXT_FIELDS = (
     "document_id", "source_name", "title", "source_document_id", "summary", "document_type",
     "language", "jurisdiction", "publication_date", "effective_date", "url", "download_url",

@@ -11,19 +11,23 @@ from lexcorpus import schemas
 from lexcorpus.functions import nation
 from lexcorpus.operators import audit
 
+#: Values are written as they are, white space at their ends included.
+CSV = {
+    "header": True, "escape": '"', "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
 METADATA = (*schemas.PROVENANCE, "_adapter_result_index", *schemas.BREADCRUMBS)
 
 
 def as_json_document(docs: DataFrame) -> DataFrame:
-    """Document columns in name order, with provenance and notes in ``raw_metadata``."""
+    """Document columns in name order. ``raw_metadata`` is one object: provenance and notes with
+    their own types, and the raw record nested beside them as JSON."""
     have = [c for c in METADATA if c in docs.columns]
     raw = F.col("raw_record") if "raw_record" in docs.columns else F.lit(None).cast("string")
-    notes = F.map_filter(
-        F.create_map(*[x for c in have for x in (F.lit(c), F.col(c).cast("string"))]),
-        lambda k, v: v.isNotNull(),
-    ) if have else F.lit(None).cast("map<string,string>")
     cols = {c: F.col(c) for c in schemas.TEXT_FIELDS if c in docs.columns}
-    cols["raw_metadata"] = F.struct(notes.alias("notes"), raw.alias("raw_record"))
+    cols["raw_metadata"] = F.struct(
+        *[F.col(c).alias(c) for c in have], F.try_parse_json(raw).alias("raw_record")
+    )
     return docs.select(*[cols[c].alias(c) for c in sorted(cols)])
 
 
@@ -38,7 +42,7 @@ def write_documents(docs: DataFrame, path: str, fmt: str = "jsonl", by: str | No
     if fmt == "jsonl":
         writer.json(path, ignoreNullFields=False)
     elif fmt == "csv":
-        writer.csv(path, header=True, escape='"')
+        writer.csv(path, **CSV)
     else:
         writer.parquet(path)
     return path
@@ -66,14 +70,14 @@ def write_audit(docs: DataFrame, folder: str) -> dict[str, str]:
     }
     rows.write.mode("overwrite").parquet(f"{folder}/_rows")
     rows = docs.sparkSession.read.parquet(f"{folder}/_rows")
-    rows.write.mode("overwrite").csv(paths["rows_csv"], header=True, escape='"')
+    rows.write.mode("overwrite").csv(paths["rows_csv"], **CSV)
     rows.select(*sorted(rows.columns)).write.mode("overwrite").json(
         paths["rows_jsonl"], ignoreNullFields=False
     )
     summary.write.mode("overwrite").parquet(f"{folder}/_summary")
     summary = docs.sparkSession.read.parquet(f"{folder}/_summary")
     summary.select(*audit.SUMMARY_COLUMNS).write.mode("overwrite").csv(
-        paths["summary_csv"], header=True, escape='"'
+        paths["summary_csv"], **CSV
     )
     parts = {
         "totals": audit.totals(docs),
@@ -85,9 +89,9 @@ def write_audit(docs: DataFrame, folder: str) -> dict[str, str]:
         "groups_by_source_name_combination": audit.count_by_combination(
             summary, "_sources", "source_names"),
         "top_largest_groups": audit.top_groups(summary, ("group_size",), 10).select(
-            *audit.TOP_COLUMNS),
+            *audit.SUMMARY_COLUMNS),
         "top_review_candidates": audit.top_groups(
-            summary, ("review_interest_score", "group_size"), 20).select(*audit.TOP_COLUMNS),
+            summary, ("review_interest_score", "group_size"), 20).select(*audit.SUMMARY_COLUMNS),
     }
     for name, part in parts.items():
         part.write.mode("overwrite").json(f"{paths['rollups']}/{name}", ignoreNullFields=False)

@@ -12,6 +12,7 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from lexcorpus import schemas
 from lexcorpus.operators import cache, records
+from lexcorpus.operators.dedup import keep_last_merged
 
 
 def read_documents(spark: SparkSession, folder: str, schema: T.StructType = schemas.DOCUMENT):
@@ -30,23 +31,20 @@ def clean_documents(stream: DataFrame, code: str | None = None, delay: str | Non
 
 
 def keep_log(stream: DataFrame, folder: str) -> DataStreamWriter:
-    """Keep a retrieval log up to date: each batch of attempts is merged into the newest version
-    of the log and written as the next one. A batch that is run again after a failure reads the
-    same older version and writes its own version again, so the outcome is the same."""
-    spark = stream.sparkSession
-
-    def merge(batch: DataFrame, number: int) -> None:
-        path = f"{folder}/v={number:09d}"
-        new = cache.conform(batch)
-        if number > 0:
-            old = spark.read.parquet(f"{folder}/v={number - 1:09d}")
-            merged = cache.merge_logs(old.drop("batch"), new).drop("batch")
-        else:
-            merged = new
-        merged.write.mode("overwrite").parquet(path)
-
-    return stream.writeStream.foreachBatch(merge)
-
-
-def newest_log(spark: SparkSession, folder: str, number: int) -> DataFrame:
-    return spark.read.parquet(f"{folder}/v={number:09d}")
+    """Keep a retrieval log: each batch of attempts is added as a part of its own, and readers
+    take the newest attempt of a document. A batch that runs again after a failure replaces its
+    own part, so the outcome is the same; what was written before is never written again."""
+
+    def add(batch: DataFrame, number: int) -> None:
+        path = f"{folder}/part_ord={number}"
+        cache.conform(batch).write.mode("overwrite").parquet(path)
+
+    return stream.writeStream.foreachBatch(add)
+
+
+def newest_log(spark: SparkSession, folder: str, upto: int | None = None) -> DataFrame:
+    """The newest attempt of each document and language, over all batches or those up to one."""
+    log = spark.read.parquet(folder)
+    if upto is not None:
+        log = log.where(F.col("part_ord") <= upto)
+    return keep_last_merged(log, ["celex_full", "lang"]).drop("part_ord")
