@@ -19,7 +19,7 @@ GRAMS = 8192
 CLUSTERS = 4
 SAMPLE = 1000
 ROUNDS = 12
-SLACK = 0.5
+LOW, SLACK = 0.05, 0.1
 BLOCK_ROWS, BLOCK_CHARS = 128, 500_000
 
 _letters: list[np.ndarray] = []
@@ -149,8 +149,9 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", spread: Colum
 
     Document frequencies come from all of them. The centroids of a language are fitted to a sample
     of about ``SAMPLE`` of its rows, those with the smallest hash of ``spread`` (the text, if not
-    given). A centroid accepts cosines down to ``SLACK`` times the least one among the sample rows
-    of its language. Rows without a letter teach nothing. Without rows the model knows no language.
+    given). A centroid accepts cosines down to ``SLACK`` times what all but the share ``LOW`` of the
+    sample rows of its language reach, so that short texts stay and odd sample rows don't matter.
+    Rows without a letter teach nothing. Without rows the model knows no language.
     """
     spread = F.col(text) if spread is None else spread
     rows = docs.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(
@@ -202,7 +203,7 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", spread: Colum
         for k, (at, weight) in enumerate(zip(frame["at"], frame["weight"], strict=True)):
             unit[k, at] = weight
         centroids = _clusters(unit)
-        floor = SLACK * float((unit @ centroids.T).max(axis=1).min())
+        floor = SLACK * float(np.quantile((unit @ centroids.T).max(axis=1), LOW))
         return pd.DataFrame({"lang": frame["lang"].iloc[0], "centroid": list(centroids.astype(np.float32)), "floor": floor})
 
     fitted = taught.groupBy("lang").applyInPandas(fit, "lang string, centroid array<float>, floor double").collect()
@@ -216,7 +217,7 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", spread: Colum
 
 def identified(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """``docs`` without its texts and with ``lang_pred``, ``score`` (the cosine to the nearest
-    centroid) and ``rejected`` (farther from it than any text it was fitted to allows).
+    centroid) and ``rejected`` (farther from it than the sample it was fitted to allows).
 
     Null texts and texts without a letter are ``und`` with score 0 and are rejected, and so is
     everything where the model knows no language. Ties go to the first language by name. Long texts
