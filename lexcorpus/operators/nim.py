@@ -118,6 +118,14 @@ def enrich(measures: DataFrame) -> DataFrame:
     ).drop("_found")
 
 
+def _join_known(rows: DataFrame, facts: DataFrame, key: str) -> DataFrame:
+    """Left join on ``key``; rows without a key match nothing and are left out of the join, where
+    they would all meet in one task."""
+    known = F.coalesce(F.col(key) != "", F.lit(False))
+    joined = rows.where(known).join(facts.where(known), key, "left")
+    return joined.unionByName(rows.where(~known), allowMissingColumns=True)
+
+
 def fill_from_cache(measures: DataFrame, cache: DataFrame) -> DataFrame:
     """Fill blank titles and languages from the best cached row of the same measure: the
     longest text, then the newest, then the first."""
@@ -132,7 +140,7 @@ def fill_from_cache(measures: DataFrame, cache: DataFrame) -> DataFrame:
         ["nim_celex"], [F.col("text_len"), F.col("timestamp")], "_back",
     )
     best = best.select("nim_celex", *[F.col(c).alias(f"_c_{c}") for c in cols])
-    df = measures.join(best, "nim_celex", "left")
+    df = _join_known(measures, best, "nim_celex")
     fill = lambda c, *froms: F.coalesce(
         *[F.nullif(strip(F.col(x)), empty()) for x in (c, *[f"_c_{f}" for f in froms])], empty()
     )
@@ -152,7 +160,7 @@ def fill_from_page(measures: DataFrame, pages: DataFrame) -> DataFrame:
     one = pages.groupBy("nim_resource_uri").agg(
         *[F.min_by(c, "ord").alias(f"_p_{c}") for c in ("page_title", "page_title_lang", "page_langs")]
     )
-    df = measures.join(one, "nim_resource_uri", "left")
+    df = _join_known(measures, one, "nim_resource_uri")
     weak = F.col("lang_source").isin("country_fallback", "default_en")
     probe = F.col("_p_page_title").isNotNull() & (
         (F.col("nim_title") == "") | (F.col("available_langs") == "") | weak
