@@ -38,7 +38,7 @@ SELECT page_id, text_visible, text_lines, text_visible AS text_plain,
   cast(length(text_visible) AS int) AS text_len FROM v""",
 )
 def page_text(spark, sf):
-    read = extract.read_pages(load(spark, sf, "pages"))
+    read = extract.read_pages(load(spark, sf, "pages"), parts=("text_visible", "text_lines", "text_plain"))
     return read.select(
         "page_id", "page.text_visible", "page.text_lines", "page.text_plain",
         F.length("page.text_visible").alias("text_len"),
@@ -54,7 +54,7 @@ SELECT CASE WHEN t = '' THEN 'empty_text' WHEN length(t) < 150 THEN 'short_text'
 """,
 )
 def page_quality(spark, sf):
-    read = extract.read_pages(load(spark, sf, "pages"))
+    read = extract.read_pages(load(spark, sf, "pages"), parts=("text_visible",))
     body, seen = F.col("html"), F.col("page.text_visible")
     caught = quality.metadata_problem(body, seen, F.col("url"), F.lit("text/html"))
     problem = F.coalesce(F.nullif(caught, F.lit("")), quality.text_problem(seen, 150))
@@ -75,7 +75,7 @@ SELECT page_id, CASE WHEN length(t) >= 15 THEN t WHEN length(h) > 20 THEN h ELSE
 FROM v""",
 )
 def page_title(spark, sf):
-    read = extract.read_pages(load(spark, sf, "pages"))
+    read = extract.read_pages(load(spark, sf, "pages"), parts=extract.TITLE_PARTS)
     fallback = F.concat(F.lit("page "), F.col("page_id").cast("string"))
     return read.select("page_id", extract.page_title(fallback).alias("title"))
 
@@ -105,7 +105,7 @@ pl AS (SELECT page_id, pos, url, label, t AS link_type, {PRIORITY} AS priority F
     f"WITH {PAGE_LINKS} SELECT page_id, pos, url, label, link_type, cast(priority AS int) AS priority FROM pl",
 )
 def page_links(spark, sf):
-    read = extract.read_pages(load(spark, sf, "pages").withColumnRenamed("url", "page_url"), url="page_url")
+    read = extract.read_pages(load(spark, sf, "pages").withColumnRenamed("url", "page_url"), url="page_url", parts=["links"])
     return extract.page_links(read, "page_id").select(
         "page_id", "pos", "url", "label", "link_type", "priority"
     )
@@ -117,7 +117,7 @@ def page_links(spark, sf):
 SELECT page_id, url, cast(p AS int) AS priority, cast(row_number() OVER (PARTITION BY page_id ORDER BY p, url) AS int) AS rank FROM d""",
 )
 def rank_routes(spark, sf):
-    read = extract.read_pages(load(spark, sf, "pages").withColumnRenamed("url", "page_url"), url="page_url")
+    read = extract.read_pages(load(spark, sf, "pages").withColumnRenamed("url", "page_url"), url="page_url", parts=["links"])
     typed = F.transform(
         "page.links",
         lambda x: F.struct(

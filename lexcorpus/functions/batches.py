@@ -16,10 +16,14 @@ from lexcorpus.functions.markup import (
     legislation_text, notices, rdf_elements, read_page, search_hits,
 )
 
-def page_batch(bodies: pd.Series, bases: pd.Series) -> pd.DataFrame:
-    rows = [read_page(b, u) for b, u in zip(bodies, bases)]
-    names = ("text_lines", "text_visible", "text_plain", "places", "links", "metas")
-    return pd.DataFrame(rows, columns=names)
+def page_batch(parts: tuple[str, ...]):
+    """A reader of the named parts of pages."""
+
+    def read(bodies: pd.Series, bases: pd.Series) -> pd.DataFrame:
+        rows = [read_page(b, u, parts) for b, u in zip(bodies, bases)]
+        return pd.DataFrame(rows, columns=list(parts))
+
+    return read
 
 
 def hit_batch(bodies: pd.Series) -> pd.DataFrame:

@@ -4,6 +4,7 @@ links, headings, fields. What to keep is decided in the jobs, by column expressi
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html.parser import HTMLParser
 from urllib.parse import urljoin
 from xml.etree import ElementTree
@@ -31,6 +32,7 @@ class PageReader(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.base = base
         self.open: list[tuple[str, int, dict]] = []
+        self.depth: Counter[str] = Counter()  # how many elements of a name are open
         self.pieces: list[list[str]] = []
         self.fresh = True
         self.nodes, self.links, self.metas = [], [], []
@@ -44,6 +46,7 @@ class PageReader(HTMLParser):
             )
         if tag not in VOID:
             self.open.append((tag, len(self.pieces), attrs))
+            self.depth[tag] += 1
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -52,11 +55,14 @@ class PageReader(HTMLParser):
 
     def handle_endtag(self, tag):
         self.fresh = True
-        while any(name == tag for name, _, _ in self.open):
+        if not self.depth[tag]:
+            return
+        name = None
+        while name != tag:
             closed = self.open.pop()
+            name = closed[0]
+            self.depth[name] -= 1
             self.note(*closed)
-            if closed[0] == tag:
-                break
 
     def handle_comment(self, data):
         self.fresh = True
@@ -65,11 +71,10 @@ class PageReader(HTMLParser):
 
     def handle_data(self, data):
         if self.fresh:
-            names = {name for name, _, _ in self.open}
             where = (
-                "script" if names & SCRIPT
-                else "noscript" if "noscript" in names
-                else "svg" if "svg" in names else ""
+                "script" if any(self.depth[name] for name in SCRIPT)
+                else "noscript" if self.depth["noscript"]
+                else "svg" if self.depth["svg"] else ""
             )
             self.pieces.append([data, where])
             self.fresh = False
@@ -101,28 +106,41 @@ def _line_piece(piece: str) -> str:
     return "\n" if "\n" in piece else " "
 
 
-def read_page(html: str | None, base: str | None) -> dict:
+def _lines(reader: PageReader) -> str:
+    pieces = [p for p, where in reader.pieces if where in ("", "svg")]
+    lines = re.sub(r"[ \t\r\f\v]+", " ", "\n".join(_line_piece(p) for p in pieces))
+    return re.sub(r"\n{3,}", "\n\n", lines).strip()
+
+
+def _words(reader: PageReader, *where: str) -> str:
+    return " ".join(" ".join(p for p, w in reader.pieces if w in where).split())
+
+
+#: What can be read from a page. A job asks only for the parts that it uses.
+PAGE_PARTS = {
+    "text_lines": _lines,
+    "text_visible": lambda reader: _words(reader, ""),
+    "text_plain": lambda reader: _words(reader, "", "svg"),
+    "places": lambda reader: [
+        {"tag": tag, "classes": cls, "ident": ident, "text": reader.label(a, b)}
+        for a, tag, cls, ident, b in sorted(reader.nodes)
+    ],
+    "links": lambda reader: [
+        {"pos": i, "href": href, "url": _join(reader.base, href), "label": reader.label(a, b)}
+        for i, (a, href, b) in enumerate(sorted(reader.links))
+    ],
+    "metas": lambda reader: [
+        {"name": n, "property": p, "content": c.strip()} for n, p, c in reader.metas
+    ],
+}
+
+
+def read_page(html: str | None, base: str | None, parts=tuple(PAGE_PARTS)) -> dict:
     """Visible text in three forms, title places, links (resolved) and meta tags of a page."""
     reader = PageReader(base or "")
     reader.feed(html or "")
     reader.done()
-    pieces = [p for p, where in reader.pieces if where in ("", "svg")]
-    lines = re.sub(r"[ \t\r\f\v]+", " ", "\n".join(_line_piece(p) for p in pieces))
-    lines = re.sub(r"\n{3,}", "\n\n", lines).strip()
-    return {
-        "text_lines": lines,
-        "text_visible": " ".join(" ".join(p for p, w in reader.pieces if w == "").split()),
-        "text_plain": " ".join(" ".join(pieces).split()),
-        "places": [
-            {"tag": tag, "classes": cls, "ident": ident, "text": reader.label(a, b)}
-            for a, tag, cls, ident, b in sorted(reader.nodes)
-        ],
-        "links": [
-            {"pos": i, "href": href, "url": _join(reader.base, href), "label": reader.label(a, b)}
-            for i, (a, href, b) in enumerate(sorted(reader.links))
-        ],
-        "metas": [{"name": n, "property": p, "content": c.strip()} for n, p, c in reader.metas],
-    }
+    return {name: PAGE_PARTS[name](reader) for name in parts}
 
 
 def _join(base: str, href: str) -> str:
@@ -267,22 +285,22 @@ def legislation_text(body: str | None) -> str:
     root = parse_xml(body)
     if root is None:
         return ""
-    hidden = {
-        id(inner)
-        for e in root.iter()
-        if local(e.tag).rpartition(":")[2] in SKIPPED_XML
-        for inner in e.iter()
-    }
-    words: list[str] = []
-
-    def read(e):
-        shown = id(e) not in hidden
-        if shown:
-            words.extend((e.text or "").split())
-        for child in e:
-            read(child)
-            if shown:
-                words.extend((child.tail or "").split())
-
-    read(root)
+
+    def shown(e, above: bool) -> bool:
+        return above and local(e.tag).rpartition(":")[2] not in SKIPPED_XML
+
+    # a stack of elements being read, so that depth is bounded by memory alone
+    stack = [(root, iter(root), shown(root, True))]
+    words = (root.text or "").split() if stack[0][2] else []
+    while stack:
+        e, children, seen = stack[-1]
+        child = next(children, None)
+        if child is None:
+            stack.pop()
+            if stack and stack[-1][2]:
+                words += (e.tail or "").split()
+            continue
+        stack.append((child, iter(child), shown(child, seen)))
+        if stack[-1][2]:
+            words += (child.text or "").split()
     return " ".join(words)

@@ -7,6 +7,8 @@ read are column expressions.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,12 +18,15 @@ from lexcorpus.functions.text import SPACE, collapse, empty, strip, text_or_empt
 from lexcorpus.functions.urls import NETLOC, PATH, SCHEME, part, step
 from lexcorpus.operators.dedup import cap_per_key, keep_first_narrow
 
-PAGE = (
-    "text_lines string, text_visible string, text_plain string, "
-    "places array<struct<tag: string, classes: array<string>, ident: string, text: string>>, "
-    "links array<struct<pos: int, href: string, url: string, label: string>>, "
-    "metas array<struct<name: string, property: string, content: string>>"
-)
+PAGE = {
+    "text_lines": "string",
+    "text_visible": "string",
+    "text_plain": "string",
+    "places": "array<struct<tag: string, classes: array<string>, ident: string, text: string>>",
+    "links": "array<struct<pos: int, href: string, url: string, label: string>>",
+    "metas": "array<struct<name: string, property: string, content: string>>",
+}
+TITLE_PARTS = ("places", "metas")
 FIELD = (
     "struct<name: string, langs: array<string>, values: array<string>, year: string, "
     "month: string, day: string>"
@@ -48,9 +53,13 @@ def _reader(batch, kind: str):
 # ---- pages -----------------------------------------------------------------------------
 
 
-def read_pages(pages: DataFrame, body: str = "html", url: str = "url") -> DataFrame:
-    """Add struct ``page``: texts, title places, links and meta tags."""
-    return pages.withColumn("page", _reader(batches.page_batch, PAGE)(body, url))
+def read_pages(
+    pages: DataFrame, body: str = "html", url: str = "url", parts: Sequence[str] = tuple(PAGE)
+) -> DataFrame:
+    """Add struct ``page`` with the named parts: texts, title places, links and meta tags. Only
+    these are made and sent back from Python."""
+    kind = ", ".join(f"{name} {PAGE[name]}" for name in parts)
+    return pages.withColumn("page", _reader(batches.page_batch(tuple(parts)), kind)(body, url))
 
 
 def page_title(fallback: Column | None = None) -> Column:
