@@ -117,26 +117,36 @@ def page_links(read: DataFrame, *keep: str) -> DataFrame:
     )
 
 
+def _once(ranked: Column) -> Column:
+    """A ranked list without what repeats an address (``url``). Addresses are sorted beside their
+    places, so that each is compared with its neighbour only."""
+    placed = F.transform(ranked, lambda x, i: F.struct(x["url"].alias("url"), i.alias("i"), x.alias("x")))
+
+    def firsts(sorted_by_url: Column) -> Column:
+        return F.filter(
+            sorted_by_url,
+            lambda x, i: (i == 0) | (F.get(sorted_by_url, i - 1)["url"] != x["url"]),
+        )
+
+    kept = F.get(F.transform(F.array(F.array_sort(placed)), firsts), F.lit(0))
+    back = F.array_sort(F.transform(kept, lambda k: F.struct(k["i"].alias("i"), k["x"].alias("x"))))
+    return F.transform(back, lambda k: k["x"])
+
+
 def ranked_routes(links: Column) -> Column:
     """Links of one record (``url, link_type, ...``) by priority and address, each address once.
     Works inside the row, as a record's links never exceed the record."""
     usable = F.filter(links, lambda x: strip(x["url"]) != "")
-    ranked = F.transform(
-        F.array_sort(
-            F.transform(
-                usable,
-                lambda x: F.struct(
-                    quality.route_priority(x["link_type"]).alias("priority"), x["url"].alias("url"),
-                    x.alias("link"),
-                ),
-            )
-        ),
-        lambda x: x,
-    )
-    return F.filter(
-        ranked,
-        lambda x, i: F.array_position(F.transform(ranked, lambda y: y["url"]), x["url"]) == i + 1,
+    ranked = F.array_sort(
+        F.transform(
+            usable,
+            lambda x: F.struct(
+                quality.route_priority(x["link_type"]).alias("priority"), x["url"].alias("url"),
+                x.alias("link"),
+            ),
+        )
     )
+    return _once(ranked)
 
 
 def au_text_assets(read: DataFrame, row_id: str, wrapper: str = "url", body: str = "html"):
@@ -534,11 +544,6 @@ def us_downloads(details: DataFrame, *keep: str) -> DataFrame:
         )
 
     ranked = F.reverse(F.array_sort(F.transform(F.concat(own, F.coalesce(attached, F.filter(own, lambda x: F.lit(False)))), scored)))
-    df = details.withColumn("_ranked", ranked)
-    once = F.filter(
-        "_ranked",
-        lambda x, i: F.array_position(F.transform("_ranked", lambda y: y["url"]), x["url"]) == i + 1,
-    )
-    return df.select(*keep, F.posexplode(once).alias("rank", "x")).select(
+    return details.select(*keep, F.posexplode(_once(ranked)).alias("rank", "x")).select(
         *keep, (F.col("rank") + 1).alias("rank"), "x.file.*"
     )
