@@ -51,23 +51,24 @@ def country_summary(spark, sf):
 
 
 TOP = """
+t1 AS (SELECT *, row_number() OVER (PARTITION BY celex ORDER BY total_national_measures DESC,
+  member_states_with_measures DESC, eu_act_title, eu_act_type, year) AS variant FROM a),
 t AS (SELECT *, row_number() OVER (ORDER BY total_national_measures DESC,
-  member_states_with_measures DESC, celex, eu_act_title) AS act_rank FROM a
+  member_states_with_measures DESC, celex) AS act_rank FROM t1 WHERE variant = 1
   ORDER BY act_rank LIMIT 10)
 """
-WIDE = ",\n  ".join(
-    f"count(DISTINCT CASE WHEN act_rank = {r} THEN national_measure_id END) AS act_{r:02d}"
-    for r in range(1, 11)
-)
 
 
 @query(
     "country_act_matrix",
     f"""
-WITH {ACT_SUMMARY}, {TOP}
-SELECT member_state_name AS member_state, {WIDE}
-FROM [[measures]] m JOIN t USING (celex) WHERE member_state_name IN (SELECT * FROM (VALUES {STATES}) s)
-GROUP BY 1
+WITH {ACT_SUMMARY}, {TOP},
+c AS (SELECT member_state_name AS member_state, celex, coalesce(eu_act_title, celex) AS act_display,
+  count(DISTINCT national_measure_id) AS measures
+  FROM (SELECT celex, member_state_name, national_measure_id FROM [[measures]]) m JOIN t USING (celex)
+  WHERE member_state_name IN (SELECT * FROM (VALUES {STATES}) s) GROUP BY ALL),
+p AS (SELECT celex, cast(row_number() OVER (ORDER BY sum(measures) DESC, celex) AS int) AS act_place FROM c GROUP BY celex)
+SELECT * FROM c JOIN p USING (celex) WHERE measures > 0
 """,
 )
 def country_act_matrix(spark, sf):

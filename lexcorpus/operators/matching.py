@@ -73,8 +73,9 @@ def match_terms(
     text = F.lower(
         F.concat(F.coalesce(title, blank), F.lit(" "), F.coalesce(body, blank))
     )
-    found = F.filter(
-        F.array(*[F.lit(t) for t in terms]), lambda t: F.contains(F.col("_text"), F.lower(t))
+    sought = F.array(*[F.struct(F.lit(t).alias("t"), F.lit(t.lower()).alias("low")) for t in terms])
+    found = F.transform(
+        F.filter(sought, lambda x: F.contains(F.col("_text"), x["low"])), lambda x: x["t"]
     )
     return (
         docs.withColumn("_text", text)

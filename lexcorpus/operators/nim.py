@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexcorpus import lookups as L
@@ -10,6 +10,7 @@ from lexcorpus import schemas
 from lexcorpus.functions import celex, langs
 from lexcorpus.functions.text import blank_to_null, empty, strip, text_or_empty
 from lexcorpus.operators.dedup import keep_best, ordered_distinct
+from lexcorpus.session import written
 
 RESOURCE = "http://publications.europa.eu/resource/nim/"
 SCORES = (
@@ -292,20 +293,15 @@ def country_summary(measures: DataFrame) -> DataFrame:
 
 
 def top_acts(measures: DataFrame, k: int = 10) -> DataFrame:
-    """The ``k`` acts with most measures, numbered from 1."""
-    top = (
-        act_summary(measures)
-        .orderBy(
-            F.col("total_national_measures").desc(),
-            F.col("member_states_with_measures").desc(),
-            "celex",
-        )
-        .limit(k)
-    )
-    rank = F.struct(
-        -F.col("total_national_measures"), -F.col("member_states_with_measures"), F.col("celex"),
-        F.col("eu_act_title"),
+    """The ``k`` acts with most measures, numbered from 1. An act that is listed with several
+    titles, types or years counts once, with those that most measures have."""
+    total, states = -F.col("total_national_measures"), -F.col("member_states_with_measures")
+    variant = F.struct(
+        total.alias("total"), states.alias("states"), "eu_act_title", "eu_act_type", "year"
     )
+    best = act_summary(measures).groupBy("celex").agg(F.min(variant).alias("a"))
+    top = best.orderBy("a.total", "a.states", "celex").limit(k)
+    rank = F.struct("a.total", "a.states", "celex", "a.eu_act_title")
     listed = top.agg(F.array_sort(F.collect_list(rank)).alias("l"))  # k rows
     return listed.select(F.posexplode("l").alias("pos", "a")).select(
         (F.col("pos") + 1).alias("act_rank"), F.col("a.celex").alias("celex"),
@@ -314,20 +310,20 @@ def top_acts(measures: DataFrame, k: int = 10) -> DataFrame:
 
 
 def country_act_matrix(measures: DataFrame, k: int = 10) -> DataFrame:
-    """Distinct measures per member state and top act, one column per act rank."""
-    top = F.broadcast(top_acts(measures, k).select("act_rank", "celex"))
-    ranks = list(range(1, k + 1))
-    wide = (
+    """Distinct measures per member state and top act, one row for each pair that has any.
+    ``act_place`` is the place of the act's column: most measures over all states first."""
+    top = F.broadcast(top_acts(measures, k).select("celex", "act_display"))
+    known = F.broadcast(member_states(measures.sparkSession))
+    cells = written(
         measures.join(top, "celex")
-        .groupBy(F.col("member_state_name").alias("member_state"))
-        .pivot("act_rank", ranks)
-        .agg(F.countDistinct("national_measure_id"))
-        .na.fill(0)
+        .groupBy(F.col("member_state_name").alias("member_state"), "celex", "act_display")
+        .agg(F.countDistinct("national_measure_id").alias("measures"))
+        .where("measures > 0")
+        .join(known, "member_state", "left_semi")
     )
-    wide = wide.join(F.broadcast(member_states(measures.sparkSession)), "member_state", "left_semi")
-    return wide.select(
-        "member_state", *[F.col(str(r)).alias(f"act_{r:02d}") for r in ranks]
-    ).where(sum(F.col(f"act_{r:02d}") for r in ranks) > 0)
+    totals = cells.groupBy("celex").agg(F.sum("measures").alias("total"))  # k rows
+    place = F.row_number().over(Window.orderBy(F.col("total").desc(), "celex"))
+    return cells.join(F.broadcast(totals.select("celex", place.alias("act_place"))), "celex")
 
 
 def country_counts(measures: DataFrame) -> DataFrame:
