@@ -101,7 +101,7 @@ def test_numbering_does_not_depend_on_partitions(spark, partitions):
         df = spark.range(500).select((F.col("id") * 7919 % 500).alias("v"), (F.col("id") % 3).alias("g"))
         rows = skew.number_rows(df, [F.col("v")], "no").collect()
         assert all(r["no"] == r["v"] + 1 for r in rows)
-        inside = skew.number_within(df, ["g"], [F.col("v")], "no", "v").collect()
+        inside = skew.number_within(df, ["g"], [F.col("v")], "no").collect()
         for g in range(3):
             mine = sorted((r["v"], r["no"]) for r in inside if r["g"] == g)
             assert [n for _, n in mine] == list(range(len(mine)))
@@ -349,3 +349,38 @@ def test_without_a_shared_folder_jobs_fail():
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         session.shared_folder(Session)
+
+
+def test_rows_without_a_key_stay_out_of_the_join(spark):
+    rows = spark.createDataFrame([(1, ""), (2, None), (3, "a"), (4, "b")], "ord long, k string")
+    facts = spark.createDataFrame([("", "x"), ("a", "y")], "k string, v string")
+    got = {r["ord"]: r["v"] for r in nim._join_known(rows, facts, "k").collect()}
+    assert got == {1: None, 2: None, 3: "y", 4: None}
+
+
+def test_one_row_per_key_with_missing_values(spark):
+    rows = [(1, "a", None), (2, "a", None), (3, None, None), (4, None, None), (5, "b", 2), (6, "b", 9), (7, "c", 1)]
+    df = spark.createDataFrame(rows, "ord long, k string, size int")
+    ids = lambda x: sorted(r["ord"] for r in x.collect())
+    assert ids(dedup.keep_first(df, ["k"])) == [1, 3, 5, 7]
+    assert ids(dedup.keep_last(df, ["k"])) == [2, 4, 6, 7]
+    assert ids(dedup.keep_best(df, ["k"], [-F.col("size")])) == [2, 4, 5, 7]
+
+
+def test_stacked_tables_of_different_kinds(spark):
+    parts = [spark.createDataFrame([(1, 200)], "ord long, status int"), spark.createDataFrame([(2, "ok")], "ord long, status string")]
+    assert [r["status"] for r in dedup.merge_sources(parts).orderBy("ord").collect()] == ["200", "ok"]
+
+
+@pytest.mark.parametrize("cap", [3, dedup.GROUP_LIMIT + 1])
+def test_caps_are_the_same_on_both_sides_of_the_limit(spark, cap):
+    df = spark.range(3 * cap).select(F.col("id").alias("ord"), (F.col("id") % 2).alias("k"))
+    got = dedup.cap_per_key(df, ["k"], [F.col("ord")], cap)
+    assert sorted(r["ord"] for r in got.collect()) == list(range(2 * cap))
+
+
+def test_documents_as_json_nest_their_record(spark, tmp_path):
+    df = spark.createDataFrame([("d", "q1", 4, '{"a": {"b": [1, 2]}}')], "document_id string, _query_id string, _adapter_result_index long, raw_record string")
+    writers.write_documents(df, str(tmp_path / "out"))
+    (row,) = [json.loads(x.read_text()) for x in (tmp_path / "out").glob("part-*") if x.stat().st_size]
+    assert row["raw_metadata"] == {"_query_id": "q1", "_adapter_result_index": 4, "raw_record": {"a": {"b": [1, 2]}}}

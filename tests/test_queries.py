@@ -9,10 +9,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from lexcorpus.catalog import registry
 from lexcorpus.catalog.inputs import TABLES
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = registry.QUERIES, registry.ORACLES
 
 
 @pytest.fixture(scope="module")
@@ -58,3 +59,7 @@ def test_query_agrees_with_sql(spark, duck, name):
 
 def test_entry_gives_rows(spark):
     assert entry.entry(spark).count() > 0
+
+
+def test_registered_queries_are_given_out():
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
