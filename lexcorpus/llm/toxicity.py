@@ -25,7 +25,7 @@ LEXICON = 4000
 LEAST_TEXTS, LEAST_ODDS = 3, 2.0
 STEMS = (4, 5, 6)
 NEAR = 40.0
-FOLDS = {"lexicon": (0, 1), "trees": (2, 3), "calibration": (4,)}
+PARTS = {"left": (0, 1), "right": (2, 3), "calibration": (4,)}  # folds of five
 PIECE = 500_000
 
 #: Second-person words.
@@ -186,10 +186,11 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, doc_id: str = "doc_
 
     It is fitted to a sample of about ``SAMPLE`` of them, those with the smallest hash of their id;
     the sample's ids and labels, of that bounded size, go to the texts. A document counts as toxic
-    if any of its labels says so. Texts are split by their hash into folds, so that copies stay
-    together: one part gives the lexicon, one the trees, one the calibration, and none scores what
-    it was learned from. Null labels and texts without a label teach nothing. If a part has no
-    document of one kind, scores are the share of toxic ones.
+    if any of its labels says so. Texts are split by their hash into parts, so that copies stay
+    together. Trees learn from two parts, each read with the lexicon of the other; the lexicon of
+    both is what texts are read with later; and the third part, read so, gives the calibration. No
+    part is scored with what was learned from it. Null labels and texts without a label teach
+    nothing. If a part has no document of one kind, scores are the share of toxic ones.
     """
     marks = labels.where(F.col(label).isNotNull() & F.col(doc_id).isNotNull()).where(learn)
     marks = marks.groupBy(F.col(doc_id).alias("_id")).agg((F.max(label) > 0).cast("int").alias("toxic"))
@@ -201,20 +202,23 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, doc_id: str = "doc_
     fold = F.pmod(F.xxhash64("text"), F.lit(5)).cast("int").alias("fold")
     texts = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("text"))
     rows = stored(texts.join(F.broadcast(marks), "_id").select("text", "toxic", fold), "labelled")
-    part = {k: F.col("fold").isin(*v) for k, v in FOLDS.items()}
+    part = {k: F.col("fold").isin(*v) for k, v in PARTS.items()}
     sides = {(r["part"], r["toxic"]): r["count"] for r in rows.groupBy(
-        F.when(part["lexicon"], "lexicon").when(part["trees"], "trees").otherwise("calibration").alias("part"), "toxic"
+        F.when(part["left"], "left").when(part["right"], "right").otherwise("calibration").alias("part"), "toxic"
     ).count().collect()}
     bad = sum(n for (_, toxic), n in sides.items() if toxic)
     rate = bad / max(1, sum(sides.values()))
-    if any(not sides.get((p, k)) for p in FOLDS for k in (0, 1)):
+    if any(not sides.get((p, k)) for p in PARTS for k in (0, 1)):
         dropped(rows)
         return Model({}, None, None, rate)
-    terms = lexicon(rows.where(part["lexicon"]))
-    featured = stored(_featured(rows.where(~part["lexicon"]), terms, "text", "features"), "features").coalesce(4)
+    left, right, rest = (rows.where(part[p]) for p in PARTS)
+    terms = lexicon(rows.where(~part["calibration"]))
+    read = _featured(left, lexicon(right), "text", "features").unionAll(_featured(right, lexicon(left), "text", "features"))
+    read = stored(read.unionAll(_featured(rest, terms, "text", "features")), "features")
+    featured = read.coalesce(4)  # a sample of bounded size
     label_col = F.col("toxic").cast("double").alias("toxic")
     trees = GBTClassifier(labelCol="toxic", featuresCol="features", maxDepth=4, maxIter=20, stepSize=0.2, seed=7, checkpointInterval=-1)
-    trees = trees.fit(featured.where(part["trees"]).select("features", label_col))
+    trees = trees.fit(featured.where(~part["calibration"]).select("features", label_col))
     raised = trees.transform(featured.where(part["calibration"]).select("features", label_col))
     raised = raised.select(vector_to_array("probability")[1].alias("p"), "toxic")
     curve = IsotonicRegression(labelCol="toxic", featuresCol="p").fit(raised)
