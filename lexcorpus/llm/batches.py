@@ -12,6 +12,16 @@ from pyspark.sql.types import StructType
 Texts = list[str | None]
 
 
+ROWS = 1000
+
+
+def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of ``ROWS`` rows at most, so that few texts become Python objects at once."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS):
+            yield batch.slice(at, ROWS)
+
+
 def extended(docs: DataFrame, text: str, columns: str, compute: Callable[[Texts], Sequence]) -> DataFrame:
     """``docs`` without its texts and with ``columns`` (a DDL list), which ``compute`` makes from
     the texts of a batch, an array or list for each."""
@@ -21,10 +31,9 @@ def extended(docs: DataFrame, text: str, columns: str, compute: Callable[[Texts]
     schema = StructType([*[docs.schema[i] for i in kept], *new])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                made = [x if isinstance(x, pa.Array) else pa.array(x) for x in compute(batch.column(at).to_pylist())]
-                yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in kept], *made], names=schema.names)
+        for batch in sliced(batches):
+            made = [x if isinstance(x, pa.Array) else pa.array(x) for x in compute(batch.column(at).to_pylist())]
+            yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in kept], *made], names=schema.names)
 
     return docs.mapInArrow(work, schema)
 
@@ -34,8 +43,7 @@ def filtered(docs: DataFrame, text: str, keep: Callable[[Texts], np.ndarray]) ->
     at = docs.columns.index(text)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                yield batch.filter(pa.array(np.asarray(keep(batch.column(at).to_pylist()), bool)))
+        for batch in sliced(batches):
+            yield batch.filter(pa.array(np.asarray(keep(batch.column(at).to_pylist()), bool)))
 
     return docs.mapInArrow(work, docs.schema)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexcorpus.llm import texts as T
-from lexcorpus.llm.batches import filtered
+from lexcorpus.llm.batches import filtered, sliced
 from lexcorpus.llm.sharding import numbered
 
 MIN_MATCH = 4
@@ -194,7 +194,7 @@ def leaks(
 def _reporter(sent: Broadcast):
     def report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items = sent.value
-        for batch in batches:
+        for batch in sliced(batches):
             out = []
             for first, group in T.groups(batch.column(1).to_pylist()):
                 out += [(first + d, items.ids[i], c, n) for d, i, c, n in items.leaks(group)]

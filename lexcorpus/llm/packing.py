@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from lexcorpus.llm import tokens
+from lexcorpus.llm.batches import sliced
 from lexcorpus.llm.store import stored
 
 WINDOW = 2048
@@ -182,7 +183,7 @@ def tokenized(docs: DataFrame, doc_id: str, text: str, vocabulary: str, ranks: s
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
         seen, fulls = np.zeros(WINDOW, np.int64), 0
-        for batch in batches:
+        for batch in sliced(batches):
             out = []
             for ids in tokens.token_ids(batch.column(1).to_pylist(), vocabulary, ranks):
                 data = np.append(ids, np.uint32(END_ID)).astype("<u4").tobytes()
@@ -249,7 +250,7 @@ def packed(
             i = rank - lo + shift
             return first + i // per, base + i % per * size
 
-        for batch in batches:
+        for batch in sliced(batches):
             at, out = [], []
             for k, (n, rest, rank, first, fulls, crc, own) in enumerate(zip(*[c.to_pylist() for c in batch.columns[1:]], strict=True)):
                 pieces = [(i * WINDOW, WINDOW, c, n, first + i, 0) for i, c in enumerate(fulls)]

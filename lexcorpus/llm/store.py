@@ -8,6 +8,10 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 
 
+BATCHES = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_ROWS = 1000
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir``, or the context's own setting."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
@@ -18,10 +22,17 @@ def shared_folder(spark: SparkSession) -> str:
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read again. It cuts the lineage: a task
-    that runs again after a lost executor reads the same rows in the same order."""
+    that runs again after a lost executor reads the same rows in the same order. While it is
+    written, at most ``BATCH_ROWS`` rows go to Python at once, since rows hold whole texts."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/llm/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(BATCHES)
+    if not 0 < int(before) <= BATCH_ROWS:
+        spark.conf.set(BATCHES, str(BATCH_ROWS))
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(BATCHES, before)
     table = spark.read.schema(df.schema).parquet(path)
     table.stored_at = path
     return table

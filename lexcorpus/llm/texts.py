@@ -6,7 +6,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 
-GROUP_BYTES = 4_000_000
+GROUP_BYTES = 1_000_000
 U64 = np.uint64
 BASE = 0x9E3779B97F4A7C15 | 1
 BASE_INVERSE = pow(BASE, -1, 1 << 64)

@@ -14,7 +14,7 @@ from lexcorpus.llm import texts as T
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
-CACHED = 1_500_000
+CACHED = 1_000_000
 
 _ASCII_LETTER = np.zeros(256, bool)
 _ASCII_LETTER[65:91] = _ASCII_LETTER[97:123] = True
@@ -50,7 +50,7 @@ class Encoder:
 
     def _forget(self) -> None:
         self.known = np.zeros(0, np.uint64)  # sorted hashes
-        self.first = np.zeros(1, np.int64)  # of their ids
+        self.first = np.zeros(0, np.int64)  # of their ids
         self.count = np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.uint32)
 
@@ -107,10 +107,9 @@ class Encoder:
         count = np.fromiter(map(len, found), np.int64, len(found))
         ids = np.fromiter((i for ids in found for i in ids), np.uint32, int(count.sum()))
         first = len(self.ids) + np.cumsum(count) - count
-        order = np.argsort(np.concatenate([self.known, hashes]), kind="stable")
-        self.known = np.concatenate([self.known, hashes])[order]
-        self.count = np.concatenate([self.count, count])[order]
-        self.first = np.concatenate([self.first[: len(order) - len(found)], first])[order]
+        at = np.searchsorted(self.known, hashes)  # both are sorted
+        self.known, self.count = np.insert(self.known, at, hashes), np.insert(self.count, at, count)
+        self.first = np.insert(self.first, at, first)
         self.ids = np.concatenate([self.ids, ids])
 
 
