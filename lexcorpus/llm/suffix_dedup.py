@@ -7,12 +7,15 @@ import hashlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructType
+from pyspark.sql.types import StructType
 
 from lexcorpus.llm import texts as T
+from lexcorpus.llm.batches import sliced
+from lexcorpus.llm.grouping import whole_groups
 from lexcorpus.llm.store import dropped, own_names, stored, without
 
 LENGTH = 200
@@ -159,7 +162,7 @@ def anchors(rows: DataFrame) -> DataFrame:
     schema = "k1 long, k2 long, start int, count int, away int, core long, whole long"
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             k1, k2 = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             held, owner, shift, size = [], [], [], 0
 
@@ -197,7 +200,7 @@ def _blocks(wanted: DataFrame) -> DataFrame:
     side, names = STEP - 1, [part.split()[0] for part in schema.split(", ")]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             k1, k2 = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             texts, lists = batch.column(2).to_pylist(), batch.column(3).to_pylist()
             for i, (text, some) in enumerate(zip(texts, lists, strict=True)):
@@ -271,15 +274,11 @@ def repeated_starts(keys: np.ndarray, left: np.ndarray, right: np.ndarray, valid
 
 
 def _resolved(strings: DataFrame) -> DataFrame:
-    """(key, left, right, valid, ref, bits) of strings that share keys of bounded size."""
-    from lexcorpus.llm.grouping import whole_groups
-
+    """Spans of the starts that the suffix array finds twice, for strings of which few share a key."""
     names = ["key", "left", "right", "valid", "times", "k1", "k2", "at"]
     dealt = strings.select(*names).repartition("key").sortWithinPartitions("key")
 
-    def work(frames):
-        import pandas as pd
-
+    def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame, cuts in whole_groups(frames, ["key"]):
             most = BUNDLE // (2 * STEP)
             a = 0
@@ -324,8 +323,9 @@ def repeats(rows: DataFrame, doc_id: str, text: str) -> list[DataFrame]:
         shared = found.groupBy("core").agg(
             F.count(F.lit(1)).alias("n"), F.min("whole").alias("low"), F.max("whole").alias("high")
         ).where("n > 1").select("core", (F.col("low") == F.col("high")).alias("same"))
+        shared = stored(shared, "shared")  # a join of two tables, of which Spark splits large partitions
         again = stored(found.join(shared, "core"), "again")
-        dropped(found)
+        dropped(found, shared)
         end = F.col("start") + F.col("count") + (LENGTH - 1)
         span = [F.col("k1"), F.col("k2"), F.col("start").cast("long").alias("start"), end.cast("long").alias("end")]
         spans = [again.where("same").select(*span)]
@@ -351,10 +351,11 @@ def repeats(rows: DataFrame, doc_id: str, text: str) -> list[DataFrame]:
         )
         spans.append(stored(told, "spans"))
         groups = strings.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("times").alias("least")).where("n > 1 and least = 1")
+        groups = stored(groups, "groups")
         grouped = stored(strings.join(groups.select("key", "n"), "key"), "grouped")
         spans.append(stored(_resolved(grouped.where(F.col("n") <= HOT)), "spans"))
         spans.append(stored(_by_window(grouped.where(F.col("n") > HOT)), "spans"))
-        dropped(kinds, blocks, strings, grouped)
+        dropped(kinds, blocks, strings, groups, grouped)
     finally:
         spark.conf.unset(cleanup) if before is None else spark.conf.set(cleanup, before)
     return spans
@@ -367,7 +368,7 @@ def _by_window(strings: DataFrame) -> DataFrame:
         F.expr("shiftright(valid, i) & 1 = 1")
     )
     cut = cut.withColumn("left", F.expr("shiftrightunsigned(left, 8 * i)")).withColumn(
-        "right", F.expr(f"case when i = 0 then 0L else shiftleft(right, 64 - 8 * i) end")
+        "right", F.expr("case when i = 0 then 0L else shiftleft(right, 64 - 8 * i) end")
     )
     window = ["key", "i", "left", "right"]
     twice = cut.groupBy(*window).agg(F.count(F.lit(1)).alias("n"), F.max("times").alias("most")).where("n > 1 or most > 1")
@@ -388,9 +389,8 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return runs
 
 
-def _cut(rows: DataFrame, doc_id: str, text: str, columns: str, make: Callable[[bytes, list[tuple[int, int]]], tuple], keep_text: bool) -> DataFrame:
-    """``rows`` (without texts, unless ``keep_text``) with what ``make`` gives for a text and its
-    runs to remove."""
+def _cut(rows: DataFrame, doc_id: str, text: str, columns: str, make: Callable[[str | None, list[tuple[int, int]]], tuple]) -> DataFrame:
+    """``rows`` without texts and with what ``make`` gives for a text and its runs to remove."""
     spans = None
     for part in repeats(rows, doc_id, text):
         spans = part if spans is None else spans.unionAll(part)
@@ -399,13 +399,11 @@ def _cut(rows: DataFrame, doc_id: str, text: str, columns: str, make: Callable[[
     a, b = _key(doc_id, text)
     joined = rows.withColumns({k1: a, k2: b}).join(lists, [k1, k2], "left").drop(k1, k2)
     at = joined.columns.index(text)
-    kept = [i for i in range(len(joined.columns) - 1) if keep_text or i != at]
+    kept = [i for i in range(len(joined.columns) - 1) if i != at]
     schema = StructType([*[joined.schema[i] for i in kept], *StructType.fromDDL(columns)])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in sliced(batches):
             out = []
             for t, some in zip(batch.column(at).to_pylist(), batch.column(batch.num_columns - 1).to_pylist(), strict=True):
                 out.append(make(t, merged([(s["start"], s["end"]) for s in some or ()])))
@@ -439,7 +437,7 @@ def deduplicated(rows: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
         kept = _kept(data, runs)
         return len(data), len(data) - len(kept), len(runs), hashlib.sha256(kept).hexdigest()
 
-    return _cut(rows, doc_id, text, "n_bytes long, n_removed long, n_spans long, kept_sha256 string", make, False)
+    return _cut(rows, doc_id, text, "n_bytes long, n_removed long, n_spans long, kept_sha256 string", make)
 
 
 def cleaned(rows: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -460,5 +458,5 @@ def cleaned(rows: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
             whole.append((a, b))
         return (_kept(data, whole).decode("utf-8", "surrogatepass"),)
 
-    cut = _cut(rows, doc_id, text, f"`{out}` string", make, False)
+    cut = _cut(rows, doc_id, text, f"`{out}` string", make)
     return cut.select([F.col(f"`{out}`").alias(c) if c == text else F.col(f"`{c}`") for c in rows.columns])
