@@ -303,10 +303,20 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", wor
     that are alike in all columns count once. Texts are read twice and shuffled once, by keys of
     which each stands for few rows."""
     fp, root, low, own, at = own_names(docs, "_fp", "_root", "_low", "_hash", "_at")
-    key = docs.withColumn(own, F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])).withColumn(
+    key = keyed(docs, doc_id, at, own)
+    rows = _grouped(key.select(doc_id, text, own, at), doc_id, text, words, distance, fp, root, low)
+    return best_rows(docs, key, rows, doc_id, root, at, own)
+
+
+def keyed(docs: DataFrame, doc_id: str, at: str, own: str) -> DataFrame:
+    """``docs`` with the id as a number in ``at`` and a hash of all columns in ``own``."""
+    return docs.withColumn(own, F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])).withColumn(
         at, F.coalesce(F.expr(f"try_cast(`{doc_id}` as long)"), F.lit(0))
     )
-    rows = _grouped(key.select(doc_id, text, own, at), doc_id, text, words, distance, fp, root, low)
+
+
+def best_rows(docs: DataFrame, key: DataFrame, rows: DataFrame, doc_id: str, root: str, at: str, own: str) -> DataFrame:
+    """One row of ``docs`` for each ``root`` in ``rows``; ``key`` is ``docs`` with ``at`` and ``own``."""
     order = F.struct(F.col(doc_id).isNull(), F.col(at), F.col(own))
     best = rows.groupBy(root).agg(F.min(F.struct(order.alias("o"), F.col(at), F.col(own))).alias("b")).select(f"b.{at}", f"b.{own}")
     best = stored(best, "kept")

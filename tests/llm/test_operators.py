@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from lexcorpus.llm import (
-    chat, decontaminate, embed_dedup, lang_id, packing, queries, sharding, simhash, store, suffix_dedup, suffix_tree_lm,
+    chat, decontaminate, embed_dedup, lang_id, minhash, packing, queries, sharding, simhash, store, suffix_dedup, suffix_tree_lm,
     tokens, toxicity,
 )
 from lexcorpus.llm.components import components
@@ -156,6 +156,34 @@ def test_simhash_groups(spark, odd, empty):
     assert simhash.near_duplicates(empty).count() == 0 and simhash.one_of_each(empty).count() == 0
 
 
+@pytest.mark.parametrize("small", [16, 1])
+def test_edited_copies_by_comparing_shingles(spark, monkeypatch, odd, empty, small):
+    monkeypatch.setattr(minhash, "SMALL", small)
+    rng = np.random.default_rng(8)
+    texts = [prose(100 + i, 60) for i in range(12)] + ["one two", "One  two", "", None]
+    for i in [*range(12), *[0] * 40, *[1] * 10]:
+        words = texts[i].split()
+        for at in rng.choice(len(words), rng.integers(1, 4), replace=False):
+            words[at] = f"edit{rng.integers(1000)}"
+        texts.append(" ".join(words))
+    rows = list(enumerate(texts)) + [(3, texts[3])]
+
+    def plain(text):
+        words = (text or "").lower().split()
+        return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+    sets = [plain(t) for t in texts]
+    alike = lambda a, b: a == b or len(a & b) >= 0.8 * len(a | b)
+    pairs = [(i, j) for i in range(len(sets)) for j in range(i) if alike(sets[i], sets[j])]
+    far = [x for x in pairs if bin(simhash.fingerprint(texts[x[0]]) ^ simhash.fingerprint(texts[x[1]])).count("1") > 2]
+    assert len(far) > len(pairs) / 2
+    got = minhash.one_of_each(frame(spark, rows, "doc_id long, text string")).collect()
+    assert sorted(r["doc_id"] for r in got) == sorted(set(union(pairs, range(len(texts))).values()))
+    kept = corpus_pipeline.near_duplicates(spark, odd, "").collect()
+    assert {r["doc_id"] for r in kept} == {1, 4, 7, 8, 9, 10, 11} | {r["doc_id"] for r in kept if r["doc_id"] is None}
+    assert kept[0].asDict().keys() == set(odd.columns) and minhash.one_of_each(empty).count() == 0
+
+
 def test_vectors(spark):
     rng = np.random.default_rng(5)
     base = rng.standard_normal((40, 16))
