@@ -19,7 +19,10 @@ GRAMS = 8192
 CLUSTERS = 4
 SAMPLE = 1000
 ROUNDS = 12
-LOW, SLACK = 0.05, 0.1
+#: Sizes of texts, as powers of two of their number of grams; a floor is set from so many cosines.
+SIZES, ENOUGH = 24, 20
+#: The least cosine accepted: this share of the low quantile, or of the median if that is more.
+LOW, OF_LOW, OF_MEDIAN = 0.01, 0.9, 0.45
 BLOCK_ROWS, BLOCK_CHARS = 128, 500_000
 
 _letters: list[np.ndarray] = []
@@ -80,7 +83,7 @@ def _hashed(pieces: list[tuple[int, str]]) -> Iterator[tuple[np.ndarray, np.ndar
 
 @dataclass
 class Model:
-    """Centroids with their languages and the least cosine that each accepts."""
+    """Centroids with their languages and the least cosine that each accepts, by the size of a text."""
 
     place: np.ndarray  # of a hash among the grams of the model; GRAMS for any other
     idf: np.ndarray
@@ -89,8 +92,8 @@ class Model:
     centroids: np.ndarray
     floors: np.ndarray
 
-    def vectors(self, texts: Iterable[str | None]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """(first row, unit TF-IDF vectors, has a letter) of blocks of whole texts. Grams outside
+    def vectors(self, texts: Iterable[str | None]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+        """(first row, unit TF-IDF vectors, has a letter, size) of blocks of whole texts. Grams outside
         the model lengthen a vector, so a text that consists of them is near no centroid."""
         wide = len(self.idf) + 1
         for first, pieces in _blocks(texts):
@@ -105,12 +108,13 @@ class Model:
             tf[some] = 1 + np.log(tf[some])
             tf *= self.idf
             norm = np.sqrt((tf * tf).sum(axis=1) + counts[:, -1] * self.rare**2)
-            yield first, tf / np.maximum(norm, 1e-9)[:, None].astype(np.float32), letters
+            size = np.log2(np.maximum(counts.sum(axis=1), 1)).astype(int).clip(0, SIZES - 1)
+            yield first, tf / np.maximum(norm, 1e-9)[:, None].astype(np.float32), letters, size
 
     def predict(self, texts: Iterable[str | None]) -> tuple[list[str], list[float], list[bool]]:
         """Language, cosine, and whether it is too small, for each text."""
         lang, score, far = [], [], []
-        for _, vectors, letters in self.vectors(texts):
+        for _, vectors, letters, size in self.vectors(texts):
             if not len(self.langs):
                 lang += [UNKNOWN] * len(vectors)
                 score += [0.0] * len(vectors)
@@ -121,7 +125,7 @@ class Model:
             top = np.clip(cosines[np.arange(len(best)), best], 0, 1)
             lang += [self.langs[b] if ok else UNKNOWN for b, ok in zip(best, letters, strict=True)]
             score += np.where(letters, top, 0).tolist()
-            far += (~letters | (top < self.floors[best])).tolist()
+            far += (~letters | (top < self.floors[best, size])).tolist()
         return lang, score, far
 
 
@@ -144,13 +148,29 @@ def _clusters(unit: np.ndarray) -> np.ndarray:
     return centroids
 
 
+def floors(near: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The least cosine to accept for each size of a text, from cosines of held-out texts of one
+    language: a low quantile, less a margin, so that clean texts of that size stay. Where odd rows
+    pull it down, the median holds it up. Sizes that are larger than any take the last one."""
+    found, last = np.zeros(SIZES), 0.0
+    for k in range(SIZES):
+        own = near[size == k]
+        if len(own) >= ENOUGH:
+            low, middle = np.quantile(own, [LOW, 0.5])
+            last = float(max(OF_LOW * low, OF_MEDIAN * middle))
+        elif len(own) and not last:
+            last = float(own.min()) / 2
+        found[k] = last
+    return found
+
+
 def train(docs: DataFrame, text: str = "text", lang: str = "lang", spread: Column | None = None) -> Model:
     """A model of the rows of ``docs`` that have a language and a text.
 
     Document frequencies come from all of them. The centroids of a language are fitted to a sample
     of about ``SAMPLE`` of its rows, those with the smallest hash of ``spread`` (the text, if not
-    given). A centroid accepts cosines down to ``SLACK`` times what all but the share ``LOW`` of the
-    sample rows of its language reach, so that short texts stay and odd sample rows don't matter.
+    given). The least cosine that a language accepts follows the size of a text: it is set from sample
+    rows, whole and cut short, against centroids fitted to the other half of the sample (``floors``).
     Rows without a letter teach nothing. Without rows the model knows no language.
     """
     spread = F.col(text) if spread is None else spread
@@ -176,7 +196,7 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", spread: Colum
     place = np.full(1 << HASH_BITS, len(top), np.int64)
     place[[r["gram"] for r in top]] = np.arange(len(top))
     idf = np.log((1 + total) / (1 + np.array([r["n"] for r in top], float))).astype(np.float32) + np.float32(1)
-    model = Model(place, idf, float(np.log(1 + total) + 1) if total else 1.0, [], np.zeros((0, len(top)), np.float32), np.zeros(0))
+    model = Model(place, idf, float(np.log(1 + total) + 1) if total else 1.0, [], np.zeros((0, len(top)), np.float32), np.zeros((0, SIZES)))
     counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
     if not counts or not top:
         return model
@@ -185,33 +205,47 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", spread: Colum
 
     def sparse(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            names, hashes, out = frame["lang"].to_numpy(), frame["h"].to_numpy(), []
-            for first, vectors, letters in model.vectors(frame["text"]):
-                for k in np.flatnonzero(letters):
-                    some = np.flatnonzero(vectors[k])
-                    out.append((names[first + k], hashes[first + k], some.astype(np.int32), vectors[k, some]))
-            yield pd.DataFrame(out, columns=["lang", "h", "at", "weight"])
+            names, hashes = frame["lang"].to_numpy(), frame["h"].to_numpy()
+            cuts = []  # (row, number of halvings, text): whole, and some of the beginnings
+            for k, text in enumerate(frame["text"]):
+                cuts.append((k, 0, text))
+                halvings = range(1, max(1, len(text).bit_length() - 2))
+                cuts += [(k, j, text[: len(text) >> j]) for j in halvings if (int(hashes[k]) + j) % 2]
+            for first, vectors, letters, size in model.vectors(c[2] for c in cuts):
+                out = []
+                for at in np.flatnonzero(letters):
+                    k, j, _ = cuts[first + at]
+                    some = np.flatnonzero(vectors[at])
+                    out.append((names[k], hashes[k], j, size[at], some.astype(np.int32), vectors[at, some]))
+                yield pd.DataFrame(out, columns=["lang", "h", "cut", "size", "at", "weight"])
 
     # rows with one hash teach once, so that a table of repeated rows gives no larger sample
-    taught = rows.where(part).mapInPandas(sparse, "lang string, h long, at array<int>, weight array<float>")
-    taught = taught.groupBy("lang", "h").agg(F.first(F.struct("at", "weight")).alias("v")).select("lang", "h", "v.at", "v.weight")
+    taught = rows.where(part).mapInPandas(sparse, "lang string, h long, cut int, size int, at array<int>, weight array<float>")
+    taught = taught.groupBy("lang", "h", "cut").agg(F.first(F.struct("size", "at", "weight")).alias("v")).select("lang", "h", "cut", "v.*")
     wide = len(top)
 
     def fit(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values("h").iloc[: 2 * SAMPLE]
-        unit = np.zeros((len(frame), wide), np.float32)
-        for k, (at, weight) in enumerate(zip(frame["at"], frame["weight"], strict=True)):
+        frame = frame.sort_values(["h", "cut"])
+        order = np.unique(frame["h"].to_numpy(), return_inverse=True)[1]
+        frame, order = frame[order < 2 * SAMPLE], order[order < 2 * SAMPLE]
+        whole = frame["cut"].to_numpy() == 0
+        unit = np.zeros((int(whole.sum()), wide), np.float32)
+        for k, (at, weight) in enumerate(zip(frame["at"][whole], frame["weight"][whole], strict=True)):
             unit[k, at] = weight
+        half = order[whole] % 2
+        other = [_clusters(unit[half == k] if (half == k).any() else unit) for k in (1, 0)]
+        rows = zip(order % 2, frame["at"], frame["weight"], strict=True)
+        near = np.array([(other[k][:, at] @ weight).max() for k, at, weight in rows])
         centroids = _clusters(unit)
-        floor = SLACK * float(np.quantile((unit @ centroids.T).max(axis=1), LOW))
-        return pd.DataFrame({"lang": frame["lang"].iloc[0], "centroid": list(centroids.astype(np.float32)), "floor": floor})
+        least = floors(near, frame["size"].to_numpy())
+        return pd.DataFrame({"lang": frame["lang"].iloc[0], "centroid": list(centroids.astype(np.float32)), "floors": [least] * len(centroids)})
 
-    fitted = taught.groupBy("lang").applyInPandas(fit, "lang string, centroid array<float>, floor double").collect()
+    fitted = taught.groupBy("lang").applyInPandas(fit, "lang string, centroid array<float>, floors array<double>").collect()
     fitted = sorted(fitted, key=lambda r: (r["lang"], r["centroid"]))
     if fitted:
         model.langs = [r["lang"] for r in fitted]
         model.centroids = np.array([r["centroid"] for r in fitted], np.float32)
-        model.floors = np.array([r["floor"] for r in fitted])
+        model.floors = np.array([r["floors"] for r in fitted])
     return model
 
 

@@ -1,5 +1,6 @@
 """Every operator against a brute-force version, on tables that hold the odd cases."""
 
+import base64
 import hashlib
 import json
 import math
@@ -360,6 +361,32 @@ def test_languages(spark, spoken, odd, empty):
     assert {r["lang_pred"] for r in none} == {"und"} and len(none) == odd.count()
 
 
+WORDS = {
+    "de": "der die und in den von zu das mit sich des auf für ist im dem nicht ein eine als auch es an werden aus er hat dass sie nach wird bei einer um am sind noch wie einem über einen so zum war haben nur oder aber vor zur bis mehr durch man sein wurde sei",
+    "en": "the of and to in is that it was for on are as with his they at be this have from or one had by word but not what all were we when your can said there use an each which she do how their if will up other about out many then them these so some her would",
+    "es": "de la que el en y a los se del las un por con no una su para es al lo como más o pero sus le ha me si sin sobre este ya entre cuando todo esta ser son dos también fue había era muy años hasta desde está mi porque qué sólo han yo hay vez puede todos",
+}
+FOREIGN = {
+    "it": "Il governo ha approvato ieri una nuova legge sulla protezione della natura e delle acque, che entrerà in vigore nel prossimo anno.",
+    "fi": "Hallitus hyväksyi eilen uuden lain luonnon ja vesien suojelusta, joka tulee voimaan ensi vuonna julkaisemisen jälkeen.",
+    "tr": "Hükümet dün doğanın ve suların korunmasına ilişkin yeni bir yasayı onayladı; yasa gelecek yıl yürürlüğe girecek.",
+    "pl": "Rząd przyjął wczoraj nową ustawę o ochronie przyrody i wód, która wejdzie w życie w przyszłym roku po jej ogłoszeniu.",
+}
+
+
+def test_unknown_languages_and_noise_are_rejected(spark):
+    rng = np.random.default_rng(9)
+    say = lambda lang, n: " ".join(rng.choice(WORDS[lang].split(), n))
+    rows = [(i, say(lang, 4 + i % 90), lang, "s", 1) for i, lang in enumerate(["de", "en", "es"] * 150)]
+    rows += [(1000 + i, prose(i, 60, "abcdefghijklmnopqrstuvwxyz"), "en", "s", 1) for i in range(5)]  # odd rows
+    model = lang_id.train(frame(spark, rows))
+    noise = [prose(50, 400, "abcdefghijklmnopqrstuvwxyz"), base64.b64encode(rng.bytes(600)).decode()]
+    assert model.predict([*FOREIGN.values(), *[" ".join([t] * 8) for t in FOREIGN.values()], *noise])[2] == [True] * 10
+    own = [(lang, say(lang, n)) for lang in WORDS for n in (4, 6, 10, 30, 80, 200, 1000) for _ in range(20)]
+    langs, _, far = model.predict([t for _, t in own])
+    assert sum(far) <= len(own) // 50 and sum(a != b for a, (b, _) in zip(langs, own, strict=True)) <= len(own) // 50
+
+
 def test_long_texts_are_read_whole(monkeypatch, spoken):
     model = lang_id.train(spoken)
     text = prose(8, 20, LANGS["aa"]) + " " + prose(9, 400, LANGS["bb"])
