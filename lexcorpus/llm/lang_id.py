@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexcorpus.llm.batches import extended, filtered
@@ -19,6 +19,8 @@ GRAMS = 8192
 CLUSTERS = 4
 SAMPLE = 1000
 ROUNDS = 12
+#: Of each language, so many grams are in the model, however many languages there are.
+LEAST = 512
 #: Sizes of texts, as powers of two of their number of grams; a floor is set from so many cosines.
 SIZES, ENOUGH = 24, 20
 #: The least cosine accepted: this share of the low quantile, or of the median if that is more.
@@ -167,7 +169,8 @@ def floors(near: np.ndarray, size: np.ndarray) -> np.ndarray:
 def train(docs: DataFrame, text: str = "text", lang: str = "lang", spread: Column | None = None) -> Model:
     """A model of the rows of ``docs`` that have a language and a text.
 
-    Document frequencies come from all of them. The centroids of a language are fitted to a sample
+    Document frequencies come from all of them. Grams are taken by their place among those of each
+    language, at least ``LEAST`` of each and ``GRAMS`` together. The centroids of a language are fitted to a sample
     of about ``SAMPLE`` of its rows, those with the smallest hash of ``spread`` (the text, if not
     given). The least cosine that a language accepts follows the size of a text: it is set from sample
     rows, whole and cut short, against centroids fitted to the other half of the sample (``floors``).
@@ -179,25 +182,46 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", spread: Colum
     )
 
     def frequencies(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        found, n = np.zeros(1 << HASH_BITS, np.int64), 0
+        found: dict[str, np.ndarray] = {}  # the last place counts rows
+
+        def counted() -> Iterator[pd.DataFrame]:
+            for name, n in found.items():
+                some = np.flatnonzero(n)
+                yield pd.DataFrame({"lang": name, "gram": np.where(some < 1 << HASH_BITS, some, -1), "n": n[some]})
+            found.clear()
+
         for frame in frames:
-            for _, pieces in _blocks(frame["text"]):
+            names = frame["lang"].to_numpy()
+            for first, pieces in _blocks(frame["text"]):
                 seen = [np.unique((r << HASH_BITS) | g) for r, g, _ in _hashed(pieces)]
                 seen = np.unique(np.concatenate(seen)) if len(seen) > 1 else seen[0]
-                found += np.bincount(seen & ((1 << HASH_BITS) - 1), minlength=1 << HASH_BITS)
-                n += pieces[-1][0] + 1
-        some = np.flatnonzero(found)
-        yield pd.DataFrame({"gram": [-1, *some.tolist()], "n": [n, *found[some].tolist()]})
+                codes, own = pd.factorize(names[first : first + pieces[-1][0] + 1])
+                of = codes[seen >> HASH_BITS]
+                for k, name in enumerate(own):
+                    if name not in found:
+                        if len(found) >= 64:
+                            yield from counted()
+                        found[name] = np.zeros((1 << HASH_BITS) + 1, np.int64)
+                    grams = seen[of == k] & ((1 << HASH_BITS) - 1)
+                    found[name][:-1] += np.bincount(grams, minlength=1 << HASH_BITS)
+                    found[name][-1] += int((codes == k).sum())
+        yield from counted()
 
-    df = rows.select("text").mapInPandas(frequencies, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-    top = df.orderBy(F.col("gram") >= 0, F.desc("n"), "gram").limit(GRAMS + 1).collect()
+    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    df = rows.select("lang", "text").mapInPandas(frequencies, "lang string, gram long, n long")
+    df = df.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    # the grams of a language by their place in it, so that those of a rare one aren't crowded out
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.col("gram") >= 0, F.desc("n"), "gram"))
+    df = df.withColumn("all", F.sum("n").over(Window.partitionBy("gram"))).withColumn("rank", rank).where(F.col("rank") <= GRAMS + 1)
+    df = df.groupBy("gram").agg(F.min("rank").alias("rank"), F.max("all").alias("n"))
+    top = df.orderBy("rank", F.col("gram") >= 0, F.desc("n"), "gram").limit(max(GRAMS, LEAST * len(counts)) + 1).collect()
+    top = [r for k, r in enumerate(top) if k <= GRAMS or r["rank"] <= LEAST + 1]
     total = next((r["n"] for r in top if r["gram"] < 0), 0)
     top = [r for r in top if r["gram"] >= 0]
     place = np.full(1 << HASH_BITS, len(top), np.int64)
     place[[r["gram"] for r in top]] = np.arange(len(top))
     idf = np.log((1 + total) / (1 + np.array([r["n"] for r in top], float))).astype(np.float32) + np.float32(1)
     model = Model(place, idf, float(np.log(1 + total) + 1) if total else 1.0, [], np.zeros((0, len(top)), np.float32), np.zeros((0, SIZES)))
-    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
     if not counts or not top:
         return model
     share = F.create_map(*[F.lit(x) for name, c in sorted(counts.items()) for x in (name, min(1.0, SAMPLE / c))])

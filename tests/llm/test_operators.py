@@ -387,6 +387,16 @@ def test_unknown_languages_and_noise_are_rejected(spark):
     assert sum(far) <= len(own) // 50 and sum(a != b for a, (b, _) in zip(langs, own, strict=True)) <= len(own) // 50
 
 
+def test_rare_languages_have_grams_of_their_own(spark, monkeypatch):
+    monkeypatch.setattr(lang_id, "GRAMS", 150)
+    monkeypatch.setattr(lang_id, "LEAST", 50)
+    rows = [(i, prose(i, 40, LANGS[lang]), lang, "s", 1) for i, lang in enumerate(["aa", "bb"] * 100)]
+    rows += [(500 + i, prose(i, 40, "αβγδεζηθικ"), "el", "s", 1) for i in range(8)]
+    model = lang_id.train(frame(spark, rows))
+    langs, score, far = model.predict([prose(90, 40, "αβγδεζηθικ"), prose(91, 40, LANGS["aa"])])
+    assert langs == ["el", "aa"] and score[0] > 0.3 and far == [False, False]
+
+
 def test_long_texts_are_read_whole(monkeypatch, spoken):
     model = lang_id.train(spoken)
     text = prose(8, 20, LANGS["aa"]) + " " + prose(9, 400, LANGS["bb"])
