@@ -171,7 +171,7 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", spread: Colum
 
     Document frequencies come from all of them. Grams are taken by their place among those of each
     language, at least ``LEAST`` of each and ``GRAMS`` together. The centroids of a language are fitted to a sample
-    of about ``SAMPLE`` of its rows, those with the smallest hash of ``spread`` (the text, if not
+    of about ``SAMPLE`` of its distinct texts, all if it has no more, those with the smallest hash of ``spread`` (the text, if not
     given). The least cosine that a language accepts follows the size of a text: it is set from sample
     rows, whole and cut short, against centroids fitted to the other half of the sample (``floors``).
     Rows without a letter teach nothing. Without rows the model knows no language.
@@ -207,7 +207,8 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", spread: Colum
                     found[name][-1] += int((codes == k).sum())
         yield from counted()
 
-    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    texts = rows.select("lang", "h").distinct()  # copies of a text are in the sample together
+    counts = {r["lang"]: r["count"] for r in texts.groupBy("lang").count().collect()}
     df = rows.select("lang", "text").mapInPandas(frequencies, "lang string, gram long, n long")
     df = df.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     # the grams of a language by their place in it, so that those of a rare one aren't crowded out
@@ -225,10 +226,13 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", spread: Colum
     if not counts or not top:
         return model
     share = F.create_map(*[F.lit(x) for name, c in sorted(counts.items()) for x in (name, min(1.0, SAMPLE / c))])
-    part = (F.shiftrightunsigned("h", 1) / float(1 << 63)) < F.element_at(share, F.col("lang"))
+    part = (F.shiftrightunsigned("h", 1) / float(1 << 63)) <= F.element_at(share, F.col("lang"))
 
     def sparse(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        taken = set()  # what this task has sent: about a sample of each language
         for frame in frames:
+            new = [x not in taken and not taken.add(x) for x in zip(frame["lang"], frame["h"], strict=True)]
+            frame = frame[new]
             names, hashes = frame["lang"].to_numpy(), frame["h"].to_numpy()
             cuts = []  # (row, number of halvings, text): whole, and some of the beginnings
             for k, text in enumerate(frame["text"]):

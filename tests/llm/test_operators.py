@@ -397,6 +397,16 @@ def test_rare_languages_have_grams_of_their_own(spark, monkeypatch):
     assert langs == ["el", "aa"] and score[0] > 0.3 and far == [False, False]
 
 
+def test_copies_teach_their_language(spark, monkeypatch):
+    monkeypatch.setattr(lang_id, "SAMPLE", 20)
+    rows = [(i, prose(i, 40, LANGS["aa"]), "aa", "s", 1) for i in range(30)]
+    rows += [(100 + i, prose(i % 3, 40, LANGS["bb"]), "bb", "s", 1) for i in range(3000)]
+    model = lang_id.train(frame(spark, rows))
+    assert set(model.langs) == {"aa", "bb"}
+    langs, _, far = model.predict([prose(k, 40, LANGS["bb"]) for k in range(3)])
+    assert langs == ["bb"] * 3 and far == [False] * 3
+
+
 def test_long_texts_are_read_whole(monkeypatch, spoken):
     model = lang_id.train(spoken)
     text = prose(8, 20, LANGS["aa"]) + " " + prose(9, 400, LANGS["bb"])
