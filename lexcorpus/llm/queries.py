@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import zlib
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexcorpus.llm import (
-    chat, decontaminate, embed_dedup, lang_id, packing, sharding, simhash, suffix_dedup, suffix_tree_lm, toxicity,
+    chat, decontaminate, embed_dedup, lang_id, packing, periodic_runs, sharding, simhash, suffix_dedup, suffix_tree_lm,
+    token_counts, toxicity,
 )
+from lexcorpus.llm.batches import sliced
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -161,3 +165,39 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of all documents without the 200-byte strings that start at two places."""
     rows = suffix_dedup.deduplicated(read(spark, sf_dir, "documents", "doc_id", "text"))
     return rows.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@query("op11_token_counts")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of all documents, and whether they are over 512."""
+    return token_counts.counted(read(spark, sf_dir, "documents", "doc_id", "text"), limit=512)
+
+
+@query("op13_periodic_runs")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of repeating words in all documents, a tenth of which get a periodic end first."""
+    return periodic_runs.summarized(repeating(read(spark, sf_dir, "documents", "doc_id", "text")))
+
+
+def repeating(docs: DataFrame) -> DataFrame:
+    """``docs`` where the texts of ids whose crc32 h (of the id as text) is a multiple of 10 repeat a
+    stretch from some word on: for n words and g = h div 10, from word a = g mod n, with a period of
+    1 + (n - a) div (3 + g mod 8). Null ids and texts without words stay as they are."""
+    at, id_at = docs.columns.index("text"), docs.columns.index("doc_id")
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches):
+            texts = batch.column(at).to_pylist()
+            for i, doc_id in enumerate(batch.column(id_at).to_pylist()):
+                h = None if doc_id is None else zlib.crc32(str(doc_id).encode())
+                words = texts[i].split() if h is not None and h % 10 == 0 and texts[i] else []
+                if words:
+                    g, n = h // 10, len(words)
+                    a = g % n
+                    p = 1 + (n - a) // (3 + g % 8)
+                    texts[i] = b" ".join(words[: a + p] + [words[a + k % p] for k in range(p, n - a)])
+            columns = [pa.array(texts, pa.binary()) if k == at else batch.column(k) for k in range(batch.num_columns)]
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+
+    as_bytes = docs.withColumn("text", F.col("text").cast("binary"))
+    return as_bytes.mapInArrow(work, as_bytes.schema)

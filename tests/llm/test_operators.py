@@ -553,5 +553,5 @@ def test_pipeline_stages(spark, tmp_path):
 
 def test_queries_are_registered():
     names = {n.split("_")[0] for n in queries.QUERIES}
-    assert names == {f"op{i}" for i in range(1, 11)} and set(queries.ORACLES) <= set(queries.QUERIES)
+    assert names == {f"op{i}" for i in range(1, 14)} and set(queries.ORACLES) <= set(queries.QUERIES)
     assert json.dumps(sorted(queries.ORACLES))
