@@ -10,10 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexcorpus.llm import (
-    chat, decontaminate, embed_dedup, lang_id, packing, periodic_runs, sharding, simhash, suffix_dedup, suffix_tree_lm,
+    chat, decontaminate, embed_dedup, lang_id, packing, periodic_runs, prefix_trie, sharding, simhash, suffix_dedup, suffix_tree_lm,
     token_counts, toxicity,
 )
 from lexcorpus.llm.batches import sliced
+from lexcorpus.llm.store import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -201,3 +202,63 @@ def repeating(docs: DataFrame) -> DataFrame:
 
     as_bytes = docs.withColumn("text", F.col("text").cast("binary"))
     return as_bytes.mapInArrow(work, as_bytes.schema)
+
+
+TRIE_SQL = r"""
+WITH crc AS (
+  SELECT list(v ORDER BY i) AS t FROM (
+    SELECT i, list_reduce([i::BIGINT, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
+    FROM range(256) r(i))
+), turns AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS place,
+    md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS mark,
+    len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS words
+  FROM conversations WHERE conv_id IS NOT NULL
+), info AS (
+  SELECT conv_id, n, xor(list_reduce(list_prepend(4294967295, list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+      lambda c, b: xor(c >> 8, t[1 + (xor(c, b) & 255)])), 4294967295) % 4 AS h
+  FROM (SELECT conv_id, count(*) AS n FROM turns GROUP BY conv_id), crc
+), built AS (
+  SELECT i.conv_id, t.place, t.mark, t.words FROM info i JOIN turns t ON t.conv_id = i.conv_id - i.conv_id % 20 AND t.place < i.h
+  UNION ALL SELECT i.conv_id, t.place + 10, t.mark, t.words FROM info i JOIN turns t ON t.conv_id = i.conv_id AND t.place >= i.h
+), paths AS (
+  SELECT info.conv_id, coalesce(list(mark ORDER BY place) FILTER (WHERE mark IS NOT NULL), []) AS path,
+    coalesce(list(words ORDER BY place) FILTER (WHERE mark IS NOT NULL), []) AS words
+  FROM info LEFT JOIN built ON built.conv_id = info.conv_id GROUP BY info.conv_id
+), nodes AS (
+  SELECT path[1:d] AS node, d AS depth, min(conv_id) AS conv_id, count(*) AS n_convs, coalesce((count(*) - 1) * any_value(words[d]), 0) AS saved,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE len(path) = d), '')) AS ends_sha256
+  FROM (SELECT *, unnest(range(0, len(path) + 1)) AS d FROM paths) GROUP BY ALL HAVING true
+), children AS (SELECT node[1:depth - 1] AS node, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1
+), shaped AS (SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN children USING (node)
+), below AS (
+  SELECT node[1:k] AS node, sum(saved) AS saved_tokens, count(*) FILTER (WHERE n_children = 0) AS n_leaves
+  FROM (SELECT *, unnest(range(0, depth + 1)) AS k FROM shaped) GROUP BY 1
+)
+SELECT s.conv_id, s.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, s.n_convs, s.n_children::BIGINT AS n_children,
+  b.n_leaves::BIGINT AS n_leaves, b.saved_tokens::BIGINT AS saved_tokens, s.ends_sha256
+FROM shaped s JOIN below b USING (node) LEFT JOIN shaped p ON s.depth > 0 AND p.node = s.node[1:s.depth - 1]
+"""
+
+
+def rebuilt(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Turns of conversations whose first h = crc32(id as text) mod 4 turns are those of conversation
+    c - c mod 20, and the ids of all conversations."""
+    sizes = turns.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n"))
+    h = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 4
+    givers = sizes.select(F.col("conv_id").alias("giver"), F.col("n").alias("given"))
+    known = sizes.select("conv_id", h.alias("h"), (F.col("conv_id") - F.col("conv_id") % 20).alias("giver"))
+    known = known.join(givers, "giver", "left").withColumn("given", F.least("h", F.coalesce("given", F.lit(0))))
+    known = stored(known, "trie-rebuilt")
+    own = turns.join(known, "conv_id").where("place >= h")
+    own = own.select("conv_id", (F.col("place") - F.col("h") + F.col("given") + 1).alias("depth"), "mark", "words")
+    heads = turns.where("place < 3 AND conv_id % 20 = 0").withColumnRenamed("conv_id", "giver")
+    taken = heads.join(known, "giver").where("place < h").select("conv_id", (F.col("place") + 1).alias("depth"), "mark", "words")
+    return own.unionByName(taken), known.select("conv_id")
+
+
+@query("op12_prefix_trie", TRIE_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All prefixes of the rebuilt conversations."""
+    rows = read(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    return prefix_trie.nodes(*rebuilt(stored(prefix_trie.turns_of(rows), "trie-placed")))
