@@ -12,9 +12,8 @@ import pandas as pd
 from pyspark import cloudpickle
 
 from lexcorpus.functions import markup
-from lexcorpus.functions.markup import (
-    legislation_text, notices, rdf_elements, read_page, search_hits,
-)
+from lexcorpus.functions.markup import read_page
+
 
 def page_batch(parts: tuple[str, ...]):
     """A reader of the named parts of pages."""
@@ -26,24 +25,6 @@ def page_batch(parts: tuple[str, ...]):
     return read
 
 
-def hit_batch(bodies: pd.Series) -> pd.DataFrame:
-    none = {"totalhits": None, "numhits": None, "results": []}
-    rows = [search_hits(b) or none for b in bodies]
-    return pd.DataFrame(rows, columns=("totalhits", "numhits", "results"))
-
-
-def notice_batch(bodies: pd.Series) -> pd.Series:
-    return bodies.map(notices)
-
-
-def rdf_batch(bodies: pd.Series) -> pd.Series:
-    return bodies.map(rdf_elements)
-
-
-def legislation_batch(bodies: pd.Series) -> pd.Series:
-    return bodies.map(legislation_text)
-
-
 def unescape_batch(texts: pd.Series) -> pd.Series:
     return texts.map(html.unescape, na_action="ignore")
 

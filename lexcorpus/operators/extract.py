@@ -1,8 +1,8 @@
 """Jobs over tables of captured payloads: pages, search results, notices, API answers.
 
-Reading markup is an Arrow step per payload (Spark has no HTML reader, and its XPath functions
-fail the job on broken XML); JSON is read by Spark. Choosing, ranking and classifying what was
-read are column expressions.
+Reading pages is an Arrow step per payload, since Spark has no HTML reader. XML is read by column
+expressions behind a check by Spark's XML reader, JSON by Spark. Choosing, ranking and classifying
+what was read are column expressions.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexcorpus import lookups as L
-from lexcorpus.functions import batches, celex, langs, markup, nation, quality
+from lexcorpus.functions import batches, celex, langs, nation, quality, xml
 from lexcorpus.functions.text import SPACE, collapse, empty, strip, text_or_empty
 from lexcorpus.functions.urls import NETLOC, PATH, SCHEME, part, step
 from lexcorpus.operators.dedup import cap_per_key, keep_first_narrow
@@ -27,23 +27,6 @@ PAGE = {
     "metas": "array<struct<name: string, property: string, content: string>>",
 }
 TITLE_PARTS = ("places", "metas")
-FIELD = (
-    "struct<name: string, langs: array<string>, values: array<string>, year: string, "
-    "month: string, day: string>"
-)
-HITS = (
-    "totalhits string, numhits string, "
-    f"results array<struct<fields: array<{FIELD}>, mentions: array<string>>>"
-)
-NOTICE = (
-    "array<struct<ids: array<string>, dates: array<string>, "
-    "titles: array<struct<text: string, lang: string>>, codes: array<string>, "
-    "states: array<string>, nims: array<struct<ident: string, uri: string>>, "
-    "cellars: array<string>>>"
-)
-RDF = "array<struct<name: string, text: string, lang: string, urls: array<string>>>"
-
-
 def _reader(batch, kind: str):
     """An Arrow reader that runs once per payload. It is marked as not deterministic, because
     Spark would otherwise run it again for the filters it derives from an explode."""
@@ -237,16 +220,43 @@ def _first(values: Column) -> Column:
     return F.get(values, F.lit(0))
 
 
+# ---- fixed values: fields of search results and notices, parts of acts that are no text --
+DATE_FIELDS = (
+    "WORK_DATE_DOCUMENT", "DATE_DOCUMENT", "DATE_PUBLICATION", "DATE_ENTRY_INTO_FORCE",
+    "RESOURCE_LEGAL_DATE_ENTRY-INTO-FORCE",
+)
+HIT_FIELDS = ("ID_CELEX", "EXPRESSION_TITLE", "WORK_TITLE", *DATE_FIELDS)
+NOTICE_TITLES = ("EXPRESSION_TITLE", "TITLE", "WORK_TITLE")
+NOTICE_LANGUAGES = ("EXPRESSION_USES_LANGUAGE", "LANGUAGE")
+SKIPPED_XML = ("Metadata", "Versions", "Contents", "Commentaries")
+
+
+def _exploded(payloads: DataFrame, keep: list[str], found: Column, index: str) -> DataFrame:
+    """A row for each element found, as ``_r``. The outer form keeps Spark from deriving a filter
+    that would read each payload twice."""
+    rows = payloads.select(*keep, F.posexplode_outer(found).alias(index, "_r"))
+    return rows.where(F.col("_r").isNotNull())
+
+
 def parse_hits(payloads: DataFrame, body: str = "body", lang: str = "EN") -> DataFrame:
     """Hits of captured search answers, one row per result; ``celex`` is null where a result
-    names no identifier."""
+    names no identifier. Answers that are no whole XML give no rows."""
     keep = [c for c in payloads.columns if c != body]
-    rows = (
-        payloads.withColumn("_h", _reader(batches.hit_batch, HITS)(body))
-        .select(*keep, F.posexplode("_h.results").alias("result_idx", "_r"))
+    answers = payloads.select(*keep, xml.first(xml.readable(F.col(body)), "searchResults").alias("_x"))
+    rows = _exploded(answers, keep, xml.elements(F.col("_x"), "result"), "result_idx")
+    first_of = lambda e, what: F.coalesce(_first(xml.texts(e, what)), empty())
+    rows = rows.withColumn(
+        "_f",
+        F.transform(
+            xml.elements(F.col("_r"), *HIT_FIELDS),
+            lambda e: F.struct(
+                xml.name_of(e).alias("name"), F.transform(xml.texts(e, "LANG"), F.lower).alias("langs"),
+                xml.texts(e, "VALUE").alias("values"), first_of(e, "YEAR").alias("year"),
+                first_of(e, "MONTH").alias("month"), first_of(e, "DAY").alias("day"),
+            ),
+        ),
     )
-    fields = F.col("_r.fields")
-    of = lambda name: F.filter(fields, lambda f: f["name"] == name)
+    of = lambda name: F.filter("_f", lambda f: f["name"] == name)
 
     def value(name):
         valued = F.filter(of(name), lambda f: F.size(f["values"]) > 0)
@@ -279,11 +289,16 @@ def parse_hits(payloads: DataFrame, body: str = "body", lang: str = "EN") -> Dat
 
     dates = [
         _first(F.filter(F.transform(of(n), date_of), lambda d: d.isNotNull()))
-        for n in markup.DATE_FIELDS
+        for n in DATE_FIELDS
     ]
-    mentioned = _first(
-        F.filter(F.transform("_r.mentions", celex.token), lambda t: t.isNotNull())
+    said = F.flatten(
+        F.transform(
+            xml.everything(F.col("_r")), lambda e: F.concat(F.array(xml.own_text(e)), xml.values(e))
+        )
     )
+    said = F.when(F.lower("_r").contains("celex"), said)
+    mentions = F.filter(said, lambda t: F.lower(t).rlike("celex:|/celex/"))
+    mentioned = _first(F.filter(F.transform(mentions, celex.token), lambda t: t.isNotNull()))
     rows = rows.select(
         *keep,
         "result_idx",
@@ -302,13 +317,93 @@ def found_hits(hits: DataFrame, job: list[str], order: str = "ord") -> DataFrame
     return keep_first_narrow(hits.where(F.col("celex").isNotNull()), [*job, "celex"], order)
 
 
+def _read_notices(rows: DataFrame) -> DataFrame:
+    """``rows`` whose ``_r`` is a notice, with what it lists as ``n``: identifiers, dates, titles,
+    languages, states and addresses."""
+    notice = F.col("_r")
+    final = lambda xs: F.coalesce(F.try_element_at(xs, F.lit(-1)), empty())
+    gathered = lambda xs, f: F.flatten(F.transform(xs, f))
+    of = lambda *names: F.filter("_e", lambda x: x["name"].isin(*names))
+
+    def listed(x):
+        """Own values of an identifier or a date; kind, identifier and address of a link."""
+        e = x["e"]
+        link = F.struct(
+            F.lower(final(xml.texts(e, "TYPE"))).alias("kind"),
+            final(xml.texts(e, "IDENTIFIER")).alias("ident"), final(xml.texts(e, "VALUE")).alias("uri"),
+        )
+        return F.struct(
+            x["name"].alias("name"),
+            F.when(x["name"] == "SAMEAS", link).alias("link"),
+            F.when(x["name"] != "SAMEAS", xml.children(e, "VALUE")).alias("values"),
+        )
+
+    def identified(x):
+        return F.when(
+            x["name"] == "SAMEAS",
+            F.when((x["link"]["kind"] == "celex") & (x["link"]["ident"] != ""), F.array(x["link"]["ident"])).otherwise(
+                F.array().cast("array<string>")
+            ),
+        ).otherwise(x["values"])
+
+    def lang_of(tag, default):
+        named = (xml.attribute(tag, "xml:lang"), xml.attribute(tag, "lang"))
+        spoken = F.lower(F.coalesce(*[F.nullif(x, empty()) for x in named], default))
+        return F.when(F.contains(tag, F.lit("lang")), spoken).otherwise(default)
+
+    def titles(x):
+        e = x["e"]
+
+        def valued(v):
+            return F.struct(xml.own_text(v).alias("text"), lang_of(v, lang_of(e, empty())).alias("lang"))
+
+        itself = F.struct(xml.own_text(e).alias("text"), lang_of(e, empty()).alias("lang"))
+        inside = F.transform(xml.tagged(e, "VALUE"), valued)
+        said = xml.once(inside, lambda xs: F.when(F.size(xs) > 0, xs).otherwise(F.array(itself)))
+        return F.filter(said, lambda t: t["text"] != "")
+
+    def codes(e):
+        named = F.filter(xml.texts(e, "VALUE"), lambda v: F.contains(F.lower(v), F.lit("authority/language")))
+        return F.concat(named, xml.texts(e, "OP-CODE"), xml.texts(e, "IDENTIFIER"), F.array(xml.own_text(e)))
+
+    def address(e):
+        kind, value = final(xml.children(e, "TYPE")), final(xml.children(e, "VALUE"))
+        found = F.filter(F.array(value), lambda v: (F.lower(kind) == "cellar") & (v != ""))
+        return F.when(F.contains(F.lower(e), F.lit("cellar")), found).otherwise(F.array().cast("array<string>"))
+
+    own = ("ID_CELEX", "SAMEAS", "WORK_DATE_DOCUMENT", "DATE_DOCUMENT")
+    named = F.transform(
+        xml.elements(notice, *own, *NOTICE_TITLES, "WORK_CREATED_BY_AGENT"),
+        lambda e: F.struct(xml.name_of(e).alias("name"), e.alias("e")),
+    )
+    rows = rows.withColumn("_e", named).withColumn("_l", F.transform(of(*own), listed))
+    dated = F.filter("_l", lambda x: x["name"].isin("WORK_DATE_DOCUMENT", "DATE_DOCUMENT"))
+    nims = F.filter("_l", lambda x: (x["link"]["kind"] == "nim") & (x["link"]["ident"] != ""))
+    return rows.withColumn(
+        "n",
+        F.struct(
+            gathered(F.filter("_l", lambda x: x["name"].isin("ID_CELEX", "SAMEAS")), identified).alias("ids"),
+            gathered(dated, lambda x: x["values"]).alias("dates"),
+            gathered(of(*NOTICE_TITLES), titles).alias("titles"),
+            # these may stand inside others
+            F.concat(*[gathered(xml.elements(notice, name), codes) for name in NOTICE_LANGUAGES]).alias("codes"),
+            gathered(of("WORK_CREATED_BY_AGENT"), lambda x: F.transform(xml.texts(x["e"], "IDENTIFIER"), F.upper)).alias("states"),
+            F.transform(nims, lambda x: F.struct(x["link"]["ident"].alias("ident"), x["link"]["uri"].alias("uri"))).alias("nims"),
+            gathered(xml.elements(notice, "URI"), address).alias("cellars"),
+        ),
+    )
+
+
 def parse_notices(payloads: DataFrame, body: str = "body", act: str = "act_celex") -> DataFrame:
-    """National measures listed in captured notices of an act, one row per notice."""
+    """National measures listed in captured notices of an act, one row per notice. Answers that are
+    no whole XML give no rows."""
     keep = [c for c in payloads.columns if c not in (body, act)]
-    rows = payloads.withColumn("act_celex", F.coalesce(celex.legal_act(F.col(act)), empty()))
-    rows = rows.select(
-        *keep, "act_celex", F.posexplode(_reader(batches.notice_batch, NOTICE)(body)).alias("notice_idx", "n")
+    rows = payloads.select(
+        *keep, F.coalesce(celex.legal_act(F.col(act)), empty()).alias("act_celex"),
+        xml.readable(F.col(body)).alias("_x"),
     )
+    rows = _exploded(rows, [*keep, "act_celex"], xml.elements(F.col("_x"), "NOTICE"), "notice_idx")
+    rows = _read_notices(rows)
     ids = F.transform("n.ids", lambda x: F.upper(strip(x)))
     prefix = F.concat(F.lit("7"), F.expr("substring(act_celex, 2)"))
     own = F.filter(ids, lambda x: (F.col("act_celex") != "") & F.startswith(x, prefix))
@@ -356,9 +451,21 @@ def measures_of_acts(measures: DataFrame, order: str = "ord") -> DataFrame:
 
 
 def read_rdf(payloads: DataFrame, body: str = "body") -> DataFrame:
-    """Title, languages and classified links of captured metadata records."""
+    """Title, languages and classified links of captured metadata records; none of those that are
+    no whole XML."""
     keep = [c for c in payloads.columns if c != body]
-    df = payloads.withColumn("_e", _reader(batches.rdf_batch, RDF)(body))
+
+    def element(e):
+        said = xml.own_text(e)
+        web = lambda t: F.startswith(t, F.lit("http://")) | F.startswith(t, F.lit("https://"))
+        urls = F.array_distinct(F.filter(F.concat(F.array(said), xml.values(e)), web))
+        urls = F.when(F.contains(e, F.lit("http")), urls).otherwise(F.array().cast("array<string>"))
+        return F.struct(
+            xml.name_of(e).alias("name"), said.alias("text"), xml.attribute(e, "xml:lang").alias("lang"), urls.alias("urls")
+        )
+
+    read = F.transform(xml.everything(F.coalesce(xml.readable(F.col(body)), empty())), element)
+    df = payloads.withColumn("_e", read)
     title = _first(
         F.filter("_e", lambda e: e["name"].isin("title", "work_title") & (e["text"] != ""))
     )
@@ -391,7 +498,10 @@ def read_rdf(payloads: DataFrame, body: str = "body") -> DataFrame:
 
 
 def legislation_texts(payloads: DataFrame, body: str = "body", out: str = "text") -> DataFrame:
-    return payloads.withColumn(out, _reader(batches.legislation_batch, "string")(body)).drop(body)
+    """Text of captured acts outside metadata, contents, versions and commentaries; empty where an
+    act is no whole XML."""
+    shown = xml.visible(xml.readable(F.col(body)), SKIPPED_XML)
+    return payloads.withColumn(out, F.coalesce(shown, empty())).drop(body)
 
 
 # ---- API answers -----------------------------------------------------------------------

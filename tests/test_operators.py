@@ -213,10 +213,10 @@ def test_page_reader():
     assert read["metas"] == [{"name": "DC.title", "property": "", "content": "meta"}]
 
 
-def test_legislation_text():
+def test_legislation_text(spark):
     xml = "<L xmlns='u'><Metadata>m<a>n</a></Metadata>t<Body><P>one</P> two<Contents>c</Contents>three</Body></L>"
-    assert markup.legislation_text(xml) == "t one two three"
-    assert markup.legislation_text("<broken") == ""
+    df = spark.createDataFrame([(1, xml), (2, "<broken"), (3, None)], "ord long, body string")
+    assert {r["ord"]: r["text"] for r in extract.legislation_texts(df).collect()} == {1: "t one two three", 2: "", 3: ""}
 
 
 def test_download_ranking(spark):
