@@ -9,7 +9,7 @@ from lexcorpus.catalog import rules as R
 from lexcorpus.catalog.inputs import act, load, run
 from lexcorpus.catalog.registry import query
 from lexcorpus.functions import dates, text, urls
-from lexcorpus.operators import dedup, matching, records
+from lexcorpus.operators import dedup, matching, records, terms
 from lexcorpus.session import new_path
 from lexcorpus.sources import records as sources
 
@@ -333,6 +333,30 @@ def match_terms(spark, sf):
     return matching.match_terms(load(spark, sf, "docs"), TERMS).select("ord", "term")
 
 
+INVENTORY = """
+SELECT doc_id AS ord, CASE WHEN length(term) % 5 = 0 THEN NULL ELSE lang END AS lang, term FROM (
+  SELECT doc_id, lang, trim(concat(split_part(text, ' ', 2), ' ', split_part(text, ' ', 3))) AS term FROM [[documents]]) t
+"""
+
+
+@query(
+    "match_terms_by_language",
+    f"""
+WITH t AS (SELECT lang, term, lower(term) AS low, min(ord) AS term_ord FROM ({INVENTORY}) i
+  WHERE {R.strip('term')} <> '' GROUP BY lang, term),
+d AS (SELECT doc_id AS ord, lang, lower(coalesce(text, '')) AS x FROM documents),
+m AS (SELECT d.ord, t.term, t.lang AS term_lang, t.term_ord FROM d JOIN t
+  ON (t.lang IS NULL OR t.lang = d.lang) AND contains(d.x, t.low))
+SELECT * FROM m UNION ALL SELECT ord, '', NULL, NULL FROM d WHERE ord NOT IN (SELECT ord FROM m)
+""",
+)
+def match_terms_by_language(spark, sf):
+    """An inventory with a term from each document, sought in all documents of its language."""
+    docs = load(spark, sf, "documents").withColumnRenamed("doc_id", "ord")
+    index = terms.term_index(run(spark, sf, INVENTORY), docs, None, "text")
+    return terms.term_rows(docs, index, ["ord"], title=None, body="text", lang="lang")
+
+
 WORDS = """
 SELECT doc_id AS ord, lower(text) AS term FROM [[documents]]
 """
