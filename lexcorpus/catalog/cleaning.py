@@ -344,7 +344,7 @@ SELECT doc_id AS ord, CASE WHEN length(term) % 5 = 0 THEN NULL ELSE lang END AS
     f"""
 WITH t AS (SELECT lang, term, lower(term) AS low, min(ord) AS term_ord FROM ({INVENTORY}) i
   WHERE {R.strip('term')} <> '' GROUP BY lang, term),
-d AS (SELECT doc_id AS ord, lang, lower(coalesce(text, '')) AS x FROM documents),
+d AS (SELECT ord, lower({R.strip('language')}) AS lang, lower(coalesce(title, '') || ' ' || coalesce(full_text, '')) AS x FROM [[docs]]),
 m AS (SELECT d.ord, t.term, t.lang AS term_lang, t.term_ord FROM d JOIN t
   ON (t.lang IS NULL OR t.lang = d.lang) AND contains(d.x, t.low))
 SELECT * FROM m UNION ALL SELECT ord, '', NULL, NULL FROM d WHERE ord NOT IN (SELECT ord FROM m)
@@ -352,9 +352,8 @@ SELECT * FROM m UNION ALL SELECT ord, '', NULL, NULL FROM d WHERE ord NOT IN (SE
 )
 def match_terms_by_language(spark, sf):
     """An inventory with a term from each document, sought in all documents of its language."""
-    docs = load(spark, sf, "documents").withColumnRenamed("doc_id", "ord")
-    index = terms.term_index(run(spark, sf, INVENTORY), docs, None, "text")
-    return terms.term_rows(docs, index, ["ord"], title=None, body="text", lang="lang")
+    docs = load(spark, sf, "docs")
+    return terms.term_rows(docs, terms.term_index(run(spark, sf, INVENTORY), docs), ["ord"], lang="language")
 
 
 WORDS = """

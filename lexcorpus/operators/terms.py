@@ -1,9 +1,10 @@
 """Finding the terms of an inventory, in many languages, in whole texts.
 
-An inventory is a table of any length. Each term is filed under one of its stretches of four
-characters, the one that is rarest in texts; a text is looked up by its distinct stretches, and a
-term that shares one is then sought in the text itself. So a text is compared with the few terms it
-may hold, not with the whole inventory, and nothing grows with texts times terms.
+An inventory is a table of any length. Each term is filed under one of its stretches of eight
+characters, or four if it is shorter, the one that is rarest in texts; a text is looked up by its
+distinct stretches, and a term that shares one is then sought in the text itself. So a text is
+compared with the few terms it may hold, not with the whole inventory, and nothing grows with texts
+times terms.
 """
 
 from __future__ import annotations
@@ -16,9 +17,9 @@ from pyspark.sql import functions as F
 from lexcorpus.functions.text import strip
 from lexcorpus.session import written
 
-GRAM = 4  # characters of a stretch; shorter terms are filed whole
+LONG, SHORT = 8, 4  # characters of a stretch; terms shorter than both are filed whole
 SENT = 32 << 20  # bytes of an index that is sent to every task; a larger one is joined
-PROBED = 1000  # texts that tell which stretches are common
+PROBED = 200  # texts that tell which stretches are common
 
 
 class TermIndex(NamedTuple):
@@ -55,12 +56,14 @@ def term_index(
     listed = terms.where(strip(F.col("term")) != "").groupBy(_language(F.col("lang")).alias("lang"), "term").agg(
         F.min("ord").alias("term_ord")
     )
-    listed = listed.withColumn("low", F.lower("term")).withColumn("n", F.least(F.lit(GRAM), F.char_length("low")))
+    size = F.char_length("low")
+    n = F.when(size >= LONG, F.lit(LONG)).otherwise(F.least(F.lit(SHORT), size))
+    listed = listed.withColumn("low", F.lower("term")).withColumn("n", n)
     places = F.sequence(F.lit(1), F.char_length("low") - F.col("n") + 1)
     cut = F.transform(places, lambda i: F.substring(F.col("low"), i, F.col("n")))
     filed = listed.withColumn("anchor", F.explode(F.array_distinct(cut)))
     if docs is not None:
-        probe = docs.limit(PROBED).select(F.explode(_stretches(_text(title, body), [GRAM])).alias("anchor"))
+        probe = docs.limit(PROBED).select(F.explode(_stretches(_text(title, body), [SHORT, LONG])).alias("anchor"))
         filed = filed.join(probe.groupBy("anchor").agg(F.count(F.lit(1)).alias("seen")), "anchor", "left")
     else:
         filed = filed.withColumn("seen", F.lit(0))

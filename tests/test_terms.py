@@ -49,7 +49,7 @@ def test_terms_equal_brute_force(spark, sent, by_language):
     docs, listed = texts(1, 60), inventory(2, 80)
     df = spark.createDataFrame(docs, DOCS)
     index = terms.term_index(spark.createDataFrame(listed, "ord long, lang string, term string"), df)
-    assert index.lengths == [1, 2, 3, 4]
+    assert index.lengths == [1, 2, 3, 4, 8]
     got = terms.term_rows(df, index, ["ord", "lang"], lang="lang" if by_language else None, sent=sent)
     assert got.columns == ["ord", "lang", "term", "term_lang", "term_ord"]
     assert rows_of(got) == brute(docs, listed, by_language)
@@ -73,6 +73,6 @@ def test_small_index_moves_no_text(spark):
 
 
 def test_rare_stretches_are_anchors(spark):
-    df = spark.createDataFrame([(1, "", "abcd " * 9 + "wxyz", "en")], DOCS)
-    index = terms.term_index(spark.createDataFrame([(1, "en", "abcdwxyz"), (2, "en", "abcd")], "ord long, lang string, term string"), df)
-    assert {r["term"]: r["anchor"] for r in index.anchors.collect()} == {"abcdwxyz": "bcdw", "abcd": "abcd"}
+    df = spark.createDataFrame([(1, "", "abcd efgh " * 9 + "wxyz", "en")], DOCS)
+    index = terms.term_index(spark.createDataFrame([(1, "en", "abcd efgh wxyz"), (2, "en", "abcd")], "ord long, lang string, term string"), df)
+    assert {r["term"]: r["anchor"] for r in index.anchors.collect()} == {"abcd efgh wxyz": " efgh wx", "abcd": "abcd"}
