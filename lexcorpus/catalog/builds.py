@@ -11,8 +11,8 @@ from lexcorpus.catalog import rules as R
 from lexcorpus.catalog.cleaning import QUERY_SQL, QUERY_TERMS
 from lexcorpus.catalog.foreign import EDGE, PREPARED, cleaned_title, keyed, title_year
 from lexcorpus.catalog.identifiers import EU_DOCS, TEXTS
-from lexcorpus.catalog.inputs import load, run, stored
-from lexcorpus.catalog.measures import MEASURE_TEXTS, enriched
+from lexcorpus.catalog.inputs import bucketed, load, run, stored
+from lexcorpus.catalog.measures import MEASURE_TEXTS, enriched, measure_texts
 from lexcorpus.catalog.registry import query
 from lexcorpus.catalog.retrieval import STATE, _files
 from lexcorpus.functions import nation
@@ -39,7 +39,9 @@ eu AS (SELECT 'eu-eurlex:EU:' || k.celex_full AS document_id, 'eu-eurlex' AS sou
 
 
 def _eu(spark, sf):
-    return build.eu_documents(load(spark, sf, "hits"), run(spark, sf, TEXTS))
+    keys = ["celex_full", "celex", "celex_version"]
+    texts = bucketed(spark, sf, "eu_texts", keys, lambda: run(spark, sf, TEXTS))
+    return build.eu_documents(load(spark, sf, "hits"), texts)
 
 
 @query("eu_build", f"WITH {EU} SELECT * FROM eu")
@@ -85,7 +87,7 @@ SELECT * EXCLUDE (ord, celex, rn) FROM (SELECT *, row_number() OVER (PARTITION B
 )
 def nim_build(spark, sf):
     docs = build.nim_documents(
-        _eu(spark, sf), load(spark, sf, "measures"), run(spark, sf, MEASURE_TEXTS)
+        _eu(spark, sf), load(spark, sf, "measures"), measure_texts(spark, sf), keyed=True
     )
     return docs.select(
         "document_id", "source_document_id", "title", "summary", "language", "jurisdiction",
@@ -108,7 +110,7 @@ def _captured(spark, sf):
 
 
 def _texts(spark, sf):
-    return spark.read.parquet(stored(spark, sf, "captured", lambda: _captured(spark, sf)))
+    return bucketed(spark, sf, "captured", ["doc_key"], lambda: _captured(spark, sf))
 
 
 TEXT2 = "'Text  of ' || k1 || ' from 1999'"

@@ -6,11 +6,12 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
 from lexcorpus.session import new_path
+from lexcorpus.sinks.texts import store_texts
 
 TABLES = frozenset(
     "region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -260,6 +261,17 @@ def stored(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], Data
     return _written[key]
 
 
+_bucketed: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def bucketed(spark: SparkSession, sf_dir: str, name: str, keys: Sequence[str], build: Callable[[], DataFrame]) -> DataFrame:
+    """Captured texts built by ``build``, stored once per application in buckets by ``keys``."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _bucketed:
+        _bucketed[key] = store_texts(build(), keys)
+    return _bucketed[key]
+
+
 def _path(spark: SparkSession, sf_dir: str, name: str) -> str:
     return stored(spark, sf_dir, name, lambda: _sql(spark, sf_dir, INPUTS[name]))
 

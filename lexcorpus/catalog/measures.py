@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from lexcorpus import lookups as L
 from lexcorpus.catalog import rules as R
-from lexcorpus.catalog.inputs import act, load, pick, run
+from lexcorpus.catalog.inputs import act, bucketed, load, pick, run
 from lexcorpus.catalog.registry import query
 from lexcorpus.functions import langs
 from lexcorpus.operators import cache, dedup, nim, reports
@@ -373,6 +373,12 @@ FROM (SELECT min(ord) AS ord, celex, nim_celex, national_measure_id FROM [[measu
 """
 
 
+def measure_texts(spark, sf):
+    """Captured measure texts with their merge keys, in buckets by them."""
+    keyed = lambda: nim.with_merge_keys(run(spark, sf, MEASURE_TEXTS))
+    return bucketed(spark, sf, "measure_texts", nim.MERGE_KEYS, keyed)
+
+
 @query(
     "nim_join_fulltext",
     f"""
@@ -387,7 +393,7 @@ FROM [[measures]] m LEFT JOIN ({MEASURE_TEXTS}) t USING (celex, nim_celex, natio
 """,
 )
 def nim_join_fulltext(spark, sf):
-    joined = nim.join_fulltext(load(spark, sf, "measures"), run(spark, sf, MEASURE_TEXTS))
+    joined = nim.join_fulltext(load(spark, sf, "measures"), measure_texts(spark, sf), keyed=True)
     return nim.to_records(joined, "nim").select(
         "ord", "document_id", "title", "summary", "language", "jurisdiction", "download_url",
         "full_text",

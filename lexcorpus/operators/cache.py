@@ -164,14 +164,16 @@ def resumed(docs: DataFrame, states: DataFrame, texts: DataFrame) -> DataFrame:
         *KEYS, F.col("lang").alias("_lang"), "retrieval_status", "retrieval_error", "source_url",
         "text_path",
     )
-    body = texts.select("text_path", cached_text(F.col("text")).alias("full_text_clean"))
     docs = schemas.with_missing(docs, ("title", "url", "lang"))
     docs = schemas.with_missing(docs, ("query_langs",), kind="array<string>")
     full = F.col("celex_full")
     docs = docs.withColumns(
         {"celex": celex.split_base(full), "celex_version": celex.split_version(full)}
     )
-    df = docs.join(got, KEYS).join(body, "text_path").where(strip(F.col("full_text_clean")) != "")
+    # only the texts of these documents are cleaned, after the join
+    df = docs.join(got, KEYS).join(texts.select("text_path", F.col("text").alias("_text")), "text_path")
+    df = df.withColumn("full_text_clean", cached_text(F.col("_text"))).drop("_text")
+    df = df.where(strip(F.col("full_text_clean")) != "")
     lang = F.coalesce(
         F.nullif(strip(F.col("_lang")), empty()),
         F.get(langs.doc_candidates(F.col("query_langs"), F.col("lang")), F.lit(0)),

@@ -184,16 +184,26 @@ def fill_from_page(measures: DataFrame, pages: DataFrame) -> DataFrame:
     return out.drop("_p_page_title", "_p_page_title_lang", "_p_page_langs")
 
 
-def join_fulltext(measures: DataFrame, texts: DataFrame) -> DataFrame:
+MERGE_KEYS = ("celex", "nim_celex", "national_measure_id")
+
+
+def join_fulltext(measures: DataFrame, texts: DataFrame, keyed: bool = False) -> DataFrame:
     """Left join of measure texts on act, measure identifier and measure number; where both
-    tables have a column the text table's value wins if it is present."""
-    keys = ["celex", "nim_celex", "national_measure_id"]
-    left, right = with_merge_keys(measures), with_merge_keys(texts)
+    tables have a column the text table's value wins if it is present. Rows whose keys are all blank
+    match nothing. ``keyed`` texts come from ``with_merge_keys`` and stay in the buckets they are in."""
+    left, right = with_merge_keys(measures), texts if keyed else with_merge_keys(texts)
     kinds = dict(right.dtypes)
-    cols = [c for c in right.columns if c not in keys and c != "ord"]
+    cols = [c for c in right.columns if c not in MERGE_KEYS and c != "ord"]
+    # blank measures get a key of their own each: no text has it, and no task gets them all
+    alone = F.concat(F.lit("\0"), F.xxhash64(*left.columns).cast("string"))
+    left = left.withColumn("_act", F.when(F.concat(*MERGE_KEYS) == "", alone).otherwise(F.col("celex")))
     joined = left.join(
-        right.select(*keys, *[F.col(c).alias(f"_t_{c}") for c in cols]), keys, "left"
-    )
+        right.select(
+            F.col("celex").alias("_act"), *MERGE_KEYS[1:], *[F.col(c).alias(f"_t_{c}") for c in cols]
+        ),
+        ["_act", *MERGE_KEYS[1:]],
+        "left",
+    ).drop("_act")
     present = lambda c: (
         F.when(strip(F.col(f"_t_{c}")) != "", F.col(f"_t_{c}"))
         if kinds[c] == "string" else F.col(f"_t_{c}")

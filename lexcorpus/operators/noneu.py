@@ -118,9 +118,22 @@ def one_row_per_doc(hits: DataFrame) -> DataFrame:
     return urls.with_canonical(flat, "url", "url")
 
 
-def fulltext_docs(docs: DataFrame, texts: DataFrame) -> DataFrame:
+KEYED_BY = ("source", "jurisdiction", "url", "doc_url", "api_self", "title", "api_id", "document_id")
+
+
+def with_terms(docs: DataFrame, found: DataFrame, out: str) -> DataFrame:
+    """Documents with the matched terms of ``found`` (``docs_from_hits``), joined before any text is,
+    by the id that ``fulltext_docs`` gives them. A document found in two jurisdictions has two term
+    rows and so comes twice, as its hits did."""
+    df = schemas.with_missing(docs, KEYED_BY, "").withColumn("_any", any_url())
+    df = nation.with_document_key(df.drop("celex"), "_any", "_id").drop("_any")
+    terms = found.select(F.col("doc_id").alias("_id"), F.col("matched_terms").alias(out))
+    return df.join(terms, "_id", "left").drop("_id")
+
+
+def fulltext_docs(docs: DataFrame, texts: DataFrame, also: tuple[str, ...] = ()) -> DataFrame:
     """Documents with their captured texts (``doc_key, full_text, full_text_error,
-    full_text_url, full_text_format``) in the fixed column order."""
+    full_text_url, full_text_format``) in the fixed column order, and the columns ``also``."""
     df = docs.join(texts, "doc_key", "left").withColumn(
         "full_text_clean", F.coalesce("full_text", empty())
     )
@@ -137,13 +150,7 @@ def fulltext_docs(docs: DataFrame, texts: DataFrame) -> DataFrame:
             "url": F.coalesce("url", "doc_url", empty()),
         }
     )
-    return schemas.with_missing(df, FULLTEXT_ROW, "").select("ord", *FULLTEXT_ROW)
-
-
-def attach_terms(texts: DataFrame, docs: DataFrame) -> DataFrame:
-    """Left join of matched terms by document. A document found in two jurisdictions has two
-    term rows and so comes twice, as its hits did."""
-    return texts.join(docs.select("doc_id", "matched_terms"), "doc_id", "left")
+    return schemas.with_missing(df, FULLTEXT_ROW, "").select("ord", *FULLTEXT_ROW, *also)
 
 
 def to_records(rows: DataFrame, source_name: str) -> DataFrame:

@@ -33,7 +33,8 @@ def eu_documents(
     mode: str = "supported_only",
     search_lang: str = "en",
 ) -> DataFrame:
-    """EU documents from search hits and captured full texts."""
+    """EU documents from search hits and captured full texts; texts bucketed by identifier, base and
+    version stay where they are."""
     docs = eu.filter_types(eu.docs_from_hits(hits), mode)
     rows = eu.to_records(eu.join_fulltext(docs, texts), source_name, search_lang)
     return records.normalize(rows, source_name, "eurlex")
@@ -55,10 +56,11 @@ def nim_documents(
     log: DataFrame | None = None,
     source_name: str = "eu-nim",
     max_rows: int | None = None,
+    keyed: bool = False,
 ) -> DataFrame:
     """National measures of the eligible acts among EU documents, as cleaned documents. ``texts``
-    has one row per measure; without it the documents have no full text. ``max_rows`` caps the
-    measures per act."""
+    has one row per measure; without it the documents have no full text. ``keyed`` texts have the
+    merge keys already, so buckets by them are used. ``max_rows`` caps the measures per act."""
     # one short column is stored, so that the documents' own plan ends here
     seeds = nim.seeds(written(nim.seed_references(docs))).select("celex")
     found = nim.with_merge_keys(measures).join(seeds, "celex", "left_semi")
@@ -73,17 +75,20 @@ def nim_documents(
     found = found.withColumns({"number": number, "place": F.struct("celex", "ord")})
     found = dedup.keep_first_narrow(found, ["member_state_iso3", "number"], "place")
     found = found.drop("number", "place")
-    rows = found if texts is None else nim.join_fulltext(found, texts)
+    rows = found if texts is None else nim.join_fulltext(found, texts, keyed)
     rows = nim.to_records(rows, source_name)
     return records.clean(records.normalize(rows, source_name, "eurlex-nim"))
 
 
 def non_eu_rows(hits: DataFrame, texts: DataFrame) -> DataFrame:
-    """Harmonized rows of one or more countries from search hits and captured texts."""
+    """Harmonized rows of one or more countries from search hits and captured texts. All else is
+    joined first, so a text is moved once at most, and not at all if ``texts`` is bucketed by
+    ``doc_key``."""
     # hits are short rows that are read three ways from here on: they are stored once
     kept = written(noneu.distinct_hits(noneu.prepare_hits(hits)))
-    full = noneu.fulltext_docs(noneu.one_row_per_doc(kept), texts)
-    return harmonize.harmonize(noneu.attach_terms(full, noneu.docs_from_hits(kept)))
+    docs = noneu.with_terms(noneu.one_row_per_doc(kept), noneu.docs_from_hits(kept), "_terms")
+    full = noneu.fulltext_docs(docs, texts, ("_terms",))
+    return harmonize.harmonize(full.withColumnRenamed("_terms", "matched_terms"))
 
 
 def non_eu_documents(hits: DataFrame, texts: DataFrame, source_name: str) -> DataFrame:
