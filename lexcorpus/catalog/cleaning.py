@@ -218,6 +218,25 @@ def normalize_docs(spark, sf):
     )
 
 
+RAW_RECORDS = """
+SELECT ord, concat('{"query_text": "q", "id" : ', cast(ord AS string), ', "source": " ', source_name, ' ", "blank": " ', chr(160), '", "none": null, "tags": [" ", "a ", null, ["", []]], ',
+  '"parts": [{"name": "', md5(summary), '", "note": ""}, {"note": null}, 1.5, true, "null"], "inner": {"deep": {"blank": "", "kept": "x: ', chr(92), '"null', chr(92), '", "}}, "date": "2020"}') AS raw FROM [[docs]]
+"""
+
+
+@query(
+    "slim_raw_json",
+    """
+SELECT ord, '{"id":' || cast(ord AS varchar) || ',"source":"' || trim(source_name) || '","tags":["a",[[]]],"parts":[{"name":"' || md5(summary)
+  || '"},{},1.5,true,"null"],"inner":{"deep":{"kept":"x: \\"null\\","}}}' AS raw FROM [[docs]]
+""",
+)
+def slim_raw_json(spark, sf):
+    """Raw records of unknown shape without blanks at any depth and without two of their fields."""
+    slim = records.slim_json(F.col("raw"), drop=("query_text", "date"))
+    return run(spark, sf, RAW_RECORDS).select("ord", slim.alias("raw"))
+
+
 SLIM = """
 SELECT ord, title, source_name, summary, publication_date,
   array('a ', ' ', source_name) AS tags FROM [[docs]]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -81,30 +83,58 @@ def normalize(df: DataFrame, source_name: str, adapter: str) -> DataFrame:
     return schemas.as_documents(out)
 
 
-def blank_fields_to_null(record: Column, schema) -> Column:
-    """A struct of texts and text lists without blank texts; empty lists stay."""
-    fields = []
-    for field in schema:
-        value = record[field.name]
-        kind = field.dataType.simpleString()
-        if kind == "string":
-            value = text.blank_to_null(value)
-        elif kind == "array<string>":
-            value = F.filter(
-                F.transform(value, lambda v: text.blank_to_null(v)), lambda v: v.isNotNull()
-            )
-        elif kind.startswith("struct"):
-            value = blank_fields_to_null(value, field.dataType)
-        fields.append(value.alias(field.name))
-    return F.when(record.isNotNull(), F.struct(*fields))
+_STRINGS = r'"(?:[^"\\]++|\\.)*+"|[^"]++'
+
+
+def slim_json(raw: Column, drop: Sequence[str] = ()) -> Column:
+    """A raw record of any shape, given as JSON, without blank texts and nulls at any depth and
+    without the top-level fields of ``drop``. Texts lose white space at their ends; emptied lists and
+    objects stay. Null where the text is no JSON object.
+
+    The JSON is cut at its strings. Values are stripped, and all strings are spelled in hexadecimal
+    for a while, so that what is between them can be edited as text."""
+    framed = raw.rlike(r"^\s*\{") & raw.rlike(r"\}\s*$")
+    whole = F.when(framed & F.try_parse_json(raw).isNotNull(), raw)
+    if drop:
+        fields = F.from_json(whole, "map<string, variant>")
+        whole = F.to_json(F.map_filter(fields, lambda k, v: ~k.isin(*drop)))
+    tokens = F.regexp_extract_all(whole, F.lit(_STRINGS), F.lit(0))
+    inside = lambda t: F.substring(t, F.lit(2), F.length(t) - 2)
+    hidden = lambda x: F.concat(F.lit('"'), F.hex(F.encode(x, "UTF-8")), F.lit('"'))
+    is_string = lambda t: F.startswith(t, F.lit('"'))
+
+    def value(t: Column) -> Column:
+        said = text.strip(F.get(F.from_json(F.concat(F.lit("["), t, F.lit("]")), "array<string>"), F.lit(0)))
+        listed = F.transform(F.array(said), lambda v: F.struct(v.alias("v"), F.to_json(F.array(v)).alias("j")))
+        spelled = F.transform(
+            listed,
+            lambda x: F.when(x["v"] == "", F.lit("null")).otherwise(
+                hidden(F.substring(x["j"], F.lit(3), F.length(x["j"]) - 4))
+            ),
+        )
+        return F.get(spelled, F.lit(0))
+
+    paired = F.arrays_zip(tokens.alias("t"), F.slice(tokens, F.lit(2), F.greatest(F.size(tokens), F.lit(0))).alias("then"))
+    marked = F.transform(
+        paired,
+        lambda x: F.when(~is_string(x["t"]), F.regexp_replace(x["t"], r"\s+", ""))
+        .when(F.startswith(F.ltrim(F.coalesce(x["then"], F.lit(""))), F.lit(":")), hidden(inside(x["t"])))
+        .otherwise(value(x["t"])),
+    )
+    bare = F.regexp_replace(F.array_join(marked, ""), '"[0-9A-F]*":null,?', "")
+    bare = F.regexp_replace(F.regexp_replace(bare, r"(?<=[\[,])null,?", ""), r",(?=[}\]])", "")
+    shown = F.transform(
+        F.regexp_extract_all(bare, F.lit(_STRINGS), F.lit(0)),
+        lambda t: F.when(
+            is_string(t), F.concat(F.lit('"'), F.decode(F.unhex(inside(t)), "UTF-8"), F.lit('"'))
+        ).otherwise(t),
+    )
+    return F.array_join(shown, "")
 
 
 def slim_record(df: DataFrame, columns, drop=()) -> Column:
-    """JSON of the raw columns without blanks, nulls and the columns of ``drop``."""
-    kinds = {f.name: f for f in df.schema}
-    fields = [kinds[c] for c in columns if c not in drop]
-    record = F.struct(*[F.col(f.name) for f in fields])
-    return F.to_json(blank_fields_to_null(record, fields))
+    """JSON of the raw columns, of any kind, without blanks, nulls and the columns of ``drop``."""
+    return slim_json(F.to_json(F.struct(*[F.col(c) for c in columns if c not in drop])))
 
 
 def _kept(original: Column, cleaned: Column) -> Column:
