@@ -75,6 +75,23 @@ def country_act_matrix(spark, sf):
     return nim.country_act_matrix(load(spark, sf, "measures"))
 
 
+@query(
+    "country_act_table",
+    f"""
+WITH {ACT_SUMMARY}, {TOP},
+c AS (SELECT member_state_name AS member_state, celex, count(DISTINCT national_measure_id) AS measures
+  FROM (SELECT celex, member_state_name, national_measure_id FROM [[measures]]) m JOIN t USING (celex)
+  WHERE member_state_name IN (SELECT * FROM (VALUES {STATES}) s) GROUP BY ALL),
+p AS (SELECT celex, row_number() OVER (ORDER BY sum(measures) DESC, celex) AS place FROM c GROUP BY celex)
+SELECT member_state, {", ".join(f"cast(coalesce(sum(measures) FILTER (WHERE place = {i}), 0) AS bigint) AS act_{i}" for i in range(1, 11))}
+FROM c JOIN p USING (celex) GROUP BY member_state HAVING sum(measures) > 0
+""",
+)
+def country_act_table(spark, sf):
+    """The matrix of member states and top acts with a column for each act."""
+    return nim.country_act_table(load(spark, sf, "measures"), named=False)
+
+
 @query(
     "top_acts",
     f"""WITH {ACT_SUMMARY}, {TOP}

@@ -336,6 +336,21 @@ def country_act_matrix(measures: DataFrame, k: int = 10) -> DataFrame:
     return cells.join(F.broadcast(totals.select("celex", place.alias("act_place"))), "celex")
 
 
+def country_act_table(measures: DataFrame, k: int = 10, named: bool = True) -> DataFrame:
+    """The matrix itself: a row for each member state with any measure of the top acts, a column for
+    each of them, most measures first, 0 where there is none. Columns have the acts' titles, with
+    the identifier where two share one; without ``named`` they are act_1 to act_k."""
+    cells = country_act_matrix(measures, k)
+    acts = cells.select("act_place", "celex", "act_display").distinct().orderBy("act_place").collect()  # k rows
+    shown = [a["act_display"] for a in acts]
+    titles = [t if shown.count(t) == 1 else f"{t} ({a['celex']})" for t, a in zip(shown, acts, strict=True)]
+    places = [a["act_place"] for a in acts] if named else list(range(1, k + 1))
+    table = cells.groupBy("member_state").pivot("act_place", places).agg(F.sum("measures"))
+    names = titles if named else [f"act_{i}" for i in places]
+    zero = lambda i: F.coalesce(F.col(f"`{i}`"), F.lit(0))
+    return table.select("member_state", *[zero(i).alias(n) for i, n in zip(places, names, strict=True)])
+
+
 def country_counts(measures: DataFrame) -> DataFrame:
     """Measures per act and member state, missing states included."""
     return measures.groupBy("celex", F.col("member_state_name").alias("member_state")).agg(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from lexcorpus import __version__
@@ -136,12 +136,23 @@ def record_build(
     return dedup.keep_first_merged(merged, list(dedup_fields), "place").drop("place")
 
 
-def store_parts(parts: dict[str, DataFrame], folder: str) -> dict[str, DataFrame]:
-    """Clean the documents of each jurisdiction and store them; returns the stored tables."""
+def observed(docs: DataFrame) -> tuple[DataFrame, Observation]:
+    """``docs`` whose documents (``n``) and documents with text (``t``) are counted by the job that
+    writes them. Spark counts each written part once, also where a task runs again."""
+    seen = Observation()
+    with_text = F.count_if(text_or_empty(F.col("full_text")) != "")
+    return docs.observe(seen, F.count(F.lit(1)).alias("n"), with_text.alias("t")), seen
+
+
+def store_parts(parts: dict[str, DataFrame], folder: str, seen: dict[str, Observation] | None = None) -> dict[str, DataFrame]:
+    """Clean the documents of each jurisdiction and store them; returns the stored tables. ``seen``
+    gets the counts of each."""
     stored = {}
     for code, docs in parts.items():
         cleaned = records.clean(docs, code).withColumn("jurisdiction_code", F.lit(code))
         path = f"{folder}/{code.lower()}"
+        if seen is not None:
+            cleaned, seen[code] = observed(cleaned)
         cleaned.write.mode("overwrite").parquet(path)
         stored[code] = docs.sparkSession.read.parquet(path)
     return stored
@@ -159,13 +170,6 @@ def corpus_build(parts: dict[str, DataFrame], folder: str) -> DataFrame:
     return merge_parts(store_parts(parts, folder))
 
 
-def counts(docs: DataFrame) -> dict[str, tuple[int, int]]:
-    """Documents and documents with text per jurisdiction code: one small row per code."""
-    with_text = F.count_if(text_or_empty(F.col("full_text")) != "")
-    rows = docs.groupBy("jurisdiction_code").agg(F.count("*").alias("n"), with_text.alias("t"))
-    return {r["jurisdiction_code"]: (r["n"], r["t"]) for r in rows.collect()}
-
-
 def run_corpus(
     parts: dict[str, DataFrame],
     out: str,
@@ -176,7 +180,8 @@ def run_corpus(
     raw_hit_counts: dict[str, int] | None = None,
 ) -> dict:
     """Build and write a corpus: one dataset per jurisdiction, the final corpus, the duplicate
-    audit, national measures if asked for, and the run manifest, which is returned."""
+    audit, national measures if asked for, and the run manifest, which is returned. Its counts of
+    documents are taken while they are written; no dataset is read again to be counted."""
     unknown = [c for c in parts if c not in L.JURISDICTION_LABELS]
     if unknown or not parts:
         raise ValueError(f"jurisdictions must be some of {L.JURISDICTION_ORDER}")
@@ -186,17 +191,18 @@ def run_corpus(
         raise ValueError("nim_max_rows must be positive")
     spark = next(iter(parts.values())).sparkSession
     paths = {code: f"{out}/jurisdictions/{code.lower()}" for code in parts}
-    read = store_parts(parts, f"{out}/work")
-    per_part = {}
+    seen: dict[str, Observation] = {}
+    read = store_parts(parts, f"{out}/work", seen)
     for code, docs in read.items():
         writers.write_documents(docs, paths[code])
-        per_part |= counts(docs)
-    merge_parts(read).write.mode("overwrite").parquet(f"{out}/work/final")
+    per_part = {code: (int(o.get["n"]), int(o.get["t"])) for code, o in seen.items()}
+    merged, whole = observed(merge_parts(read))
+    merged.write.mode("overwrite").parquet(f"{out}/work/final")
     final = spark.read.parquet(f"{out}/work/final")
     writers.write_documents(final, f"{out}/final")
     placed = final.withColumn("ord", F.struct("part_ord", "ord"))
     audit_paths = writers.write_audit(placed, f"{out}/audit")
-    kept = final.count()
+    kept = int(whole.get["n"])
     total = sum(n for n, _ in per_part.values())
     status, seeds, eligible, nim_count, nim_path = "not_requested", 0, 0, 0, None
     if measures is not None and "EU" not in parts:
@@ -208,9 +214,9 @@ def run_corpus(
         eligible = nim.seeds(references).count()
         status = "ran" if eligible else "skipped_no_eligible_eu_legal_acts"
         if eligible:
-            docs = nim_documents(eu_docs, measures, measure_texts, max_rows=nim_max_rows)
+            docs, listed = observed(nim_documents(eu_docs, measures, measure_texts, max_rows=nim_max_rows))
             nim_path = writers.write_documents(docs, f"{out}/nim")
-            nim_count = spark.read.json(nim_path, schema="document_id string").count()
+            nim_count = int(listed.get["n"])
     manifest = {
         "manifest_schema_version": "1.0",
         "schema_version": "1.0",

@@ -384,3 +384,29 @@ def test_documents_as_json_nest_their_record(spark, tmp_path):
     writers.write_documents(df, str(tmp_path / "out"))
     (row,) = [json.loads(x.read_text()) for x in (tmp_path / "out").glob("part-*") if x.stat().st_size]
     assert row["raw_metadata"] == {"_query_id": "q1", "_adapter_result_index": 4, "raw_record": {"a": {"b": [1, 2]}}}
+
+
+def test_matrix_of_states_and_acts(spark):
+    rows = [("A", "First", "Austria", "1"), ("A", "First", "Austria", "2"), ("A", "First", "Belgium", "3"), ("B", "Same", "Austria", "4")]
+    rows += [("C", "Same", "Spain", str(i)) for i in range(5)] + [("C", "Same", "Nowhere", "9"), ("D", None, "Sweden", None)]
+    measures = spark.createDataFrame(rows, "celex string, eu_act_title string, member_state_name string, national_measure_id string")
+    measures = measures.selectExpr("*", "'L' AS eu_act_type", "2000 AS year", "monotonically_increasing_id() AS ord")
+    table = nim.country_act_table(measures, 3)
+    assert table.columns == ["member_state", "Same (C)", "First", "Same (B)"]
+    assert sorted(map(tuple, table.collect())) == [("Austria", 0, 2, 1), ("Belgium", 0, 1, 0), ("Spain", 5, 0, 0)]
+    assert nim.country_act_table(measures, 3, named=False).columns == ["member_state", "act_1", "act_2", "act_3"]
+    assert nim.country_act_table(measures.limit(0), 3).count() == 0
+
+
+def test_corpus_run_counts_while_writing(spark, tmp_path, monkeypatch):
+    docs = [(i, f"d{i % 8}", "s", f"t{i}", "text" if i % 2 else " ") for i in range(10)]
+    part = spark.createDataFrame(docs, "ord long, document_id string, source_name string, title string, full_text string")
+    read = []
+    plain = type(part).count
+    monkeypatch.setattr(type(part), "count", lambda self: read.append(1) or plain(self))
+    made = build.run_corpus({"UK": part, "CA": part.limit(0)}, str(tmp_path), ["nature"])
+    assert read == []
+    by_code = {j["jurisdiction_code"]: (j["document_count"], j["full_text_document_count"]) for j in made["jurisdictions"]}
+    assert by_code == {"UK": (10, 5), "CA": (0, 0)}
+    assert (made["merged_document_count"], made["final_document_count"], made["duplicates_removed"]) == (10, 8, 2)
+    assert spark.read.parquet(f"{tmp_path}/work/final").select("document_id").distinct().count() == 8
