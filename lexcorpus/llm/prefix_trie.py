@@ -20,7 +20,7 @@ from lexcorpus.llm.store import dropped, stored
 WORD = r"[^\x20\x09-\x0D]+"
 MARK = 16  # bytes of a turn's mark
 FIRST = 32  # turns that are compared at first
-BLOCK = 4096  # sorted sequences of a block, at least
+BLOCK = 512  # sorted sequences of a block, at least
 BLOCKS = 65_536  # blocks at most; their summary is all that is sent to every task
 CHAIN = 1024  # nodes of an unbranched stretch that one row makes
 CHUNK = 65_536  # bytes of member ids in one row
