@@ -193,3 +193,20 @@ def log_stream(spark, sf):
     started = ingest.keep_log(spark.readStream.schema(log.schema).parquet(path), out).option("checkpointLocation", state)
     started.trigger(availableNow=True).start().awaitTermination()
     return ingest.newest_log(spark, out).select("celex_full", "lang", "ord")
+
+
+@query(
+    "log_compacted",
+    """SELECT celex_full, lang, max(ord) AS ord FROM (
+  SELECT ord, celex_full, coalesce(lang, '') AS lang FROM [[log]]) t GROUP BY 1, 2""",
+)
+def log_compacted(spark, sf):
+    """The newest attempts after several batches were merged and the last one ran again."""
+    out, log = new_path(spark, "merged-log"), load(spark, sf, "log")
+    last = log.agg(F.max("ord")).first()[0] or 0
+    part = lambda n: log.where(F.floor(F.col("ord") * 3 / F.lit(last + 1)) == n)
+    for n in range(3):
+        ingest.add_to_log(part(n), out, n)
+    ingest.compact_log(spark, out, most=1)
+    ingest.add_to_log(part(2), out, 2)
+    return ingest.newest_log(spark, out).select("celex_full", "lang", "ord")
