@@ -170,9 +170,13 @@ def dup_top(spark, sf):
     )
 
 
+def _rollups(spark, sf):
+    return audit.rollups(audit.light_summary(load(spark, sf, "docs")))
+
+
 @query("dup_by_signal", f"WITH {SUMMARY} SELECT signal, count(*) AS group_count FROM s GROUP BY 1")
 def dup_by_signal(spark, sf):
-    return audit.count_by_signal(audit.light_summary(load(spark, sf, "docs")))
+    return audit.rollup(_rollups(spark, sf), "groups_by_signal")
 
 
 @query(
@@ -182,7 +186,7 @@ u AS (SELECT unnest(CASE WHEN jurisdictions = '' THEN ['(missing)'] ELSE string_
 SELECT jurisdiction, count(*) AS group_count FROM u GROUP BY 1""",
 )
 def dup_by_jurisdiction(spark, sf):
-    return audit.count_by_value(audit.light_summary(load(spark, sf, "docs")), "_lands", "jurisdiction")
+    return audit.rollup(_rollups(spark, sf), "groups_by_jurisdiction")
 
 
 @query(
@@ -192,7 +196,7 @@ u AS (SELECT unnest(CASE WHEN source_names = '' THEN ['(missing)'] ELSE string_s
 SELECT source_name, count(*) AS group_count FROM u GROUP BY 1""",
 )
 def dup_by_source(spark, sf):
-    return audit.count_by_value(audit.light_summary(load(spark, sf, "docs")), "_sources", "source_name")
+    return audit.rollup(_rollups(spark, sf), "groups_by_source_name")
 
 
 @query(
@@ -204,12 +208,10 @@ UNION ALL SELECT 'source_names', coalesce(nullif(source_names, ''), '(missing)')
 FROM s GROUP BY 2""",
 )
 def dup_by_combo(spark, sf):
-    summary = audit.light_summary(load(spark, sf, "docs"))
-    lands = audit.count_by_combination(summary, "_lands", "value")
-    sources = audit.count_by_combination(summary, "_sources", "value")
-    return lands.withColumn("kind", F.lit("jurisdictions")).unionByName(
-        sources.withColumn("kind", F.lit("source_names"))
-    )
+    combined = ("groups_by_jurisdiction_combination", "groups_by_source_name_combination")
+    rows = _rollups(spark, sf).where(F.col("rollup").isin(*combined))
+    kind = F.when(F.col("rollup") == combined[0], "jurisdictions").otherwise("source_names")
+    return rows.select(kind.alias("kind"), "value", "group_count")
 
 
 @query(

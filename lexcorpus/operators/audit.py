@@ -187,23 +187,36 @@ def light_summary(docs: DataFrame) -> DataFrame:
     )
 
 
-def count_by_signal(summary: DataFrame) -> DataFrame:
-    return summary.groupBy("signal").agg(F.count("*").alias("group_count"))
-
-
-def count_by_value(summary: DataFrame, values: str, out: str) -> DataFrame:
-    """Groups per single value of a list column; groups without values count as missing."""
-    filled = F.when(F.size(values) == 0, F.array(F.lit("(missing)"))).otherwise(F.col(values))
-    return (
-        summary.select(F.explode(filled).alias(out))
-        .groupBy(out)
-        .agg(F.count("*").alias("group_count"))
-    )
-
-
-def count_by_combination(summary: DataFrame, values: str, out: str) -> DataFrame:
-    joined = F.coalesce(F.nullif(F.array_join(values, JOINER), F.lit("")), F.lit("(missing)"))
-    return summary.groupBy(joined.alias(out)).agg(F.count("*").alias("group_count"))
+#: Roll-ups with the name of their value column.
+ROLLUPS = {
+    "groups_by_signal": "signal",
+    "groups_by_jurisdiction": "jurisdiction",
+    "groups_by_jurisdiction_combination": "jurisdictions",
+    "groups_by_source_name": "source_name",
+    "groups_by_source_name_combination": "source_names",
+}
+
+
+def rollups(summary: DataFrame) -> DataFrame:
+    """(rollup, value, group_count): groups by signal, by single jurisdictions and sources, and by
+    their combinations. Each group gives one row for each of its values, so that one pass and one
+    aggregate count them all; groups without values count as missing."""
+    missing = F.lit("(missing)")
+    single = lambda c: F.when(F.size(c) == 0, F.array(missing)).otherwise(F.col(c))
+    joined = lambda c: F.array(F.coalesce(F.nullif(F.array_join(c, JOINER), F.lit("")), missing))
+    of = (F.array("signal"), single("_lands"), joined("_lands"), single("_sources"), joined("_sources"))
+
+    def named(name: str, values: Column) -> Column:
+        return F.transform(values, lambda v: F.struct(F.lit(name).alias("rollup"), v.alias("value")))
+
+    pairs = F.concat(*[named(name, values) for name, values in zip(ROLLUPS, of, strict=True)])
+    rows = summary.select(F.explode(pairs).alias("r")).select("r.*")
+    return rows.groupBy("rollup", "value").agg(F.count("*").alias("group_count"))
+
+
+def rollup(counts: DataFrame, name: str) -> DataFrame:
+    """One of the ``rollups``, its values in the column of their name."""
+    return counts.where(F.col("rollup") == name).select(F.col("value").alias(ROLLUPS[name]), "group_count")
 
 
 def top_groups(summary: DataFrame, by: tuple[str, ...], k: int) -> DataFrame:

@@ -79,15 +79,11 @@ def write_audit(docs: DataFrame, folder: str) -> dict[str, str]:
     summary.select(*audit.SUMMARY_COLUMNS).write.mode("overwrite").csv(
         paths["summary_csv"], **CSV
     )
+    audit.rollups(summary).write.mode("overwrite").parquet(f"{folder}/_rollups")
+    counts = docs.sparkSession.read.parquet(f"{folder}/_rollups")
     parts = {
         "totals": audit.totals(docs),
-        "groups_by_signal": audit.count_by_signal(summary),
-        "groups_by_jurisdiction": audit.count_by_value(summary, "_lands", "jurisdiction"),
-        "groups_by_jurisdiction_combination": audit.count_by_combination(
-            summary, "_lands", "jurisdictions"),
-        "groups_by_source_name": audit.count_by_value(summary, "_sources", "source_name"),
-        "groups_by_source_name_combination": audit.count_by_combination(
-            summary, "_sources", "source_names"),
+        **{name: audit.rollup(counts, name) for name in audit.ROLLUPS},
         "top_largest_groups": audit.top_groups(summary, ("group_size",), 10).select(
             *audit.SUMMARY_COLUMNS),
         "top_review_candidates": audit.top_groups(
