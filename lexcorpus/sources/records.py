@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -10,17 +11,32 @@ from lexcorpus import schemas
 from lexcorpus.functions import celex
 from lexcorpus.functions.text import empty, strip
 from lexcorpus.operators.skew import number_rows
+from lexcorpus.sources import json_source
 
 
 def read_records(
     spark: SparkSession, path: str, fmt: str = "jsonl", schema: T.StructType = schemas.LOCAL_RECORD
 ) -> DataFrame:
-    """Records of a JSON file (a list, or an object with a ``records`` list) or of JSON lines.
-    Blank lines are skipped; anything that is no record of the schema fails the job."""
+    """Records of a JSON file (a list, or an object with a ``records`` list) or of JSON lines, or of
+    all files of a folder. Blank lines are skipped; anything that is no record of the schema fails
+    the job with its file and line.
+
+    Large files of lines are read in parts, lists a record at a time. Paths of a scheme that Arrow
+    has no file system for are read by Spark's own reader, which fails without naming the line.
+    """
+    if fmt not in ("json", "jsonl"):
+        raise ValueError("fmt must be 'json' or 'jsonl'")
+    try:
+        json_source.place(path)
+    except (pa.ArrowInvalid, pa.ArrowNotImplementedError):
+        return _spark_records(spark, path, fmt, schema)
+    spark.dataSource.register(json_source.Records)
+    return spark.read.format(json_source.Records.name()).schema(schema).option("format", fmt).load(path)
+
+
+def _spark_records(spark: SparkSession, path: str, fmt: str, schema: T.StructType) -> DataFrame:
     if fmt == "jsonl":
         return spark.read.schema(schema).json(path, mode="FAILFAST")
-    if fmt != "json":
-        raise ValueError("fmt must be 'json' or 'jsonl'")
     files = spark.read.text(path, wholetext=True)
     listed = F.from_json("value", T.ArrayType(schema), {"mode": "FAILFAST"})
     wrapped = F.from_json(
