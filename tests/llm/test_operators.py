@@ -300,41 +300,81 @@ def test_cleaned_texts_stay_texts(spark, empty):
 # benchmark
 
 
+def held_whole(text, item):
+    return any(text[i : i + len(item)] == item for i in range(len(text) - len(item) + 1))
+
+
+def all_leaks(rows, items):
+    """Every document tiled with every item, without seeds."""
+    want = Counter()
+    for doc_id, text, *_ in rows:
+        for item_id, item in items:
+            hashes, cuts = decontaminate.words([(text or "").encode(), (item or "").encode()])
+            x, y = hashes[: cuts[1]].tolist(), hashes[cuts[1] :].tolist()
+            if not x or not y or len(x) > 3000:
+                continue
+            if len(y) < decontaminate.MIN_MATCH:
+                size = len(y) * held_whole(x, y)
+            else:
+                size = sum(t[2] for t in decontaminate.tiles(x, y))
+            if size and size >= decontaminate.COVERED * len(y):
+                want[doc_id, item_id, round(size / len(y), 6)] += 1
+    return want
+
+
+def found_leaks(docs, bench):
+    return Counter((r["doc_id"], r["item_id"], round(r["coverage"], 6)) for r in decontaminate.leaks(docs, bench).collect())
+
+
 def test_leaks_by_tiling_all_pairs(spark, odd, empty):
-    items = [(1, prose(50, 30)), (2, prose(51, 25)), (3, "one two"), (4, None), (None, prose(52, 20)), (5, "")]
+    items = [
+        (1, prose(50, 30)), (2, prose(51, 25)), (3, "one two"), (4, None), (None, prose(52, 20)), (5, ""),
+        (6, prose(50, 30)), (6, prose(51, 25).upper()), (7, "-- !"), (8, "zebra"), (9, "word word word"), (10, "日本語 テキスト"),
+    ]
     a, b = items[0][1].split(), items[1][1].split()
     rows = odd_docs() + [
         (60, prose(70, 40) + " " + items[0][1].upper() + ". " + prose(71, 40), "s", "s", 1),
         (61, " ".join(a[15:]) + " " + prose(72, 3) + " " + " ".join(a[:15]), "s", "s", 1),
-        (62, " ".join(a[:12]), "s", "s", 1), (63, "one two", "s", "s", 1), (64, " ".join(a + b), "s", "s", 1),
+        (62, " ".join(a[:12]), "s", "s", 1), (63, "one, Two", "s", "s", 1), (64, " ".join(a + b), "s", "s", 1),
         (65, items[4][1], "s", "s", 1), (65, items[4][1], "s", "s", 1), (66, " ".join(a[:10] + ["zz"] + a[10:20]), "s", "s", 1),
+        (67, "two one", "s", "s", 1), (68, "a Zebra", "s", "s", 1), (69, "one", "s", "s", 1), (70, "two", "s", "s", 1),
     ]
-    docs, bench = frame(spark, rows), clashing(frame(spark, items, "item_id long, text string"), "at")
-    want = Counter()
-    for doc_id, text, *_ in rows:
-        for item_id, item in items:
-            hashes, cuts = decontaminate.words([(text or "").encode(), (item or "").encode()])
-            x, y = hashes[: cuts[1]].tolist(), hashes[cuts[1] :].tolist()
-            if len(y) >= decontaminate.MIN_MATCH and len(x) < 500:
-                size = sum(t[2] for t in decontaminate.tiles(x, y)) if x else 0
-                if size >= decontaminate.COVERED * len(y):
-                    want[doc_id, item_id, round(size / len(y), 6)] += 1
-    got = decontaminate.leaks(clashing(docs, "tiles"), bench)
-    assert Counter((r["doc_id"], r["item_id"], round(r["coverage"], 6)) for r in got.collect()) == want
-    assert {d for d, *_ in want} == {60, 61, 64, 65, 66}
-    left = decontaminate.clean(docs, bench)
-    assert left.columns == docs.columns and left.count() == len(rows) - 6
-    assert decontaminate.leaks(empty, bench).count() == 0 and decontaminate.leaks(docs, bench.limit(0)).count() == 0
-    assert decontaminate.clean(docs, bench.limit(0)).count() == len(rows)
-
-
-def test_benchmark_blocks(spark, monkeypatch):
-    monkeypatch.setattr(decontaminate, "BLOCK_ITEMS", 3)
-    items = [(i, prose(300 + i, 20)) for i in range(8)]
-    docs = frame(spark, [(i, prose(400, 5) + " " + t, "s", "s", 1) for i, t in items] + [(99, prose(500, 50), "s", "s", 1)])
-    bench = frame(spark, items, "item_id long, text string")
-    assert sorted((r["doc_id"], r["item_id"]) for r in decontaminate.leaks(docs, bench).collect()) == [(i, i) for i in range(8)]
-    assert [r["doc_id"] for r in decontaminate.clean(docs, bench).collect()] == [99]
+    docs, bench = frame(spark, rows), clashing(frame(spark, items, "item_id long, text string"), "at", "item", "tokens", "k1", "seed")
+    want = all_leaks(rows, items)
+    assert {d for d, *_ in want} == {8, 11, 60, 61, 63, 64, 65, 66, 68} and want[65, None, 1.0] == 2 and want[60, 6, 1.0] == 1
+    assert found_leaks(clashing(docs, "tiles", "k1", "starts", "item_id"), bench) == want
+    more = clashing(docs, "tiles", "k1", "_k1", "_K2", "starts", "item_id")
+    left = decontaminate.clean(more, bench)
+    assert left.columns == more.columns and left.schema == more.schema
+    leaking = {d for d, *_ in want}
+    assert Counter(r["doc_id"] for r in left.collect()) == Counter(r[0] for r in rows if r[0] not in leaking)
+    assert found_leaks(empty, bench) == found_leaks(docs, bench.limit(0)) == Counter()
+    assert decontaminate.clean(docs, bench.limit(0)).count() == len(rows) and decontaminate.clean(empty, bench).count() == 0
+
+
+def test_leaks_of_items_that_share_most_seeds(spark):
+    """Texts and items of very few words, so that nearly all seeds are common and repeat."""
+    import random
+
+    rng = random.Random(9)
+    say = lambda n: " ".join(rng.choices("abc", k=n))
+    items = [(i, say(rng.randint(1, 14))) for i in range(60)]
+    rows = [(i, say(rng.randint(1, 40)), "s", "s", 1) for i in range(40)]
+    rows += [(100 + i, say(9) + " " + " ".join(t.split()[len(t) // 4 :] + t.split()[: len(t) // 4]), "s", "s", 1) for i, t in items[:20]]
+    want = all_leaks(rows, items)
+    assert found_leaks(frame(spark, rows), frame(spark, items, "item_id long, text string")) == want
+    assert len(want) > 300
+
+
+def test_a_phrase_in_many_items_makes_no_pairs(spark, monkeypatch):
+    """Texts that hold only what all items share meet none of them."""
+    phrase = prose(40, 8)
+    items = [(i, f"{phrase} {prose(1000 + i, 22)}") for i in range(2000)]
+    rows = [(i, " ".join([prose(5000 + i, 9), phrase] * 10), "s", "s", 1) for i in range(30)] + [(99, items[7][1], "s", "s", 1)]
+    sizes, tiled = [], decontaminate._tiled
+    monkeypatch.setattr(decontaminate, "_tiled", lambda pairs, share: (sizes.append(pairs.count()), tiled(pairs, share))[1])
+    assert found_leaks(frame(spark, rows), frame(spark, items, "item_id long, text string")) == Counter({(99, 7, 1.0): 1})
+    assert sizes == [1]
 
 
 # language

@@ -18,7 +18,7 @@ COLUMNS = {
     "op6_simhash": "doc_id bigint, fingerprint string, component_id bigint",
     "op7_chat": "conv_id bigint, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint",
     "op8_vectors": "vec_id bigint, n_links bigint, component_id bigint, kept boolean",
-    "op9_decontaminate": "doc_id bigint, n_items bigint, item_id bigint, coverage double, tiles bigint",
+    "op9_decontaminate": "doc_id bigint, item_id bigint, coverage double, tiles bigint",
     "op10_sharding": "doc_id bigint, size bigint, text_crc32 bigint, law string, shard int, slot bigint, grown_shard int",
     "op11_token_counts": "doc_id bigint, n_bytes bigint, n_tokens bigint, over_limit boolean",
     "op12_prefix_trie": "conv_id bigint, depth bigint, parent_conv_id bigint, n_convs bigint, n_children bigint, n_leaves bigint, saved_tokens bigint, ends_sha256 string",

@@ -124,10 +124,33 @@ def plain_tiling(text, item, least):
         total += n
 
 
-def test_leaks():
-    items = decontaminate.Items([7, 8, 9], ["The quick brown fox jumps over the lazy dog today", "a b", None])
-    texts = [b"xx THE quick, brown fox jumps yy over the lazy dog today", b"over the lazy dog today the quick brown fox", b"", b"quick brown fox"]
-    assert [(d, items.ids[i]) for d, i, *_ in items.leaks(texts)] == [(0, 7), (1, 7)]
+def test_seeds_stay_in_their_text():
+    all_known = np.full((1 << decontaminate.FILTER_BITS) // 8, 255, np.uint8)
+    texts = [b"a b, C", b"", b"d", b"e f g h"]
+    owner, place, seed = decontaminate.seeds_in(texts, [1, 2], all_known)
+    assert sorted(zip(owner.tolist(), place.tolist())) == sorted(
+        [(0, 0), (0, 1), (0, 2), (0, 0), (0, 1), (2, 0)] + [(3, i) for i in range(4)] + [(3, i) for i in range(3)]
+    )
+    hashes, cuts = decontaminate.words(texts)
+    wanted = {int(h) for a, b in zip(cuts[:-1], cuts[1:]) for k in (1, 2) for h in decontaminate.seeds(hashes[a:b], k)}
+    assert {int(h) for h in seed} == wanted
+    assert [len(x) for x in decontaminate.seeds_in([], [4], all_known)] == [0, 0, 0]
+    assert [len(x) for x in decontaminate.seeds_in(texts, [], all_known)] == [0, 0, 0]
+
+
+def test_places_left_out_cover_too_little_for_a_leak():
+    rng = np.random.default_rng(3)
+    for _ in range(200):
+        words, k = int(rng.integers(1, 30)), 4
+        k = min(k, words)
+        held = rng.integers(0, 5, words - k + 1)
+        sought = decontaminate.sought_places(held, k, words, 0.6)
+        inside = {w for p in np.flatnonzero(~sought) for w in range(p, p + k)}
+        assert len(inside) < 0.6 * words and sought.any()
+    # a common phrase of eight of thirty words is not sought, rare words beside it are
+    held = np.where(np.arange(27) < 5, 100, 1)
+    assert not decontaminate.sought_places(held, 4, 30, 0.6)[:5].any()
+    assert decontaminate.sought_places(np.ones(1, int), 2, 2, 0.6).all()
 
 
 def test_token_ids_are_the_tokenizers():
