@@ -1,14 +1,19 @@
 """Streams: documents cleaned and deduplicated as they arrive, and a log kept up to date.
 
-The batch jobs keep the first document in input order; a stream keeps the first that arrives.
+The batch jobs keep the first document in input order. ``clean_documents`` keeps the first that
+arrives; ``first_in_order`` corrects what it gave out when an earlier one comes later.
 """
 
 from __future__ import annotations
 
+import sys
+
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.streaming import DataStreamWriter, StatefulProcessor, StatefulProcessorHandle
 
 from lexcorpus import schemas
 from lexcorpus.operators import cache, records
@@ -126,3 +131,54 @@ def newest_log(spark: SparkSession, folder: str, upto: int | None = None) -> Dat
             raise ValueError(f"batches after {upto} are merged with earlier ones")
         log = log.where(F.col("part_ord") <= upto)
     return keep_last_merged(log, LOG_KEY).drop("part_ord", "bucket", "kind")
+
+
+class _LeastOrder(StatefulProcessor):
+    """Keeps the least ``ord`` of each key and gives out the rows that go below it. The state of a
+    key is one number; of a batch only the best row so far is held."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.least = handle.getValueState("least", "ord long")
+
+    def handleInputRows(self, key, rows, timerValues):  # noqa: N802, N803
+        old = self.least.get()[0] if self.least.exists() else None
+        best, row = old, None
+        for frame in rows:
+            at = frame["ord"].argmin()
+            if best is None or frame["ord"].iloc[at] < best:
+                best, row = int(frame["ord"].iloc[at]), frame.iloc[[at]]
+        if row is not None:
+            self.least.update((best,))
+            yield row.assign(replaces=pd.array([old], dtype="Int64"))
+
+    def close(self) -> None:
+        pass
+
+
+def first_in_order(stream: DataFrame, key: str = "document_id") -> DataFrame:
+    """The rows of a stream that are first by ``ord`` among those of their ``key`` that came so
+    far. A row that goes before one given out earlier is given out too, with the order of that one
+    in ``replaces`` (null for the first of a key). ``settled`` of all that was given out is what
+    the batch rule keeps, in whatever order the rows came.
+
+    Rows without a key are one group, as in the batch rule. ``ord`` must be there and unique. The
+    state, a number for each key, is in RocksDB, so
+    ``spark.sql.streaming.stateStore.providerClass`` must name its provider. The rows of a key in
+    one batch stream through one task, so the trigger's limit on input bounds a hot key.
+    """
+    held = "_key"
+    while held in stream.columns:
+        held += "_"
+    keyed = stream.withColumn(held, F.coalesce(F.concat(F.lit("k"), F.col(key).cast("string")), F.lit("none")))
+    schema = T.StructType([*stream.schema, T.StructField("replaces", T.LongType())])
+    return keyed.groupBy(held).transformWithStateInPandas(_LeastOrder(), schema, outputMode="Append", timeMode="None")
+
+
+def settled(given: DataFrame) -> DataFrame:
+    """The rows that ``first_in_order`` gave out and no later one replaced, without ``replaces``.
+    Rows are only moved if the replaced orders are too many to broadcast."""
+    gone = given.where("replaces is not null").select(F.col("replaces").alias("ord"))
+    return given.join(gone, "ord", "left_anti").select([c for c in given.columns if c != "replaces"])
+
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
