@@ -395,7 +395,8 @@ def _cut(rows: DataFrame, doc_id: str, text: str, columns: str, make: Callable[[
     for part in repeats(rows, doc_id, text):
         spans = part if spans is None else spans.unionAll(part)
     k1, k2, own = own_names(rows, "_k1", "_k2", "_spans")
-    lists = spans.groupBy(F.col("k1").alias(k1), F.col("k2").alias(k2)).agg(F.collect_list(F.struct("start", "end")).alias(own))
+    some = F.collect_set(F.struct("start", "end"))  # rows that repeat give each span again
+    lists = spans.groupBy(F.col("k1").alias(k1), F.col("k2").alias(k2)).agg(some.alias(own))
     a, b = _key(doc_id, text)
     joined = rows.withColumns({k1: a, k2: b}).join(lists, [k1, k2], "left").drop(k1, k2)
     at = joined.columns.index(text)

@@ -297,6 +297,14 @@ def test_cleaned_texts_stay_texts(spark, empty):
     assert suffix_dedup.cleaned(empty).count() == 0 and suffix_dedup.deduplicated(empty).count() == 0
 
 
+def test_a_row_repeated_many_times_has_its_spans_once(spark):
+    text = " ".join(prose(k, 8) for k in range(60))
+    rows = spark.range(20_000).select(F.lit(7).cast("long").alias("doc_id"), F.lit(text).alias("text"))
+    rows = rows.unionAll(frame(spark, [(8, text + prose(900, 20), "s", "s", 1)]).select("doc_id", "text"))
+    got = suffix_dedup.deduplicated(rows).groupBy("doc_id", "n_bytes", "n_removed", "n_spans").count().collect()
+    assert sorted(map(tuple, got)) == [(7, len(text), len(text), 1, 20_000), (8, len(text + prose(900, 20)), len(text), 1, 1)]
+
+
 # benchmark
 
 
