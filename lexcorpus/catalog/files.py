@@ -153,6 +153,10 @@ def text_file_cache(spark, sf):
     return files.withColumn("file_text_len", F.col("file_text_len").cast("long"))
 
 
+#: Texts of one written file.
+FILE_TEXTS = 500
+
+
 @query(
     "text_files_read",
     "SELECT count(*) AS lines, sum(length(replace(text, chr(10), ' ')))::BIGINT AS characters FROM documents",
@@ -161,7 +165,8 @@ def text_files_read(spark, sf):
     """Text files written and read whole: every line and character of them."""
     path = new_path(spark, "texts")
     docs = load(spark, sf, "documents").select(F.translate("text", "\n", " ").alias("value"))
-    docs.write.text(path)
+    # a file is one row when it is read, so files must not grow with the table
+    docs.write.option("maxRecordsPerFile", FILE_TEXTS).text(path)
     lines = sources.read_text_files(spark, path).select(F.explode(F.split(F.rtrim("value", F.lit("\n")), "\n")).alias("line"))
     return lines.agg(F.count("*").alias("lines"), F.sum(F.length("line")).alias("characters"))
 
