@@ -159,10 +159,14 @@ def store_parts(parts: dict[str, DataFrame], folder: str, seen: dict[str, Observ
 
 
 def merge_parts(stored: dict[str, DataFrame]) -> DataFrame:
-    """One corpus from stored jurisdictions, in the given order; the first document of each id
-    is kept. ``ord`` must be unique within each part."""
-    merged = dedup.merge_sources(list(stored.values()))
-    return dedup.keep_first_merged(merged, ["document_id"])
+    """One corpus from stored jurisdictions (Parquet files), in the given order; the first document
+    of each id is kept. Documents of one position, as those of a hit with several captured texts,
+    are told apart by their text and then by their place in the files, so one of them is kept."""
+    text = F.xxhash64("full_text", "download_url", "content_path")
+    row = (F.col("_metadata.file_path"), F.col("_metadata.row_index"))
+    placed = [docs.withColumn("place", F.struct("ord", text.alias("text"), *row)) for docs in stored.values()]
+    merged = dedup.merge_sources(placed, "place")
+    return dedup.keep_first_merged(merged, ["document_id"], "place").drop("place")
 
 
 def corpus_build(parts: dict[str, DataFrame], folder: str) -> DataFrame:
