@@ -246,17 +246,20 @@ def render(template: str, table, derived=None) -> str:
     return re.sub(r"\[\[(\w+)\]\]", fill, template)
 
 
+#: Inputs that are read in place: a query then computes only the columns that it uses, and none of their
+#: wide rows are dealt or written. The others are stored, as their rules refer to a column many times.
+IN_PLACE = frozenset(("docs", "measures"))
+
 _written: dict[tuple[str, str, str], str] = {}
 
 
 def stored(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> str:
-    """Folder of an input built by ``build``. It is written once per application, in as many
-    parts as there are cores, so that a job reads it as it would read a stored table, and
-    filters do not drag the derivation along."""
+    """Folder of an input built by ``build``. It is written once per application, so that a job
+    reads it as it would read a stored table, and filters do not drag the derivation along."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _written:
         path = new_path(spark, f"input-{name}")
-        build().repartition(spark.sparkContext.defaultParallelism).write.parquet(path)
+        build().write.parquet(path)
         _written[key] = path
     return _written[key]
 
@@ -273,23 +276,32 @@ def bucketed(spark: SparkSession, sf_dir: str, name: str, keys: Sequence[str], b
 
 
 def _path(spark: SparkSession, sf_dir: str, name: str) -> str:
-    return stored(spark, sf_dir, name, lambda: _sql(spark, sf_dir, INPUTS[name]))
+    return stored(spark, sf_dir, name, lambda: spread(spark, sf_dir, INPUTS[name]))
 
 
-def _sql(spark: SparkSession, sf_dir: str, template: str) -> DataFrame:
-    return spark.sql(
-        render(
-            template,
-            lambda t: f"parquet.`{sf_dir}/{t}.parquet`",
-            lambda t: f"parquet.`{_path(spark, sf_dir, t)}`",
-        )
-    )
+def _sql(spark: SparkSession, sf_dir: str, template: str, table: str = "parquet.`{}`") -> DataFrame:
+    given = lambda t: table.format(f"{sf_dir}/{t}.parquet")
+
+    def derived(name: str) -> str:
+        if name in IN_PLACE:
+            return f"({render(INPUTS[name], given, derived)})"
+        return f"parquet.`{_path(spark, sf_dir, name)}`"
+
+    return spark.sql(render(template, given, derived))
+
+
+def spread(spark: SparkSession, sf_dir: str, template: str) -> DataFrame:
+    """``run`` with the rows of the given tables dealt to tasks of about equal size, as many as their
+    bytes need. They are dealt before anything is derived from them, when they are still short."""
+    return _sql(spark, sf_dir, template, "(SELECT /*+ REBALANCE */ * FROM parquet.`{}`)")
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given table or a derived input."""
     if name in TABLES:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    if name in IN_PLACE:
+        return _sql(spark, sf_dir, INPUTS[name])
     return spark.read.parquet(_path(spark, sf_dir, name))
 
 

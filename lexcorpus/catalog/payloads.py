@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from lexcorpus import lookups as L
 from lexcorpus.catalog import rules as R
-from lexcorpus.catalog.inputs import act, load, pick, run, stored
+from lexcorpus.catalog.inputs import act, load, pick, run, spread, stored
 from lexcorpus.catalog.registry import query
 from lexcorpus.functions import quality
 from lexcorpus.operators import extract
@@ -14,7 +14,7 @@ from lexcorpus.session import written
 
 def _payload(spark, sf, name, template):
     """Captured payloads as a stored table."""
-    return spark.read.parquet(stored(spark, sf, name, lambda: run(spark, sf, template)))
+    return spark.read.parquet(stored(spark, sf, name, lambda: spread(spark, sf, template)))
 
 
 # ---- pages -----------------------------------------------------------------------------
