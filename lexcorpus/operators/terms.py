@@ -2,17 +2,23 @@
 
 An inventory is a table of any length. Each term is filed under one of its stretches of eight
 characters, or four if it is shorter, the one that is rarest in texts; a text is looked up by its
-distinct stretches, and a term that shares one is then sought in the text itself. So a text is
-compared with the few terms it may hold, not with the whole inventory, and nothing grows with texts
-times terms.
+stretches, and a term that shares one is compared with the text at that place (small inventories) or
+sought in it (large ones). So a text is compared with the few terms it may hold, not with the whole
+inventory, and nothing grows with texts times terms.
 """
 
 from __future__ import annotations
 
+import sys
+from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from lexcorpus.functions.text import strip
 from lexcorpus.session import written
@@ -20,11 +26,14 @@ from lexcorpus.session import written
 LONG, SHORT = 8, 4  # characters of a stretch; terms shorter than both are filed whole
 SENT = 32 << 20  # bytes of an index that is sent to every task; a larger one is joined
 PROBED = 200  # texts that tell which stretches are common
+WINDOW = 8  # bytes compared at once
+PIECE = 1 << 20  # places of a text looked up at once
+BITS = 22  # of the filter over the windows of an inventory
 
 
 class TermIndex(NamedTuple):
-    """Terms by their ``anchor``, with ``lang`` (null: any), ``term``, its lower-case form ``low``
-    and its place ``term_ord``; the lengths of the anchors; and the bytes of it all."""
+    """Terms by their ``anchor``, with ``lang`` (null: any), ``term``, its lower-case form ``low``,
+    its place ``term_ord`` and a number ``id``; the lengths of the anchors; and the bytes of it all."""
 
     anchors: DataFrame
     lengths: list[int]
@@ -70,12 +79,111 @@ def term_index(
     rarity = F.struct(F.coalesce("seen", F.lit(0)), "anchor")
     anchors = written(
         filed.groupBy("lang", "term", "low", "n", "term_ord").agg(F.min_by("anchor", rarity).alias("anchor"))
+        .withColumn("id", F.monotonically_increasing_id())
     )
     size = F.sum(F.octet_length("term") + F.octet_length("low") + 64)
     known = anchors.agg(F.sort_array(F.collect_set("n")).alias("lengths"), size.alias("size")).first()
     return TermIndex(anchors.drop("n"), list(known["lengths"]), known["size"] or 0)
 
 
+class _Sought:
+    """Terms by up to ``WINDOW`` bytes of their anchors."""
+
+    def __init__(self, ids: np.ndarray, lows: list[str], anchors: list[str]):
+        lows, anchors = ([x.encode() for x in xs] for xs in (lows, anchors))
+        self.ids, self.size = ids, np.array([len(x) for x in lows])
+        self.data = np.frombuffer(b"".join(lows) + bytes(WINDOW), np.uint8)
+        self.start = np.cumsum(self.size) - self.size
+        self.offset = np.array([x.index(a) for x, a in zip(lows, anchors, strict=True)])
+        width = np.array([min(len(a), WINDOW) for a in anchors])
+        self.by_width = []
+        for n in np.unique(width).tolist():
+            terms = np.flatnonzero(width == n)
+            keys = _windows(self.data, self.start[terms] + self.offset[terms]) & _mask(n)
+            order = np.argsort(keys, kind="stable")
+            some = np.zeros(1 << BITS, bool)
+            some[_slot(keys)] = True
+            self.by_width.append((n, keys[order], terms[order], some))
+
+    def found(self, texts: Iterable[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(place of the text, id) of each term that a text holds, once each, for some texts at a time."""
+        held, size, first = [], 0, 0
+        for text in texts:
+            held.append(text)
+            size += len(text)
+            if size >= PIECE:
+                yield self._found(held, first)
+                held, size, first = [], 0, first + len(held)
+        if held:
+            yield self._found(held, first)
+
+    def _found(self, texts: list[bytes], first: int) -> tuple[np.ndarray, np.ndarray]:
+        sizes = np.array([len(x) for x in texts])
+        ends = np.cumsum(sizes)
+        data = np.frombuffer(b"".join(texts) + bytes(WINDOW), np.uint8)
+        pairs = [np.zeros(0, np.int64)]
+        for at in range(0, int(ends[-1]), PIECE):
+            part = data[at : at + PIECE + WINDOW]
+            windows = np.lib.stride_tricks.sliding_window_view(part, WINDOW)[: min(PIECE, int(ends[-1]) - at)].copy().view("<u8").ravel()
+            for n, keys, terms, some in self.by_width:
+                cut = windows & _mask(n)
+                place = np.flatnonzero(some[_slot(cut)])
+                low, high = (np.searchsorted(keys, cut[place], side) for side in ("left", "right"))
+                count = high - low
+                term = terms[np.repeat(low - np.cumsum(count) + count, count) + np.arange(count.sum())]
+                pairs.append(self._equal(data, ends, sizes, np.repeat(place + at, count), term))
+        both = np.unique(np.concatenate(pairs))
+        return first + both // len(self.ids), self.ids[both % len(self.ids)]
+
+    def _equal(self, data: np.ndarray, ends: np.ndarray, sizes: np.ndarray, place: np.ndarray, term: np.ndarray) -> np.ndarray:
+        """Text times terms plus term where the whole term is in the text around the place."""
+        row = np.searchsorted(ends, place, "right")
+        begin = place - self.offset[term]
+        inside = (begin >= ends[row] - sizes[row]) & (begin + self.size[term] <= ends[row])
+        row, begin, term, at = row[inside], begin[inside], term[inside], 0
+        done = [row[:0]]
+        while len(term):
+            left = np.minimum(self.size[term] - at, WINDOW)
+            differ = _windows(data, begin + at) ^ _windows(self.data, self.start[term] + at)
+            same = differ & _mask(left) == 0
+            at += WINDOW
+            last = self.size[term] <= at
+            done.append(row[same & last] * len(self.ids) + term[same & last])
+            row, begin, term = (x[same & ~last] for x in (row, begin, term))
+        return np.concatenate(done)
+
+
+def _windows(data: np.ndarray, places: np.ndarray) -> np.ndarray:
+    return data[places[:, None] + np.arange(WINDOW)].view("<u8").ravel()
+
+
+def _mask(n: int | np.ndarray) -> np.ndarray:
+    return ~np.uint64(0) >> np.asarray(8 * (WINDOW - n), np.uint64)
+
+
+def _slot(windows: np.ndarray) -> np.ndarray:
+    return windows * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - BITS)
+
+
+def _held(texts: DataFrame, index: TermIndex) -> DataFrame:
+    """``_key``, ``_lang`` and the ``id`` of each term that ``_text`` holds; the terms are sent to
+    all tasks."""
+    listed = index.anchors.select("id", "low", "anchor").toArrow()  # SENT bytes at most
+    columns = listed["id"].to_numpy(), listed["low"].to_pylist(), listed["anchor"].to_pylist()
+    sent = texts.sparkSession.sparkContext.broadcast(columns)
+    schema = StructType([texts.schema["_key"], texts.schema["_lang"], StructField("id", LongType())])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sought = None
+        for batch in batches:
+            sought = sought or _Sought(*sent.value)
+            for row, ids in sought.found(x.as_buffer().to_pybytes() for x in batch.column(2)):
+                kept = batch.select([0, 1]).take(pa.array(row))
+                yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(ids, pa.int64())], names=schema.names)
+
+    return texts.mapInArrow(work, schema)
+
+
 def find_terms(
     docs: DataFrame, index: TermIndex, key: str = "ord", title: str | None = "title", body: str = "full_text",
     lang: str | None = None, sent: int = SENT,
@@ -83,8 +191,8 @@ def find_terms(
     """``key``, ``term``, ``term_lang`` and ``term_ord`` of each term found in the title or text of a
     row, ignoring case; with ``lang`` only terms of the row's language and of none are sought.
 
-    A small index is sent to all tasks, and a term is sought where its text is read: texts are not
-    moved. A larger one is joined to stretches by the anchor, and the texts that may hold a term are
+    A small index is sent to all tasks, and texts are looked up where they are read, byte by byte: they
+    are not moved. A larger one is joined to stretches by the anchor, and the texts that may hold a term are
     joined to those pairs once. Rows with a null key are looked at like others, in the first way.
     """
     language = _language(F.col(lang)) if lang else F.lit(None).cast("string")
@@ -95,14 +203,13 @@ def find_terms(
         place = F.lit(None).cast(dict(index.anchors.dtypes)["term_ord"]).alias("term_ord")
         return docs.select(key, *none, place).where(F.lit(False))
     spoken = F.col("lang").isNull() | (F.col("lang") == F.col("_lang")) if lang else F.lit(True)
-    held = F.contains(F.col("_text"), F.col("low"))
-    stretches = F.explode(_stretches(F.col("_text"), index.lengths)).alias("anchor")
     if index.size <= sent:
-        looked = texts.select("_key", "_lang", "_text", stretches)
-        found = looked.join(F.broadcast(index.anchors), "anchor").where(spoken & held)
+        found = _held(texts, index).join(F.broadcast(index.anchors.drop("low", "anchor")), "id").where(spoken)
     else:
+        held = F.contains(F.col("_text"), F.col("low"))
+        stretches = F.explode(_stretches(F.col("_text"), index.lengths)).alias("anchor")
         looked = texts.select("_key", "_lang", stretches)
-        pairs = looked.join(index.anchors, "anchor").where(spoken).drop("anchor", "_lang")
+        pairs = looked.join(index.anchors, "anchor").where(spoken).drop("anchor", "_lang", "id")
         found = texts.join(written(pairs), "_key").where(held)
     return found.select(*out).withColumnRenamed("_key", key)
 
@@ -116,3 +223,6 @@ def term_rows(
     found = find_terms(docs, index, key, title, body, lang, sent)
     rows = docs.select(key, *[c for c in keep if c != key]).join(found, key, "left")
     return rows.withColumn("term", F.coalesce("term", F.lit("")))
+
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -76,3 +76,14 @@ def test_rare_stretches_are_anchors(spark):
     df = spark.createDataFrame([(1, "", "abcd efgh " * 9 + "wxyz", "en")], DOCS)
     index = terms.term_index(spark.createDataFrame([(1, "en", "abcd efgh wxyz"), (2, "en", "abcd")], "ord long, lang string, term string"), df)
     assert {r["term"]: r["anchor"] for r in index.anchors.collect()} == {"abcd efgh wxyz": " efgh wx", "abcd": "abcd"}
+
+
+def test_small_index_makes_no_row_of_a_stretch(spark, monkeypatch):
+    """Texts are looked up in pieces where they are read; terms lie across pieces and at text ends."""
+    monkeypatch.setattr(terms, "PIECE", 7)
+    docs, listed = texts(7, 20)[:-1], [*inventory(8, 40), (90, None, "\0"), (91, None, "😀 a"), (92, "de", "λόγοσ природа 自然再生")]
+    df = spark.createDataFrame(docs, DOCS)
+    index = terms.term_index(spark.createDataFrame(listed, "ord long, lang string, term string"), df)
+    plan = terms.find_terms(df, index, lang="lang")._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan
+    assert rows_of(terms.term_rows(df, index, ["ord", "lang"], lang="lang")) == brute(docs, listed, True)
