@@ -10,7 +10,7 @@ from lexcorpus.catalog.inputs import act, load, pick, run, spread, stored
 from lexcorpus.catalog.registry import query
 from lexcorpus.functions import quality
 from lexcorpus.operators import extract
-from lexcorpus.session import written
+from lexcorpus.session import saved
 
 def _payload(spark, sf, name, template):
     """Captured payloads as a stored table."""
@@ -396,8 +396,8 @@ UNION ALL SELECT 'au text', o_orderkey, 'https://www.legislation.gov.au/C2004A'
 )
 def result_links(spark, sf):
     captured = _payload(spark, sf, "result_page", RESULT_PAGE).withColumnRenamed("url", "page_url")
-    # four link tables are made from each page, so the read pages are stored once
-    read = written(extract.read_pages(captured, url="page_url"))
+    # four link tables are made from each page, so the read links are stored once, in columns
+    read = saved(extract.read_pages(captured, url="page_url", parts=["links"]), "links")
     kind = lambda df, k, u, t: df.select(F.lit(k).alias("kind"), "ord", F.col(u).alias("url"), t.alias("title"))
     assets = extract.au_text_assets(read, "ord", "page_url")
     return (

@@ -9,18 +9,32 @@ import html
 import sys
 
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 
 from lexcorpus.functions import markup
 from lexcorpus.functions.markup import read_page
 
 
+TEXT = pa.string()
+#: Parts of a read page as Arrow types.
+PAGE_TYPES = {
+    "text_lines": TEXT,
+    "text_visible": TEXT,
+    "text_plain": TEXT,
+    "places": pa.list_(pa.struct({"tag": TEXT, "classes": pa.list_(TEXT), "ident": TEXT, "text": TEXT}.items())),
+    "links": pa.list_(pa.struct({"pos": pa.int32(), "href": TEXT, "url": TEXT, "label": TEXT}.items())),
+    "metas": pa.list_(pa.struct({"name": TEXT, "property": TEXT, "content": TEXT}.items())),
+}
+
+
 def page_batch(parts: tuple[str, ...]):
     """A reader of the named parts of pages."""
+    kind = pa.struct([(name, PAGE_TYPES[name]) for name in parts])
 
-    def read(bodies: pd.Series, bases: pd.Series) -> pd.DataFrame:
-        rows = [read_page(b, u, parts) for b, u in zip(bodies, bases)]
-        return pd.DataFrame(rows, columns=list(parts))
+    def read(bodies: pa.Array, bases: pa.Array) -> pa.Array:
+        rows = [read_page(b, u, parts) for b, u in zip(bodies.to_pylist(), bases.to_pylist())]
+        return pa.array(rows, type=kind)
 
     return read
 

@@ -30,7 +30,7 @@ TITLE_PARTS = ("places", "metas")
 def _reader(batch, kind: str):
     """An Arrow reader that runs once per payload. It is marked as not deterministic, because
     Spark would otherwise run it again for the filters it derives from an explode."""
-    return F.pandas_udf(batch, kind).asNondeterministic()
+    return F.arrow_udf(batch, kind).asNondeterministic()
 
 
 # ---- pages -----------------------------------------------------------------------------
@@ -137,28 +137,38 @@ def au_text_assets(read: DataFrame, row_id: str, wrapper: str = "url", body: str
     with the part number that orders them."""
     tail = r"[^\s\"'<>]+/document_\d+/document_\d+\.html(?:#[^\s\"'<>]*)?"
     linked = F.transform("page.links", lambda x: x["url"])
-    full = F.regexp_extract_all(F.col(body), F.lit(f"(?i)(https?://{tail})"), F.lit(1))
+    # addresses hold none of the signs split at, so the patterns are tried only where a part is named
+    named = F.filter(F.split(F.col(body), r"[\s\"'<>]+"), lambda t: F.contains(F.lower(t), F.lit("/document_")))
+    read = read.withColumns(
+        {
+            "_named": F.array_join(named, " "), "home": F.lower(part(F.col(wrapper), NETLOC)),
+            "act": step(part(F.col(wrapper), PATH), 0),
+        }
+    )
+    full = F.regexp_extract_all(F.col("_named"), F.lit(f"(?i)(https?://{tail})"), F.lit(1))
     bare = F.transform(
-        F.regexp_extract_all(F.col(body), F.lit(f"(?i)(//{tail})"), F.lit(1)),
+        F.regexp_extract_all(F.col("_named"), F.lit(f"(?i)(//{tail})"), F.lit(1)),
         lambda u: F.concat(F.lit("https:"), u),
     )
-    rows = read.select(
-        row_id,
-        F.lower(part(F.col(wrapper), NETLOC)).alias("home"),
-        step(part(F.col(wrapper), PATH), 0).alias("act"),
-        F.posexplode(F.concat(linked, full, bare)).alias("pos", "link"),
+    placed = F.transform(F.concat(linked, full, bare), lambda u, i: F.struct(i.alias("pos"), u.alias("link")))
+    texts = F.filter(placed, lambda x: F.lower(x["link"]).rlike(r"/text/(original|\d+)/epub/"))
+    cut = F.transform(
+        texts,
+        lambda x: F.struct(
+            x["pos"].alias("pos"),
+            *[part(x["link"], which).alias(name) for name, which in (("scheme", SCHEME), ("host", NETLOC), ("path", PATH))],
+        ),
     )
-    at = lambda which: part(F.col("link"), which)
-    rows = rows.select(
-        "*",
-        F.concat(at(SCHEME), F.lit("://"), at(NETLOC), at(PATH)).alias("asset_url"),
-        F.regexp_extract(at(PATH), r"(?i)/document_(\d+)/document_\1\.html$", 1).alias("part"),
-        step(at(PATH), 0).alias("of"),
-        F.lower(at(NETLOC)).alias("host"),
+    # the outer form keeps Spark from deriving a filter that would search each page twice
+    rows = read.select(row_id, "home", "act", F.explode_outer(cut).alias("x")).select(row_id, "home", "act", "x.*")
+    rows = rows.withColumns(
+        {
+            "asset_url": F.concat("scheme", F.lit("://"), "host", "path"),
+            "part": F.regexp_extract("path", r"(?i)/document_(\d+)/document_\1\.html$", 1),
+        }
     ).where(
-        (F.col("host") == F.col("home"))
-        & (F.col("act").isNull() | (F.col("of") == F.col("act")))
-        & F.lower("link").rlike(r"/text/(original|\d+)/epub/")
+        (F.lower("host") == F.col("home"))
+        & (F.col("act").isNull() | (step(F.col("path"), 0) == F.col("act")))
         & (F.col("part") != "")
     )
     return rows.groupBy(row_id, "asset_url").agg(
@@ -194,6 +204,7 @@ def au_result_links(read: DataFrame, *keep: str) -> DataFrame:
 def ca_result_links(read: DataFrame, *keep: str) -> DataFrame:
     """Acts and pages linked from a Canadian result page: address, root address and title."""
     rows = read.select(*keep, F.explode("page.links").alias("l"))
+    rows = rows.where(F.contains(F.lower("l.url"), F.lit(nation.JUSTICE_HOST)))  # before parts are cut
     link = F.regexp_replace("l.url", "#.*$", "")
     root = F.nullif(nation.canada_act_url(F.col("l.url")), empty())
     rows = rows.where(
