@@ -51,10 +51,9 @@ UNION ALL SELECT 'supported_only', ord, celex_full FROM k WHERE fulltext_support
 )
 def filter_celex(spark, sf):
     classed = celex.with_class(load(spark, sf, "ids"), "raw_id")
-    kept = eu.filter_types(classed, "all", ["r ", "cj"]).withColumn("mode", F.lit("all"))
-    for mode in ("sector_3_only", "sector_0_and_3", "supported_only"):
-        kept = kept.unionByName(eu.filter_types(classed, mode).withColumn("mode", F.lit(mode)))
-    return kept.select("mode", "ord", "celex_full")
+    asked = {"all": ("all", ["r ", "cj"])}
+    asked |= {mode: (mode, ()) for mode in ("sector_3_only", "sector_0_and_3", "supported_only")}
+    return eu.types_kept(classed, asked).select("mode", "ord", "celex_full")
 
 
 @query(

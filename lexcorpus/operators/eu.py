@@ -73,17 +73,33 @@ def filter_types(
     """Keep the identifier types of ``mode``; an unknown mode keeps all."""
     if "celex_class" not in docs.columns:
         docs = celex.with_class(docs)
+    return docs.where(_of_type(mode, exclude_descriptors))
+
+
+def types_kept(docs: DataFrame, asked: dict[str, tuple[str, Iterable[str]]]) -> DataFrame:
+    """``filter_types`` for several requests (mode and excluded descriptors, by name) at once: a row
+    for each request that keeps an identifier, named in ``mode``. Identifiers are classed once."""
+    if "celex_class" not in docs.columns:
+        docs = celex.with_class(docs)
+    names = [F.when(_of_type(*request), F.lit(name)) for name, request in asked.items()]
+    # the outer form keeps Spark from deriving a filter that would class each identifier twice
+    kept = docs.select("*", F.explode_outer(F.array_compact(F.array(*names))).alias("mode"))
+    return kept.where(F.col("mode").isNotNull())
+
+
+def _of_type(mode: str, exclude_descriptors: Iterable[str] = ()) -> Column:
     mode = (mode or "all").strip().lower()
+    kept = F.lit(True)
     if mode == "sector_3_only":
-        docs = docs.where(F.col("celex_sector") == "3")
+        kept = F.col("celex_sector") == "3"
     elif mode == "sector_0_and_3":
-        docs = docs.where(F.col("celex_sector").isin("0", "3"))
+        kept = F.col("celex_sector").isin("0", "3")
     elif mode == "supported_only":
-        docs = docs.where(F.col("fulltext_support") == "supported")
+        kept = F.col("fulltext_support") == "supported"
     dropped = sorted({d.strip().upper() for d in exclude_descriptors if d.strip()})
     if dropped:
-        docs = docs.where(~F.upper(F.coalesce("celex_descriptor", F.lit(""))).isin(*dropped))
-    return docs
+        kept &= ~F.upper(F.coalesce("celex_descriptor", F.lit(""))).isin(*dropped)
+    return kept
 
 
 def _filled(name: str, kind: str) -> Column:
