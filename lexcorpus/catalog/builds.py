@@ -16,6 +16,7 @@ from lexcorpus.catalog.measures import MEASURE_TEXTS, enriched, measure_texts
 from lexcorpus.catalog.registry import query
 from lexcorpus.catalog.retrieval import STATE, _files
 from lexcorpus.functions import nation
+from lexcorpus.functions.text import blank_to_null
 from lexcorpus.operators import cache, matching, noneu
 from lexcorpus.plans import build
 from lexcorpus.session import new_path
@@ -95,11 +96,16 @@ def nim_build(spark, sf):
     )
 
 
+def _hits(spark, sf):
+    """Distinct hits in one shape, stored once for the documents and their texts."""
+    kept = lambda: noneu.distinct_hits(noneu.prepare_hits(load(spark, sf, "foreign_hits")))
+    return spark.read.parquet(stored(spark, sf, "distinct_hits", kept))
+
+
 def _captured(spark, sf):
     """Texts by document key, made from the keys of the hits."""
-    kept = noneu.distinct_hits(noneu.prepare_hits(load(spark, sf, "foreign_hits")))
     key, size = F.col("doc_key"), F.length("doc_key")
-    return noneu.one_row_per_doc(kept).select(
+    return noneu.one_row_per_doc(_hits(spark, sf)).select(
         "doc_key",
         F.when(size % 4 != 1, F.concat(F.lit("Text  of "), key, F.lit(" from 1999"))).alias("full_text"),
         F.when(size % 4 == 2, "waf_challenge").when(size % 4 == 3, "timeout").otherwise("")
@@ -144,7 +150,7 @@ fd AS (SELECT kg.ord, kg.source, 'non-eu' || ':' || doc_key AS document_id, doc_
 
 
 def _foreign(spark, sf):
-    return build.non_eu_documents(load(spark, sf, "foreign_hits"), _texts(spark, sf), "non-eu")
+    return build.non_eu_documents(_hits(spark, sf), _texts(spark, sf), "non-eu", kept=True)
 
 
 @query(
@@ -225,8 +231,11 @@ def _routed(spark, sf):
     f"WITH {FOREIGN} SELECT source, count(*) AS documents FROM fd WHERE source NOT IN ({ROUTED}) GROUP BY 1",
 )
 def corpus_unrouted(spark, sf):
-    """Documents whose source belongs to no jurisdiction of a corpus."""
-    rest = _routed(spark, sf).where(~F.col("code").isin(*COUNTRIES))
+    """Documents whose source belongs to no jurisdiction of a corpus. Only their sources are read, before
+    any record is made."""
+    rows = build.non_eu_rows(_hits(spark, sf), _texts(spark, sf), kept=True)
+    source = blank_to_null(F.col("source"))
+    rest = rows.select(source.alias("source")).where(~nation.source_code(source).isin(*COUNTRIES))
     return rest.groupBy("source").agg(F.count("*").alias("documents"))
 
 

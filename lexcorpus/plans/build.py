@@ -13,7 +13,7 @@ from lexcorpus import lookups as L
 from lexcorpus.functions.text import text_or_empty
 from lexcorpus.operators import cache, dedup, eu, harmonize, matching, nim, noneu, records
 from lexcorpus.operators.skew import number_within
-from lexcorpus.session import written
+from lexcorpus.session import saved, written
 from lexcorpus.sinks import writers
 
 LOCAL_FIELDS = {
@@ -80,20 +80,20 @@ def nim_documents(
     return records.clean(records.normalize(rows, source_name, "eurlex-nim"))
 
 
-def non_eu_rows(hits: DataFrame, texts: DataFrame) -> DataFrame:
+def non_eu_rows(hits: DataFrame, texts: DataFrame, kept: bool = False) -> DataFrame:
     """Harmonized rows of one or more countries from search hits and captured texts. All else is
     joined first, so a text is moved once at most, and not at all if ``texts`` is bucketed by
-    ``doc_key``."""
-    # hits are short rows that are read three ways from here on: they are stored once
-    kept = written(noneu.distinct_hits(noneu.prepare_hits(hits)))
+    ``doc_key``. ``kept`` hits are stored and come from ``noneu.distinct_hits`` already."""
+    # hits are short rows that are read three ways from here on, with few columns each: they are stored once
+    kept = hits if kept else saved(noneu.distinct_hits(noneu.prepare_hits(hits)), "hits")
     docs = noneu.with_terms(noneu.one_row_per_doc(kept), noneu.docs_from_hits(kept), "_terms")
     full = noneu.fulltext_docs(docs, texts, ("_terms",))
     return harmonize.harmonize(full.withColumnRenamed("_terms", "matched_terms"))
 
 
-def non_eu_documents(hits: DataFrame, texts: DataFrame, source_name: str) -> DataFrame:
+def non_eu_documents(hits: DataFrame, texts: DataFrame, source_name: str, kept: bool = False) -> DataFrame:
     """Documents of one country from search hits and captured texts."""
-    rows = noneu.to_records(non_eu_rows(hits, texts), source_name)
+    rows = noneu.to_records(non_eu_rows(hits, texts, kept), source_name)
     return records.normalize(rows, source_name, "non-eu")
 
 
