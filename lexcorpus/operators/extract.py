@@ -249,6 +249,12 @@ def _exploded(payloads: DataFrame, keep: list[str], found: Column, index: str) -
     return rows.where(F.col("_r").isNotNull())
 
 
+def _settled(rows: DataFrame, name: str, value: Column) -> DataFrame:
+    """``rows`` with ``value`` as a column that is worked out once: as the row of a list of one, it is
+    not worked out again by filters on it that Spark moves down, or by columns made from it."""
+    return rows.select("*", F.explode_outer(F.array(value)).alias(name))
+
+
 def parse_hits(payloads: DataFrame, body: str = "body", lang: str = "EN") -> DataFrame:
     """Hits of captured search answers, one row per result; ``celex`` is null where a result
     names no identifier. Answers that are no whole XML give no rows."""
@@ -310,10 +316,10 @@ def parse_hits(payloads: DataFrame, body: str = "body", lang: str = "EN") -> Dat
     said = F.when(F.lower("_r").contains("celex"), said)
     mentions = F.filter(said, lambda t: F.lower(t).rlike("celex:|/celex/"))
     mentioned = _first(F.filter(F.transform(mentions, celex.token), lambda t: t.isNotNull()))
-    rows = rows.select(
+    rows = _settled(rows, "_celex", F.coalesce(value("ID_CELEX"), mentioned)).select(
         *keep,
         "result_idx",
-        F.coalesce(value("ID_CELEX"), mentioned).alias("celex"),
+        F.col("_celex").alias("celex"),
         F.coalesce(value("EXPRESSION_TITLE"), value("WORK_TITLE"), empty()).alias("title"),
         F.coalesce(*dates, empty()).alias("date"),
     )
@@ -418,7 +424,8 @@ def parse_notices(payloads: DataFrame, body: str = "body", act: str = "act_celex
     ids = F.transform("n.ids", lambda x: F.upper(strip(x)))
     prefix = F.concat(F.lit("7"), F.expr("substring(act_celex, 2)"))
     own = F.filter(ids, lambda x: (F.col("act_celex") != "") & F.startswith(x, prefix))
-    nim_celex = F.coalesce(_first(own), _first(ids), empty())
+    rows = _settled(rows, "_nim_celex", F.coalesce(_first(own), _first(ids), empty()))
+    nim_celex = F.col("_nim_celex")
     title = _first(F.col("n.titles"))
     last = lambda xs: F.try_element_at(xs, F.lit(-1))
     codes = F.transform(
