@@ -170,26 +170,29 @@ def resumed(docs: DataFrame, states: DataFrame, texts: DataFrame) -> DataFrame:
     docs = docs.withColumns(
         {"celex": celex.split_base(full), "celex_version": celex.split_version(full)}
     )
-    # only the texts of these documents are cleaned, after the join
-    df = docs.join(got, KEYS).join(texts.select("text_path", F.col("text").alias("_text")), "text_path")
-    df = df.withColumn("full_text_clean", cached_text(F.col("_text"))).drop("_text")
-    df = df.where(strip(F.col("full_text_clean")) != "")
-    lang = F.coalesce(
-        F.nullif(strip(F.col("_lang")), empty()),
-        F.get(langs.doc_candidates(F.col("query_langs"), F.col("lang")), F.lit(0)),
-    )
-    return df.withColumns(
+    docs = docs.withColumn("_first", F.get(langs.doc_candidates(F.col("query_langs"), F.col("lang")), F.lit(0)))
+    # only texts that are asked for are cleaned, each once: as the row of a list of one, a text is not cleaned again
+    # by filters on it. Documents come last, as many of them may share the texts of one identifier
+    got = got.join(texts.select("text_path", F.col("text").alias("_text")), "text_path")
+    got = got.select("*", F.explode(F.array(cached_text(F.col("_text")))).alias("full_text_clean")).drop("_text")
+    got = got.where(strip(F.col("full_text_clean")) != "").withColumns(
         {
+            "_lang": F.nullif(strip(F.col("_lang")), empty()),
             "text_source_url": F.coalesce(
                 F.nullif(strip(F.col("source_url")), empty()), F.lit("CACHE")
             ),
             "text_len": F.length("full_text_clean"),
+        }
+    )
+    lang = F.coalesce("_lang", "_first")
+    return docs.join(got, KEYS).withColumns(
+        {
             "lang_source_fulltext": langs.text_lang_source(lang, F.col("lang"), F.col("query_langs")),
             "lang": lang,
             "fetched_from_cache": F.lit(True),
             "route_used": F.lit("cache_resume"),
         }
-    ).drop("_lang", "source_url")
+    ).drop("_lang", "_first", "source_url")
 
 
 def failed_attempts(log: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:

@@ -24,14 +24,21 @@ def _one_per_key(
 
     Only keys, ranks and places are grouped, with partial aggregates, so a hot key sends one row
     per task. Keys that occur once are done then; of the others the places that lose are stored,
-    and an anti-join takes them out. Rows with texts are only moved if the losing places are too
-    many to broadcast.
+    and an anti-join takes them out. Where more rows lose than win, the keys that occur often are
+    the shorter list, and rows are held against them instead. Rows with texts are only moved if
+    the shorter list is too long to broadcast.
     """
     order = F.struct(*rank, *[F.col(p) for p in place]).alias("_order")
     narrow = df.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], *place, order)
     own = [f"_k{i}" for i in range(len(keys))]
     best = (F.max if last else F.min)("_order").alias("_best")
     best = saved(narrow.groupBy(*own).agg(best, F.count("*").alias("_n")).where("_n > 1"), "best")
+    keys_met, rows_met = best.agg(F.count("*"), F.coalesce(F.sum("_n"), F.lit(0))).first()
+    if rows_met - keys_met > keys_met:
+        same = [df[k].eqNullSafe(best[o]) for k, o in zip(keys, own, strict=True)]
+        held = df.withColumn("_order", order).join(best, reduce(and_, same), "left")
+        lost = F.col("_best").isNotNull() & ~F.col("_order").eqNullSafe(F.col("_best"))
+        return held.where(~lost).select(*[df[c] for c in df.columns])
     same = [narrow[k].eqNullSafe(best[k]) for k in own]
     met = narrow.join(best, reduce(and_, same)).where(~F.col("_order").eqNullSafe(F.col("_best")))
     return df.join(saved(met.select(*place), "losers"), list(place), "left_anti")
