@@ -267,11 +267,16 @@ def stored(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], Data
 _bucketed: dict[tuple[str, str, str], DataFrame] = {}
 
 
-def bucketed(spark: SparkSession, sf_dir: str, name: str, keys: Sequence[str], build: Callable[[], DataFrame]) -> DataFrame:
-    """Captured texts built by ``build``, stored once per application in buckets by ``keys``."""
+def bucketed(
+    spark: SparkSession, sf_dir: str, name: str, keys: Sequence[str], build: Callable[[], DataFrame],
+    least: int = 0, derive: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
+    """Captured texts built by ``build``, stored once per application in buckets by ``keys``: ``least`` buckets,
+    or as many as there are shuffle partitions if those are more."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _bucketed:
-        _bucketed[key] = store_texts(build(), keys)
+        buckets = max(least, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        _bucketed[key] = store_texts(build(), keys, buckets, derive=derive)
     return _bucketed[key]
 
 

@@ -382,18 +382,31 @@ def measures_of_acts(spark, sf):
     )
 
 
-MEASURE_TEXTS = """
-SELECT celex, nim_celex, concat(CASE WHEN ord % 4 = 1 THEN 'unlisted-' ELSE '' END, national_measure_id) AS national_measure_id, CASE WHEN ord % 3 = 0 THEN ' ' ELSE concat('text of ', nim_celex) END AS full_text_clean,
-  concat('raw of ', nim_celex) AS full_text_raw, CASE WHEN ord % 2 = 0 THEN 'CACHE' ELSE concat('https://t.example/', nim_celex) END AS text_source_url,
-  CASE WHEN ord % 5 = 0 THEN 'sv' ELSE '' END AS lang
-FROM (SELECT min(ord) AS ord, celex, nim_celex, national_measure_id FROM [[measures]] GROUP BY 2, 3, 4) t
+TEXT_ROWS = """(SELECT min(ord) AS ord, celex, nim_celex, national_measure_id FROM [[measures]] GROUP BY 2, 3, 4) t"""
+TEXT_KEYS = """celex, nim_celex, concat(CASE WHEN ord % 4 = 1 THEN 'unlisted-' ELSE '' END, national_measure_id) AS national_measure_id"""
+TEXT_COLUMNS = (
+    "CASE WHEN ord % 3 = 0 THEN ' ' ELSE concat('text of ', nim_celex) END AS full_text_clean",
+    "concat('raw of ', nim_celex) AS full_text_raw",
+    "CASE WHEN ord % 2 = 0 THEN 'CACHE' ELSE concat('https://t.example/', nim_celex) END AS text_source_url",
+    "CASE WHEN ord % 5 = 0 THEN 'sv' ELSE '' END AS lang",
+)
+MEASURE_TEXTS = f"""
+SELECT {TEXT_KEYS}, {TEXT_COLUMNS[0]},
+  {TEXT_COLUMNS[1]}, {TEXT_COLUMNS[2]},
+  {TEXT_COLUMNS[3]}
+FROM {TEXT_ROWS}
 """
+#: Measures of one bucket of their texts, so that tasks that sort them stay small on tables of any size.
+BUCKET_ROWS = 500_000
 
 
 def measure_texts(spark, sf):
-    """Captured measure texts with their merge keys, in buckets by them."""
-    keyed = lambda: nim.with_merge_keys(run(spark, sf, MEASURE_TEXTS))
-    return bucketed(spark, sf, "measure_texts", nim.MERGE_KEYS, keyed)
+    """Captured measure texts with their merge keys, in buckets by them. Their keys are dealt first, when they are
+    short; merge keys are the measures' own here, as these have no blanks around them."""
+    keyed = lambda: nim.with_merge_keys(run(spark, sf, f"SELECT ord, {TEXT_KEYS} FROM {TEXT_ROWS}"))
+    texts = lambda dealt: dealt.selectExpr(*nim.MERGE_KEYS, *TEXT_COLUMNS)
+    rows = load(spark, sf, "lineitem").count()  # from the footers
+    return bucketed(spark, sf, "measure_texts", nim.MERGE_KEYS, keyed, rows // BUCKET_ROWS, texts)
 
 
 @query(

@@ -197,13 +197,16 @@ def join_fulltext(measures: DataFrame, texts: DataFrame, keyed: bool = False) ->
     # blank measures get a key of their own each: no text has it, and no task gets them all
     alone = F.concat(F.lit("\0"), F.xxhash64(*left.columns).cast("string"))
     left = left.withColumn("_act", F.when(F.concat(*MERGE_KEYS) == "", alone).otherwise(F.col("celex")))
-    joined = left.join(
+    own = F.when(F.startswith(F.col("_act"), F.lit("\0")), empty()).otherwise(F.col("_act"))
+    order = left.drop("_act").columns
+    joined = left.drop("celex").join(  # read back from the key, not moved beside it
         right.select(
             F.col("celex").alias("_act"), *MERGE_KEYS[1:], *[F.col(c).alias(f"_t_{c}") for c in cols]
         ),
         ["_act", *MERGE_KEYS[1:]],
         "left",
-    ).drop("_act")
+    ).withColumn("celex", own)
+    joined = joined.select(*order, *[f"_t_{c}" for c in cols])
     present = lambda c: (
         F.when(strip(F.col(f"_t_{c}")) != "", F.col(f"_t_{c}"))
         if kinds[c] == "string" else F.col(f"_t_{c}")

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -24,15 +24,21 @@ def open_texts(spark: SparkSession, path: str, schema: T.StructType, keys: Seque
     return spark.table(name)
 
 
-def store_texts(texts: DataFrame, keys: Sequence[str], buckets: int | None = None, path: str | None = None) -> DataFrame:
+def store_texts(
+    texts: DataFrame, keys: Sequence[str], buckets: int | None = None, path: str | None = None,
+    derive: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
     """``texts`` written once, one file a bucket, and opened again. A join on all of ``keys`` then
     deals the other side to the buckets and reads the texts where they are. ``buckets`` should be no
     less than the shuffle partitions of the jobs to come (the default is their number now), or Spark
-    deals both sides anew."""
+    deals both sides anew. ``derive`` makes the stored columns from rows that are dealt already, so
+    that what can be made from short columns is not moved; it must keep ``keys``."""
     spark = texts.sparkSession
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     path = path or new_path(spark, "texts")
     name = f"texts_{uuid.uuid4().hex}"
     dealt = texts.repartition(buckets, *keys)
-    dealt.write.format("parquet").bucketBy(buckets, *keys).sortBy(*keys).option("path", path).saveAsTable(name)
+    dealt = derive(dealt) if derive else dealt
+    writer = dealt.write.format("parquet").bucketBy(buckets, *keys).sortBy(*keys)
+    writer.option("compression", "zstd").option("path", path).saveAsTable(name)
     return spark.table(name)
