@@ -8,7 +8,7 @@ from lexcorpus.catalog import inputs
 SF = "/root/testdata/sf0.001"
 
 
-@pytest.mark.parametrize("name", ["lang_candidates", "country_act_matrix"])
+@pytest.mark.parametrize("name", ["lang_candidates", "country_act_matrix", "dup_top"])
 def test_no_wide_input_is_stored(spark, monkeypatch, name):
     monkeypatch.setattr(inputs, "_written", {})
     assert entry.queries()[name](spark, SF).count() > 0
