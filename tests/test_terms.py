@@ -87,3 +87,14 @@ def test_small_index_makes_no_row_of_a_stretch(spark, monkeypatch):
     plan = terms.find_terms(df, index, lang="lang")._jdf.queryExecution().executedPlan().toString()
     assert "Generate" not in plan
     assert rows_of(terms.term_rows(df, index, ["ord", "lang"], lang="lang")) == brute(docs, listed, True)
+
+
+def test_index_in_parts_moves_neither_texts_nor_stretches(spark):
+    docs, listed = texts(5, 30), inventory(6, 300)
+    df = spark.createDataFrame(docs, DOCS)
+    index = terms.term_index(spark.createDataFrame(listed, "ord long, lang string, term string"), df)
+    plan = terms.find_terms(df, index, lang="lang", sent=4000)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") > 2 and "Generate" not in plan and "Exchange hashpartitioning" not in plan
+    assert rows_of(terms.term_rows(df, index, ["ord"], lang="lang", sent=4000)) == brute(docs, listed, True)
+    plan = terms.term_rows(df, index, ["ord"], lang="lang")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "Exchange hashpartitioning" not in plan
