@@ -185,7 +185,10 @@ def resumed(docs: DataFrame, states: DataFrame, texts: DataFrame) -> DataFrame:
         }
     )
     lang = F.coalesce("_lang", "_first")
-    return docs.join(got, KEYS).withColumns(
+    # texts lead the join: the rows of a text come one after the other, which files keep small, and what is held of an
+    # identifier while its rows are made are its short documents, not its texts
+    rest = [df[c] for df in (docs, got) for c in df.columns if c not in KEYS]
+    return got.join(docs, KEYS).select(*KEYS, *rest).withColumns(
         {
             "lang_source_fulltext": langs.text_lang_source(lang, F.col("lang"), F.col("query_langs")),
             "lang": lang,

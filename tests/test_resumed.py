@@ -32,3 +32,22 @@ def test_rows_are_held_against_their_keys_where_most_lose(spark, monkeypatch):
     best = dedup.keep_best(log, ["k"], [(log.ord % 7)])
     assert {r["ord"] for r in best.collect()} == {
         max((i for i in range(300) if i % 4 == k), key=lambda i: (i % 7, i)) for k in range(4)}
+
+
+def test_rows_of_a_text_come_together(spark, tmp_path):
+    docs = spark.range(60).selectExpr("id AS ord", "concat('32014L00', id % 2) AS celex_full", "'' AS lang")
+    states = spark.range(40).selectExpr(
+        "concat('32014L00', id % 2) AS celex_full", "concat('32014L00', id % 2) AS celex", "'' AS celex_version",
+        "'successful' AS cache_state", "'' AS lang", "200 AS retrieval_status", "'' AS retrieval_error", "'' AS source_url",
+        "concat('/', id) AS text_path")
+    texts = spark.range(40).selectExpr("concat('/', id) AS text_path", "repeat(sha2(string(id), 512), 40) AS text")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        rows = cache.resumed(docs, states, texts)
+        assert rows.columns[:4] == ["celex_full", "celex", "celex_version", "ord"]
+        got = rows.coalesce(1).select("ord", "full_text_clean").collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len(set(got)) == len(got) == 60 * 20
+    assert sum(a["full_text_clean"] != b["full_text_clean"] for a, b in zip(got, got[1:])) == 39
