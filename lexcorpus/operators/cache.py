@@ -9,9 +9,11 @@ from lexcorpus import schemas
 from lexcorpus.functions import celex, langs, quality
 from lexcorpus.functions.text import cached_text, empty, strip
 from lexcorpus.operators.dedup import keep_best, keep_last, keep_last_merged
+from lexcorpus.session import saved
 
 KEYS = ["celex_full", "celex", "celex_version"]
 MIN_CHARS = 500
+ROWS = 20_000  # rows that a task makes of documents and their texts, about
 
 
 def _whole(name: str) -> Column:
@@ -158,6 +160,18 @@ def worklist(docs: DataFrame, states: DataFrame, retry_failures: bool = True) ->
     return docs.join(skip, "celex_full", "left_anti")
 
 
+def _spread(docs: DataFrame, got: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame, int]:
+    """``docs`` and ``got`` with ``_part``, and the number of tasks for rows of ``ROWS`` each, which are
+    counted first. The texts of an identifier with more rows are split, its documents stand in each part."""
+    fan = got.join(texts.select("text_path"), "text_path").groupBy(*KEYS).agg(F.count("*").alias("_n"))
+    fan = fan.join(docs.groupBy(*KEYS).agg(F.count("*").alias("_docs")), KEYS)
+    fan = saved(fan.select(*KEYS, (F.col("_n") * F.col("_docs")).alias("_n")), "fan")
+    parts = F.ceil(F.col("_n") / ROWS).cast("int")
+    got = got.join(fan, KEYS).withColumn("_part", F.pmod(F.hash("text_path"), parts)).drop("_n")
+    docs = docs.join(fan, KEYS).withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("_n")
+    return docs, got, -(-(fan.agg(F.sum("_n")).first()[0] or 0) // ROWS)
+
+
 def resumed(docs: DataFrame, states: DataFrame, texts: DataFrame) -> DataFrame:
     """Documents already retrieved, with their cached text (``text_path, text``)."""
     got = states.where(F.col("cache_state") == "successful").select(
@@ -171,6 +185,8 @@ def resumed(docs: DataFrame, states: DataFrame, texts: DataFrame) -> DataFrame:
         {"celex": celex.split_base(full), "celex_version": celex.split_version(full)}
     )
     docs = docs.withColumn("_first", F.get(langs.doc_candidates(F.col("query_langs"), F.col("lang")), F.lit(0)))
+    shown = docs.columns
+    docs, got, tasks = _spread(docs, saved(got, "cached"), texts)
     # only texts that are asked for are cleaned, each once: as the row of a list of one, a text is not cleaned again
     # by filters on it. Documents come last, as many of them may share the texts of one identifier
     got = got.join(texts.select("text_path", F.col("text").alias("_text")), "text_path")
@@ -187,8 +203,11 @@ def resumed(docs: DataFrame, states: DataFrame, texts: DataFrame) -> DataFrame:
     lang = F.coalesce("_lang", "_first")
     # texts lead the join: the rows of a text come one after the other, which files keep small, and what is held of an
     # identifier while its rows are made are its short documents, not its texts
-    rest = [df[c] for df in (docs, got) for c in df.columns if c not in KEYS]
-    return got.join(docs, KEYS).select(*KEYS, *rest).withColumns(
+    keys = [*KEYS, "_part"]
+    if tasks > int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        got = got.repartition(tasks, *keys)
+    rest = [docs[c] for c in shown if c not in KEYS] + [got[c] for c in got.columns if c not in keys]
+    return got.join(docs, keys).select(*KEYS, *rest).withColumns(
         {
             "lang_source_fulltext": langs.text_lang_source(lang, F.col("lang"), F.col("query_langs")),
             "lang": lang,

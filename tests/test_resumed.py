@@ -51,3 +51,20 @@ def test_rows_of_a_text_come_together(spark, tmp_path):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert len(set(got)) == len(got) == 60 * 20
     assert sum(a["full_text_clean"] != b["full_text_clean"] for a, b in zip(got, got[1:])) == 39
+
+
+def test_tasks_follow_the_rows_that_they_make(spark, monkeypatch):
+    docs = spark.range(90).selectExpr("id AS ord", "concat('32014L00', if(id < 60, 0, id % 3)) AS celex_full", "'' AS lang")
+    states = spark.range(50).selectExpr(
+        "concat('32014L00', if(id < 40, 0, id % 4)) AS celex_full", "concat('32014L00', if(id < 40, 0, id % 4)) AS celex",
+        "'' AS celex_version", "'successful' AS cache_state", "'' AS lang", "200 AS retrieval_status", "'' AS retrieval_error",
+        "'' AS source_url", "concat('/', id) AS text_path")
+    texts = spark.range(49).selectExpr("concat('/', id) AS text_path", "concat('text ', id) AS text")
+    want = sorted((r["ord"], r["full_text_clean"]) for r in cache.resumed(docs, states, texts).collect())
+    ids = [0 if i < 60 else i % 3 for i in range(90)]
+    assert want == sorted((i, f"text {t}") for i, k in enumerate(ids) for t in range(49) if k == (0 if t < 40 else t % 4))
+    monkeypatch.setattr(cache, "ROWS", 100)
+    rows = cache.resumed(docs, states, texts)
+    assert sorted((r["ord"], r["full_text_clean"]) for r in rows.collect()) == want
+    parts = rows.selectExpr("spark_partition_id() AS p", "celex_full AS id").groupBy("p", "id").count().collect()
+    assert len(parts) > 12 and max(r["count"] for r in parts if r["id"] == "32014L000") < len(want) / 3
